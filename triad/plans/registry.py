@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["documents"]
+MODULES = ["documents", "graph"]
 
 
 def _modules():

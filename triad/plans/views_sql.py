@@ -125,6 +125,9 @@ def with_views(body: str, *names: str, extra: list[tuple[str, str]] | None = Non
     """``WITH <views>, <extra ctes> <body>``."""
     ctes = [f"{n} AS (\n{VIEWS[n][0]}\n)" for n in _closure(names)]
     ctes += [f"{n} AS (\n{sql.strip()}\n)" for n, sql in (extra or [])]
+    body = body.strip()
     if not ctes:
-        return body.strip()
-    return "WITH " + ",\n".join(ctes) + "\n" + body.strip()
+        return body
+    if body[:5].upper() == "WITH ":  # the body's own CTEs follow the views
+        return "WITH " + ",\n".join(ctes) + ",\n" + body[5:]
+    return "WITH " + ",\n".join(ctes) + "\n" + body
