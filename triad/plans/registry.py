@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["documents", "graph"]
+MODULES = ["documents", "graph", "search"]
 
 
 def _modules():

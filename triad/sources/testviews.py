@@ -107,19 +107,34 @@ RATING_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber"]
 
 # ---------------------------------------------------------------- papers
 
-def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prepared-paper shape from ``documents``: whole texts as abstracts."""
+def papers_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw paper records from ``documents``: whole texts as abstracts, the first
+    eight words as titles, two categories, a dated ``update_date`` and no versions."""
     d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     return d.select(
         F.col("doc_id").alias("id"),
         first_words(F.col("text"), 8).alias("title"),
         F.col("text").alias("abstract"),
         F.col("source").alias("authors"),
-        (F.lit(2010) + F.col("doc_id") % 15).cast("int").alias("year"),
-        F.col("lang").alias("category"),
+        F.concat(F.col("lang"), F.lit(" "), F.col("source")).alias("categories"),
+        F.concat((F.lit(2010) + F.col("doc_id") % 15).cast("string"), F.lit("-06-15")).alias("update_date"),
+        F.lit(None).cast("array<struct<version:string,created:string>>").alias("versions"),
+        F.lit(None).cast("array<array<string>>").alias("authors_parsed"),
     )
 
 
+def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prepared papers: (id, title, abstract, authors, year, category)."""
+    from triad.operators.text import prepare_papers
+
+    return prepare_papers(papers_raw(spark, sf_dir))
+
+
+def search_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Papers that have a vector: (id, title, abstract, authors, year, category, values)."""
+    return papers(spark, sf_dir).join(vectors(spark, sf_dir).select("id", "values"), "id", "inner")
+
+
 def paper_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON Lines text built from ``events``: one paper record per event.
 
