@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Unicode-aware whitespace, like Python's str.strip()/str.split().
-_WS = r"(?U)\s+"
-_EDGE_WS = r"(?U)^\s+|\s+$"
+# Whitespace as Python's str.isspace() defines it (so strip()/split() agree
+# with the reference): the Unicode White_Space property plus U+001C..U+001F.
+WS_CHARS = "".join(chr(c) for c in range(0x110000) if chr(c).isspace())
+WS_RUN = r"(?U)[\s\x1c-\x1f]+"
+WORD = r"(?U)[^\s\x1c-\x1f]+"
 
 
 def _c(col) -> Column:
@@ -16,26 +18,33 @@ def _c(col) -> Column:
 
 def strip_ws(col) -> Column:
     """Strip leading and trailing whitespace of any kind (Spark's trim cuts spaces only)."""
-    return F.regexp_replace(_c(col), _EDGE_WS, "")
+    return F.trim(_c(col), F.lit(WS_CHARS))
+
+
+def lstrip_ws(col) -> Column:
+    return F.ltrim(_c(col), F.lit(WS_CHARS))
 
 
 def split_ws(col) -> Column:
     """Whitespace tokenisation with Python ``str.split()`` semantics: '' gives []."""
     s = strip_ws(col)
-    return F.when(s == "", F.array().cast("array<string>")).otherwise(F.split(s, _WS))
+    return F.when(s == "", F.array().cast("array<string>")).otherwise(F.split(s, WS_RUN))
 
 
 def word_count(col) -> Column:
-    return F.size(split_ws(F.coalesce(_c(col), F.lit(""))))
+    """Number of whitespace-separated words (no token array is built)."""
+    return F.regexp_count(F.coalesce(_c(col), F.lit("")), F.lit(WORD))
 
 
 def first_words(col, n: int) -> Column:
-    return F.array_join(F.slice(split_ws(col), 1, n), " ")
+    """The first ``n`` words joined by single spaces; reads only the start of the text."""
+    head = F.slice(F.split(lstrip_ws(col), WS_RUN, n + 1), 1, n)
+    return F.array_join(F.filter(head, lambda w: w != ""), " ")
 
 
 def collapse_ws(col) -> Column:
     """Every whitespace run becomes one space, then strip."""
-    return strip_ws(F.regexp_replace(_c(col), _WS, " "))
+    return F.trim(F.regexp_replace(_c(col), WS_RUN, " "), F.lit(" "))
 
 
 def split_sentences(col) -> Column:

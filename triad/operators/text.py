@@ -205,66 +205,46 @@ def bm25(docs: DataFrame, queries: DataFrame, k: int = 10, k1: float = 1.5, b: f
 
     Tokens are lowercased whitespace words. ``idf = ln(N-df+0.5) - ln(df+0.5)``;
     a negative idf becomes ``epsilon`` times the mean idf of the vocabulary.
-    Repeated query words count again. A query matching fewer than ``k``
+    Repeated query words count again. Documents are ranked by (score desc,
+    id asc) over the whole corpus, so a query matching fewer than ``k``
     documents is filled with zero-score documents in id order.
 
-    Work: document lengths are per row; document frequencies are one
-    aggregate over distinct (doc, term) pairs with map-side combining; term
-    frequencies are counted only for query terms (a semi-join with the small
-    query vocabulary); the top k per query is a window with a group limit, so
-    only k rows per query and partition cross the shuffle.
+    Work: N, the mean length and the mean idf are scalar subqueries (run
+    once, no join); document frequencies are one aggregate over distinct
+    (doc, term) pairs with map-side combining; term frequencies are counted
+    only for query terms (semi-join with the small query vocabulary); the
+    zero-score candidates are the k smallest ids; the top k per query is a
+    window with a group limit, so only k rows per query and partition cross
+    the final shuffle.
     """
     toks = docs.select(F.col(id_col).alias("doc_id"), split_ws(F.lower(F.col(text_col))).alias("toks"))
-    stats = toks.agg(F.count(F.lit(1)).alias("N"), F.sum(F.size("toks")).alias("total"))
+    n_docs = toks.agg(F.count(F.lit(1))).scalar()
+    avgdl = toks.agg(F.sum(F.size("toks")) / F.count(F.lit(1))).scalar()
     df_t = toks.select(F.explode(F.array_distinct("toks")).alias("term")).groupBy("term") \
         .agg(F.count(F.lit(1)).alias("df"))
-    # N, avgdl and the mean idf are one-row aggregates (a proven size bound),
-    # broadcast onto the rows that need them.
-    n_row = F.broadcast(stats.select(F.lit(1).alias("_k"), "N", (F.col("total") / F.col("N")).alias("avgdl")))
-    idf = df_t.withColumn("_k", F.lit(1)).join(n_row, "_k") \
-        .select("term", (F.log(F.col("N") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)).alias("idf_raw"))
-    mean_idf = F.broadcast(idf.agg(F.avg("idf_raw").alias("mean_idf")).select(F.lit(1).alias("_k"), "mean_idf"))
+    idf_raw = F.log(n_docs - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)
+    mean_idf = df_t.agg(F.avg(idf_raw)).scalar()
 
     q_terms = queries.select(F.col(query_id).alias("query_id"),
                              F.explode(split_ws(F.lower(F.col(query_text)))).alias("term")) \
         .groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qn"))
     vocab = q_terms.select("term").distinct()
-    q_idf = vocab.join(idf, "term").withColumn("_k", F.lit(1)).join(mean_idf, "_k").select(
-        "term", F.when(F.col("idf_raw") < 0, F.lit(epsilon) * F.col("mean_idf"))
-        .otherwise(F.col("idf_raw")).alias("idf"))
-
-    dl = toks.select("doc_id", F.size("toks").alias("dl"))
-    tf = toks.select("doc_id", F.explode("toks").alias("term")).join(vocab, "term", "left_semi") \
-        .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
-    avg = n_row.select("_k", "avgdl")
-    per_term = tf.join(dl, "doc_id").withColumn("_k", F.lit(1)).join(avg, "_k").join(q_idf, "term")
-    per_term = per_term.select(
+    q_idf = df_t.join(vocab, "term", "left_semi").select(
+        "term", F.when(idf_raw < 0, F.lit(epsilon) * mean_idf).otherwise(idf_raw).alias("idf"))
+
+    tf = toks.select("doc_id", F.size("toks").alias("dl"), F.explode("toks").alias("term")) \
+        .join(vocab, "term", "left_semi") \
+        .groupBy("doc_id", "term", "dl").agg(F.count(F.lit(1)).alias("tf"))
+    per_term = tf.join(q_idf, "term").select(
         "doc_id", "term",
         (F.col("idf") * F.col("tf") * F.lit(k1 + 1)
-         / (F.col("tf") + F.lit(k1) * (F.lit(1 - b) + F.lit(b) * F.col("dl") / F.col("avgdl")))).alias("s"))
-    scored = per_term.join(q_terms, "term").groupBy("query_id", "doc_id") \
-        .agg(F.sum(F.col("s") * F.col("qn")).alias("score"))
-    positive = scored.where(F.col("score") > 0)
-    return _fill_top_k(positive, docs.select(F.col(id_col).alias("doc_id")),
-                       queries.select(F.col(query_id).alias("query_id")), k)
-
-
-def _fill_top_k(positive: DataFrame, all_ids: DataFrame, query_ids: DataFrame, k: int) -> DataFrame:
-    """Top k of positive scores per query, then zero-score ids in id order.
-
-    The fill needs at most the k smallest ids; these k values are the only
-    data that reach the driver.
-    """
+         / (F.col("tf") + F.lit(k1) * (F.lit(1 - b) + F.lit(b) * F.col("dl") / avgdl))).alias("s"))
+    matched = per_term.join(q_terms, "term").select("query_id", "doc_id", (F.col("s") * F.col("qn")).alias("s"))
+    first_ids = docs.select(F.col(id_col).alias("doc_id")).orderBy("doc_id").limit(k) \
+        .agg(F.collect_list("doc_id")).scalar()
+    zeros = queries.select(F.col(query_id).alias("query_id"), F.explode(first_ids).alias("doc_id"),
+                           F.lit(0.0).alias("s"))
+    scored = matched.unionByName(zeros).groupBy("query_id", "doc_id").agg(F.sum("s").alias("score"))
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("doc_id"))
-    top = positive.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    first_ids = [r[0] for r in all_ids.orderBy("doc_id").limit(k).collect()]
-    if not first_ids:
-        return top.select("query_id", "doc_id", "rank", "score")
-    cand = query_ids.select("query_id", F.posexplode(F.array(*[F.lit(i) for i in first_ids])).alias("pos", "doc_id"))
-    cand = cand.join(top.select("query_id", "doc_id"), ["query_id", "doc_id"], "left_anti")
-    n_pos = top.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_pos"))
-    wz = Window.partitionBy("query_id").orderBy("doc_id")
-    zeros = cand.join(n_pos, "query_id", "left").withColumn("n_pos", F.coalesce("n_pos", F.lit(0))) \
-        .withColumn("rank", F.col("n_pos") + F.row_number().over(wz)).where(F.col("rank") <= k) \
-        .select("query_id", "doc_id", "rank", F.lit(0.0).alias("score"))
-    return top.select("query_id", "doc_id", "rank", "score").unionByName(zeros)
+    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k) \
+        .select("query_id", "doc_id", "rank", "score")
