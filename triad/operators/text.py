@@ -132,11 +132,16 @@ def longest_docs(papers: DataFrame, text_col: str = "abstract", k: int = 30) ->
         .orderBy(F.desc("n_words"), "id").limit(k)
 
 
-def fixed_chunk_array(text, size: int = 200, overlap: int = 30):
-    """Word windows of ``size`` words, each starting ``max(1, size-overlap)``
-    after the previous; the last window reaches the end of the text."""
+def fixed_chunk_array(words, size: int = 200, overlap: int = 30):
+    """Word windows of ``size`` words over a word-array column, each starting
+    ``max(1, size-overlap)`` after the previous; the last window reaches the end.
+
+    ``words`` must be a column of an earlier projection (see ``fixed_chunks``):
+    it is read inside the window lambda, so an inline tokeniser would run
+    once per window.
+    """
     step = max(1, size - overlap)
-    words = split_ws(F.coalesce(text, F.lit("")))
+    words = F.col(words) if isinstance(words, str) else words
     w = F.size(words)
     n = F.when(w <= size, F.lit(1)).otherwise(F.lit(1) + F.ceil((w - size) / F.lit(step)).cast("int"))
     starts = F.sequence(F.lit(0), (n - 1) * step, F.lit(step))
@@ -168,8 +173,15 @@ def explode_chunks(df: DataFrame, chunks_col, keep: list[str]) -> DataFrame:
     return df.select(*keep, F.posexplode(chunks_col).alias("chunk_id", "chunk_text"))
 
 
-def fixed_chunks(papers: DataFrame, text_col: str = "abstract", size: int = 200, overlap: int = 30) -> DataFrame:
-    return explode_chunks(papers, fixed_chunk_array(F.col(text_col), size, overlap), ["id"])
+def _with_words(df: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
+    return df.select(*keep, split_ws(F.coalesce(F.col(text_col), F.lit(""))).alias("_words"))
+
+
+def fixed_chunks(papers: DataFrame, text_col: str = "abstract", size: int = 200, overlap: int = 30,
+                 keep: list[str] | None = None) -> DataFrame:
+    keep = keep or ["id"]
+    w = _with_words(papers, text_col, keep)
+    return explode_chunks(w, fixed_chunk_array("_words", size, overlap), keep)
 
 
 def sentence_chunks(papers: DataFrame, text_col: str = "abstract", max_words: int = 200) -> DataFrame:
@@ -181,9 +193,13 @@ def chunk_records(papers: DataFrame, strategy: str = "fixed", size: int = 200, o
     """Chunk records of the ``top_n`` longest papers (all papers if None):
     id '<strategy>_<paper>_<j>', text 'title [SEP] chunk', metadata struct."""
     src = longest_docs(papers, "abstract", top_n) if top_n else papers
-    arr = fixed_chunk_array(F.col("abstract"), size, overlap) if strategy == "fixed" \
-        else sentence_chunk_array(F.col("abstract"), max_words)
-    ch = src.select("id", "title", "year", "category", F.posexplode(arr).alias("chunk_id", "chunk"))
+    keep = ["id", "title", "year", "category"]
+    if strategy == "fixed":
+        src = _with_words(src, "abstract", keep)
+        arr = fixed_chunk_array("_words", size, overlap)
+    else:
+        arr = sentence_chunk_array(F.col("abstract"), max_words)
+    ch = src.select(*keep, F.posexplode(arr).alias("chunk_id", "chunk"))
     return ch.select(
         F.concat_ws("_", F.lit(strategy), F.col("id").cast("string"), F.col("chunk_id").cast("string")).alias("id"),
         F.lit(strategy).alias("strategy"),
@@ -218,10 +234,17 @@ def bm25(docs: DataFrame, queries: DataFrame, k: int = 10, k1: float = 1.5, b: f
     the final shuffle.
     """
     toks = docs.select(F.col(id_col).alias("doc_id"), split_ws(F.lower(F.col(text_col))).alias("toks"))
-    n_docs = toks.agg(F.count(F.lit(1))).scalar()
-    avgdl = toks.agg(F.sum(F.size("toks")) / F.count(F.lit(1))).scalar()
-    df_t = toks.select(F.explode(F.array_distinct("toks")).alias("term")).groupBy("term") \
-        .agg(F.count(F.lit(1)).alias("df"))
+    # One aggregate gives df per term and, in an extra group keyed by a null
+    # term (one marker row per document), N and the total length.
+    marked = toks.select(F.explode(F.concat(F.array_distinct("toks"), F.array(F.lit(None).cast("string"))))
+                         .alias("term"), F.size("toks").alias("dl"))
+    df_all = marked.groupBy("term").agg(
+        F.count(F.lit(1)).alias("df"),
+        F.sum(F.when(F.col("term").isNull(), F.col("dl")).otherwise(F.lit(0))).alias("total"))
+    stats = df_all.where(F.col("term").isNull()).select(F.struct("df", "total")).scalar()
+    n_docs = stats.getField("df")
+    avgdl = stats.getField("total") / n_docs
+    df_t = df_all.where(F.col("term").isNotNull()).select("term", "df")
     idf_raw = F.log(n_docs - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)
     mean_idf = df_t.agg(F.avg(idf_raw)).scalar()
 

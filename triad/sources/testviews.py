@@ -16,8 +16,34 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Read one table; its schema is inferred once per path (later reads skip
+    the footer-reading job), as a catalog would supply it."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+    else:
+        df = spark.read.schema(schema).parquet(path)
+    return spread(df)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan that yields fewer splits than the cluster has cores.
+
+    A large table arrives in many splits and is returned as is (no shuffle);
+    a small table stored as one row group would otherwise run every per-row
+    step before the first shuffle in a single task. Filters and column
+    pruning still reach the scan below the repartition.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
 
 
 # ---------------------------------------------------------------- tracks
