@@ -95,10 +95,11 @@ def louvain(edges: DataFrame, vertices: DataFrame, src: str = "src", dst: str =
     """Louvain communities (id, community) of an undirected weighted graph.
 
     Per level: rounds of local moves (every vertex picks the neighbouring
-    community with the best modularity gain; only vertices of one hash half
-    move per round, alternating, so neighbours do not swap endlessly), until
-    no vertex moves; then communities are contracted into vertices (edge
-    weights summed, self-loops kept) and the next level starts. Vertices
+    community with the best modularity gain and moves if the gain is
+    positive and the community's label is smaller than its own; all vertices
+    move at once), until no vertex moves; then communities are contracted
+    into vertices (edge weights summed, self-loops kept) and the next level
+    starts. Vertices
     without edges stay alone. Final labels are the smallest member id.
     """
     e0 = undirected(edges, src, dst, weight).where(F.col("src") != F.col("dst"))
@@ -136,22 +137,24 @@ def louvain(edges: DataFrame, vertices: DataFrame, src: str = "src", dst: str =
                 F.col("tot") - F.when(F.col("cb") == F.col("cur"), F.col("k")).otherwise(F.lit(0.0))) / F.lit(two_m)
             best = cand.withColumn("score", score).groupBy("a").agg(
                 F.max(F.struct(F.col("score"), (-F.col("cb")).alias("neg_cb"))).alias("best"),
-                F.max(F.when(F.col("cb") == F.col("cur"), F.col("score"))).alias("stay"))
-            half = (F.pmod(F.xxhash64("a"), F.lit(2)) == F.lit(r % 2))
-            moves = best.where(half & ((F.col("best.score") - F.col("stay")) / F.lit(m) > F.lit(min_gain))) \
+                F.max(F.when(F.col("cb") == F.col("cur"), F.col("score"))).alias("stay"),
+                F.first("cur").alias("cur_c"))
+            # a vertex only moves to a community with a smaller label: labels
+            # fall monotonically, so simultaneous moves cannot swap back and
+            # forth and every level ends
+            moves = best.where(((F.col("best.score") - F.col("stay")) / F.lit(m) > F.lit(min_gain))
+                               & (-F.col("best.neg_cb") < F.col("cur_c"))) \
                 .select("a", (-F.col("best.neg_cb")).alias("new_c"))
             new = comm.join(moves, "a", "left").select(
-                "a", F.coalesce("new_c", "c").alias("c"), "k")
+                "a", F.coalesce("new_c", "c").alias("c"), "k", F.col("new_c").isNotNull().alias("moved"))
             new = _cut(new, rnd_total, checkpoint_every)
-            n_moves = new.join(comm.select("a", F.col("c").alias("old")), "a") \
-                .where(F.col("c") != F.col("old")).count()
+            n_moves = new.where("moved").count()
             if _DEBUG:
                 print("louvain level", _level, "round", r, "moves", n_moves, flush=True)
             comm.unpersist()
-            comm = new
+            comm = new.select("a", "c", "k")
             moved_any = moved_any or n_moves > 0
-            idle = idle + 1 if n_moves == 0 else 0
-            if idle >= 2:  # neither half can improve
+            if n_moves == 0:
                 break
         # relabel members to their node's community
         members = members.join(comm.select(F.col("a").alias("node"), "c"), "node") \

@@ -254,10 +254,12 @@ SELECT community, CAST(rank AS INTEGER) AS rank, genre, freq FROM (
   WHERE r.rating >= 4 GROUP BY 1, 2) WHERE rank <= 3""", "rated", "g_users", "has_genre"),
     "hop_path": with_views(f"""
 WITH {_bfs_sql(f"SELECT 'u:{PAIRS[0][0]}' AS s, 'u:{PAIRS[0][1]}' AS t")}
-SELECT CAST(h.length AS INTEGER) AS pathLength,
-       array_to_string(list_transform(h.path, lambda k: CASE WHEN starts_with(k, 'u:') THEN 'User(' || substr(k, 3) || ')'
-            ELSE 'Movie(' || (SELECT title FROM g_movies WHERE 'm:' || CAST(movie_id AS VARCHAR) = k) || ')' END), ' -> ') AS pathNodes
-FROM bfs_hits h""", "rated", "g_movies"),
+SELECT CAST(length AS INTEGER) AS pathLength, string_agg(cap, ' -> ' ORDER BY pos) AS pathNodes FROM (
+  SELECT hp.length, hp.pos,
+         CASE WHEN starts_with(hp.k, 'u:') THEN 'User(' || substr(hp.k, 3) || ')' ELSE 'Movie(' || m.title || ')' END AS cap
+  FROM (SELECT length, unnest(path) AS k, unnest(generate_series(1, len(path))) AS pos FROM bfs_hits) hp
+  LEFT JOIN g_movies m ON 'm:' || CAST(m.movie_id AS VARCHAR) = hp.k)
+GROUP BY length""", "rated", "g_movies"),
     "path_report": with_views(f"""
 WITH {_bfs_sql(f"SELECT DISTINCT * FROM (SELECT 'u:{PAIRS[0][0]}' AS s, 'u:' || CAST(user_id AS VARCHAR) AS t FROM (SELECT user_id FROM active ORDER BY ratingCount DESC, user_id LIMIT {REPORT_ACTIVE}) UNION ALL SELECT 'u:{PAIRS[0][0]}', 'u:{PAIRS[0][1]}') WHERE s <> t")}
 SELECT CAST(substr(s, 3) AS BIGINT) AS u1, CAST(substr(t, 3) AS BIGINT) AS u2, CAST(length AS INTEGER) AS pathLength,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["documents", "graph", "search"]
+MODULES = ["documents", "graph", "search", "algorithms"]
 
 
 def _modules():
