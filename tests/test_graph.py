@@ -33,12 +33,12 @@ def g(spark):
 
 def test_load_counts_and_merge(g):
     counts = {r.item: r.n for r in G.graph_counts(g).collect()}
-    assert counts == {"users": 7, "movies": 5, "genres": 3, "ratings": 14, "has_genre": 5}
+    assert counts == {"users": 7, "movies": 5, "genres": 3, "ratings": 14, "has_genre": 6}
     r5 = [r.rating for r in g.rated.where("user_id = 5").collect()]
     assert r5 == [5]
     assert {r.name for r in g.genres.collect()} == {"Drama", "Thriller", "Comedy"}
     types = {r.relationshipType: r.relationshipCount for r in G.edge_types(g).collect()}
-    assert types == {"RATED": 14, "HAS_GENRE": 5}
+    assert types == {"RATED": 14, "HAS_GENRE": 6}
 
 
 def test_patterns(g):

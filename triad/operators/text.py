@@ -267,7 +267,9 @@ def bm25(docs: DataFrame, queries: DataFrame, k: int = 10, k1: float = 1.5, b: f
         .agg(F.collect_list("doc_id")).scalar()
     zeros = queries.select(F.col(query_id).alias("query_id"), F.explode(first_ids).alias("doc_id"),
                            F.lit(0.0).alias("s"))
-    scored = matched.unionByName(zeros).groupBy("query_id", "doc_id").agg(F.sum("s").alias("score"))
+    # scores are ranked at 1e-9: sums that are equal in exact arithmetic tie
+    # (and fall to the id order) whatever the summation order
+    scored = matched.unionByName(zeros).groupBy("query_id", "doc_id").agg(F.round(F.sum("s"), 9).alias("score"))
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("doc_id"))
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k) \
         .select("query_id", "doc_id", "rank", "score")

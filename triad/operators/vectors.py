@@ -132,6 +132,7 @@ def knn(corpus: DataFrame, queries: DataFrame, k: int = 5, metric: str = "cosine
             else:
                 s = -np.sqrt(np.maximum(
                     (v * v).sum(1)[:, None] + (q * q).sum(1)[None, :] - 2.0 * (v @ q.T), 0.0))
+            s = np.round(s, 9)  # equal-in-theory scores tie; ids decide
             out_q, out_i, out_s = [], [], []
             for j in range(len(q_ids)):
                 sj = s[:, j]

@@ -250,13 +250,13 @@ bm_tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(t) AS
 bm_scored AS (
   SELECT q.query_id, tf.doc_id,
          sum(q.qn * (CASE WHEN i.idf_raw < 0 THEN 0.25 * bm_mean.m ELSE i.idf_raw END) * tf.tf * 2.5
-             / (tf.tf + 1.5 * (0.25 + 0.75 * len(d.t) / bm_n.avgdl))) AS score
+             / (tf.tf + 1.5 * (0.25 + 0.75 * len(d.t) / bm_n.avgdl))) AS raw_score
   FROM q_terms q JOIN bm_tf tf ON q.term = tf.term JOIN bm_idf i ON i.term = q.term
   JOIN bm_toks d ON d.doc_id = tf.doc_id, bm_n, bm_mean
   GROUP BY ALL),
-bm_pos AS (SELECT query_id, doc_id, score,
-                  row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank
-           FROM bm_scored WHERE score > 0 QUALIFY rank <= {k}),
+bm_pos AS (SELECT query_id, doc_id, round(raw_score, 9) AS score,
+                  row_number() OVER (PARTITION BY query_id ORDER BY round(raw_score, 9) DESC, doc_id) AS rank
+           FROM bm_scored WHERE round(raw_score, 9) > 0 QUALIFY rank <= {k}),
 bm_npos AS (SELECT q.query_id, count(p.doc_id) AS c FROM (SELECT DISTINCT query_id FROM search_queries) q
             LEFT JOIN bm_pos p ON p.query_id = q.query_id GROUP BY ALL),
 bm_zero AS (
@@ -282,7 +282,7 @@ def _knn_sql(corpus: str, k: int, metric: str = "cosine", exclude_self: bool = T
     cond = "WHERE c.id <> s.query_id" if exclude_self else ""
     return f"""
 knn_c AS ({corpus}),
-knn_s AS (SELECT s.query_id, c.id, {score} AS score FROM knn_c c, search_queries s {cond}),
+knn_s AS (SELECT s.query_id, c.id, round({score}, 9) AS score FROM knn_c c, search_queries s {cond}),
 knn_hits AS (SELECT query_id, id, score,
                     CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS INTEGER) AS rank
              FROM knn_s QUALIFY rank <= {k})"""
@@ -294,8 +294,9 @@ def _q(body: str, *views: str) -> str:
 
 _FUSED = f"""
 WITH {_bm25_sql("SELECT id AS doc_id, title || ' ' || abstract AS text FROM corpus", 11).strip()},
-bm_legs AS (SELECT query_id, doc_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY rank) AS INTEGER) AS rank
-            FROM bm25_hits WHERE doc_id <> query_id QUALIFY rank <= 10),
+bm_legs AS (SELECT query_id, doc_id, rnk AS rank FROM (
+              SELECT query_id, doc_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY rank) AS INTEGER) AS rnk
+              FROM bm25_hits WHERE doc_id <> query_id) WHERE rnk <= 10),
 {_knn_sql('SELECT id, "values" FROM corpus', 10).strip()},
 legs AS (SELECT query_id, 'bm25' AS source, 0 AS leg, doc_id, rank FROM bm_legs
          UNION ALL SELECT query_id, 'vector', 1, id, rank FROM knn_hits),
