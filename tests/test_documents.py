@@ -127,3 +127,16 @@ def test_nested_filter_pushed_to_scan(spark, tmp_path):
     assert "TakeOrderedAndProject" in plan
     assert "audio_features.danceability" in plan.split("PushedFilters")[1].split("]")[0]
     assert F is not None
+
+
+def test_clustered_layout_same_rows(spark, tmp_path):
+    from triad.operators.layout import read_clustered, write_clustered
+
+    rows = [raw_row(i, track_genre="pop" if i % 2 else "rock", popularity=i % 50, danceability=(i % 10) / 10)
+            for i in range(60)]
+    t = D.nest_tracks(make_raw(spark, rows))
+    path = write_clustered(t, str(tmp_path / "c"), ["track_genre"], [F.desc("popularity")],
+                           ["audio_features.danceability"], num_partitions=3)
+    a = sorted(D.genre_danceable(t).collect())
+    b = sorted(D.genre_danceable(read_clustered(spark, path)).collect())
+    assert a == b and len(a) > 0

@@ -13,7 +13,7 @@ def last_write_wins(rows: DataFrame, keys: list[str], order: list[str], payload:
     map-side partial step: a key holding a third of all rows is reduced to one
     row per input partition before the shuffle, and no group is sorted whole.
     """
-    inner = [c for c in order + payload if c not in keys]
+    inner = [c for c in dict.fromkeys(order + payload) if c not in keys]
     if not inner:
         return rows.select(*keys).distinct()
     best = F.max(F.struct(*[F.col(c) for c in inner])).alias("_w")
@@ -28,8 +28,9 @@ def upsert_by_key(base: DataFrame, updates: DataFrame, keys: list[str], payload:
     Without ``order``, a batch number makes the update win; with it, the given
     columns decide (last write wins across and within the batches).
     """
-    b = base.select(*keys, *payload, *(order or []), F.lit(0).alias("_batch"))
-    u = updates.select(*keys, *payload, *(order or []), F.lit(1).alias("_batch"))
+    cols = list(dict.fromkeys(keys + payload + (order or [])))
+    b = base.select(*cols, F.lit(0).alias("_batch"))
+    u = updates.select(*cols, F.lit(1).alias("_batch"))
     ordering = (order or []) + ["_batch"]
     return last_write_wins(b.unionByName(u), keys, ordering, payload)
 

@@ -70,6 +70,17 @@ def q_danceable_genres(spark, sf_dir):
     return D.danceable_genres(tracks(spark, sf_dir))
 
 
+def q_clustered_read(spark, sf_dir):
+    """The genre/danceability query on a table laid out for it (equality: genre,
+    sort: popularity desc, range: danceability), written under the checkpoint folder."""
+    from triad.operators.layout import read_clustered, write_clustered
+    from triad.session import scratch_path
+
+    path = write_clustered(tracks(spark, sf_dir), scratch_path(spark, "clustered-tracks"),
+                           ["track_genre"], [F.desc("popularity")], ["audio_features.danceability"])
+    return flatten(D.genre_danceable(read_clustered(spark, path), genre=GENRE))
+
+
 def q_track_count(spark, sf_dir):
     return D.collection_count(tracks(spark, sf_dir), "tracks")
 
@@ -88,6 +99,7 @@ QUERIES = {
     "mood_distribution": q_mood_distribution,
     "danceable_genres": q_danceable_genres,
     "track_count": q_track_count,
+    "clustered_read": q_clustered_read,
 }
 
 _ARTISTS = "array_to_string(artists, '|') AS artists"
@@ -177,3 +189,4 @@ ORDER BY avg_danceability DESC, avg_energy DESC, avg_valence DESC, track_count D
 
     "track_count": with_views("SELECT 'tracks' AS collection, count(*) AS n FROM tracks", "tracks"),
 }
+ORACLE["clustered_read"] = ORACLE["genre_danceable"]
