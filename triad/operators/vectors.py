@@ -19,8 +19,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from triad.functions.text import split_ws  # noqa: F401  (re-exported for callers)
-
 METRICS = ("cosine", "dot", "l2")
 
 
