@@ -40,10 +40,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     step before the first shuffle in a single task. Filters and column
     pruning still reach the scan below the repartition.
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a Connect session without RDD access
         return df
-    return df.repartition(want)
+    return df if have >= want else df.repartition(want)
 
 
 # ---------------------------------------------------------------- tracks
