@@ -2,22 +2,23 @@
 
 Each is a short driver loop whose rounds are joins and aggregates that stay
 on the executors; the driver only reads one small aggregate per round (a
-convergence figure or a found/empty flag). Every few rounds the state is
+convergence figure or a found/empty flag). The state of each round is
 checkpointed to the shared folder named by ``spark.checkpoint.dir`` (reliable
-checkpoints: a lost executor never forces a replay of all rounds).
+checkpoints: a lost executor never forces a replay of earlier rounds, and the
+plan of a round never carries the lineage of the ones before).
 """
 
 from __future__ import annotations
 
+import os
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from triad.session import checkpoint_dir
 
-import os as _os
-
-_DEBUG = bool(_os.environ.get("TRIAD_DEBUG"))
+_DEBUG = bool(os.environ.get("TRIAD_DEBUG"))  # print per-round progress of the loops
 
 
 def _cut(df: DataFrame, rnd: int, every: int) -> DataFrame:
