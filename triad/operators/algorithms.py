@@ -215,10 +215,9 @@ def hop_paths(edges: DataFrame, pairs: DataFrame, max_hops: int = 6, checkpoint_
             .select(F.col("x.s").alias("source"), F.col("p.t").alias("target"), F.col("x.path").alias("path"),
                     F.lit(depth).alias("length"))
         found = _cut(found.unionByName(hits), depth, checkpoint_every)
-        stats = found.agg(F.count(F.lit(1))).collect()[0][0], nxt.limit(1).count()
         open_pairs = pairs.join(found.select(F.col("source").alias("s"), F.col("target").alias("t")),
                                 ["s", "t"], "left_anti")
-        if stats[1] == 0 or open_pairs.limit(1).count() == 0:
+        if nxt.limit(1).count() == 0 or open_pairs.limit(1).count() == 0:
             break
         # keep expanding only sources that still have a target to reach
         frontier = nxt.join(open_pairs.select("s").distinct(), "s", "left_semi")
