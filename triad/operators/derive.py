@@ -3,11 +3,11 @@
 Pair counts ("how many users liked both") are a sparse matrix product
 ``A^T A``. They are computed in blocks, never by listing every pair inside a
 user's group: items are hashed into blocks of at most ``block_items``, groups
-(users) into chunks of at most ``group_chunk``; each task receives the rows of
-one (item block, item block, group chunk) cell, bounded by
-``group_chunk x 2 x block_items`` whatever the skew, multiplies two small
-dense 0/1 matrices with numpy, and emits one partial count per item pair; a
-final aggregate sums the chunks.
+(users) into chunks of about ``group_chunk``; each task receives the rows of
+one (item block, item block, group chunk) cell (a group adds at most
+``2 x block_items`` rows to a cell, however many rows it has in all),
+multiplies two small dense 0/1 matrices with numpy, and emits one partial
+count per item pair; a final aggregate sums the chunks.
 """
 
 from __future__ import annotations
