@@ -29,6 +29,12 @@ def q_co_rated_edges(spark, sf_dir):
     return _co_rated(graph(spark, sf_dir))
 
 
+def q_co_rated_top(spark, sf_dir):
+    """Task variant: liked (>= 4) by the same user, both movies with more than
+    20 ratings, the 50,000 strongest pairs."""
+    return DV.co_rated_edges(graph(spark, sf_dir), 4, 21, 1, top=STRONGEST_K)
+
+
 def q_active_users(spark, sf_dir):
     return DV.active_users(graph(spark, sf_dir), ACTIVE_MIN, ACTIVE_K)
 
@@ -148,6 +154,7 @@ def q_weighted_path(spark, sf_dir):
 
 QUERIES = {
     "co_rated_edges": q_co_rated_edges,
+    "co_rated_top": q_co_rated_top,
     "active_users": q_active_users,
     "similar_edges": q_similar_edges,
     "strongest_edges": q_strongest_edges,
@@ -227,6 +234,13 @@ def _bfs_sql(pairs_sql: str, max_hops: int = 6) -> str:
 
 ORACLE = {
     "co_rated_edges": with_views("SELECT * FROM co_rated", "co_rated"),
+    "co_rated_top": with_views(f"""
+SELECT r1.movie_id AS m1, r2.movie_id AS m2, count(*) AS weight
+FROM rated r1 JOIN rated r2 ON r1.user_id = r2.user_id AND r1.movie_id < r2.movie_id
+WHERE r1.rating >= 4 AND r2.rating >= 4
+  AND r1.movie_id IN (SELECT movie_id FROM rated GROUP BY movie_id HAVING count(*) > 20)
+  AND r2.movie_id IN (SELECT movie_id FROM rated GROUP BY movie_id HAVING count(*) > 20)
+GROUP BY 1, 2 ORDER BY weight DESC, m1, m2 LIMIT {STRONGEST_K}""", "rated"),
     "active_users": with_views("SELECT * FROM active", "active"),
     "similar_edges": with_views("SELECT * FROM sim_edges", "sim_edges"),
     "strongest_edges": with_views(f"""

@@ -15,6 +15,7 @@ from triad.sources import testviews as V
 # Filter A of the filtered search, on these tables: recent years of one category.
 FILTER_YEAR_MIN = 2021
 FILTER_CATEGORY = "en"
+FILTER_YEAR_MAX = 2015     # filter B: up to a year, any category
 DIM = 64
 
 
@@ -76,6 +77,12 @@ def q_knn_filtered(spark, sf_dir):
     return round_doubles(VE.knn(c, V.search_queries(spark, sf_dir), k=5, where=where, exclude_self=True))
 
 
+def q_knn_filtered_before(spark, sf_dir):
+    c = V.search_corpus(spark, sf_dir)
+    return round_doubles(VE.knn(c, V.search_queries(spark, sf_dir), k=5, where=F.col("year") <= FILTER_YEAR_MAX,
+                                exclude_self=True))
+
+
 def q_metric_compare(spark, sf_dir):
     vec, qs = V.vectors(spark, sf_dir), V.search_queries(spark, sf_dir)
     parts = [VE.knn(vec, qs, k=5, metric=m, exclude_self=True).withColumn("metric", F.lit(m))
@@ -178,6 +185,7 @@ QUERIES = {
     "bm25": q_bm25,
     "knn": q_knn,
     "knn_filtered": q_knn_filtered,
+    "knn_filtered_before": q_knn_filtered_before,
     "metric_compare": q_metric_compare,
     "rrf": q_rrf,
     "hybrid_search": q_hybrid_search,
@@ -367,6 +375,10 @@ SELECT query_id, id, round(score, 6) AS score, rank FROM knn_hits""", "vectors",
 
     "knn_filtered": _q(f"""
 WITH {_knn_sql(f'SELECT id, "values" FROM corpus WHERE "year" >= {FILTER_YEAR_MIN} AND category = {FILTER_CATEGORY!r}', 5).strip()}
+SELECT query_id, id, round(score, 6) AS score, rank FROM knn_hits""", "corpus", "search_queries"),
+
+    "knn_filtered_before": _q(f"""
+WITH {_knn_sql(f'SELECT id, "values" FROM corpus WHERE "year" <= {FILTER_YEAR_MAX}', 5).strip()}
 SELECT query_id, id, round(score, 6) AS score, rank FROM knn_hits""", "corpus", "search_queries"),
 
     "metric_compare": _q(" UNION ALL ".join(
