@@ -7,10 +7,48 @@ next stage's documents. All but the last return the columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from triad.llm.exchange import written
+from triad.llm.op2_quality import keep_good
+from triad.llm.op4_packing import packed
+from triad.llm.op7_lines import dedup_lines
+from triad.llm.op9_jaccard_join import jaccard_components
+from triad.llm.op10_decontaminate import clean_documents
+from triad.llm.queries import table, vocabulary_path
 
-STAGES: list = []
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the co-trained classifier rejects go."""
+    return keep_good(docs, table(spark, sf_dir, "labels"))
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later matching lines go, and documents that lose their last line with words; n_chars follows the text."""
+    cut = dedup_lines(docs)
+    left = (F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    changed = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return cut.where(left).withColumn("n_chars", changed).select(*docs.columns)
+
+
+def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the smallest doc_id stays."""
+    copies = jaccard_components(docs).where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
+    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+
+
+def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain a benchmark item go."""
+    return clean_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per piece of a document with its place in a training sequence."""
+    return packed(docs, vocabulary_path())
+
+
+STAGES = [("quality", quality_stage), ("lines", line_stage), ("near_copies", near_copy_stage),
+          ("benchmark", benchmark_stage), ("packing", packing_stage)]
 
 #: Training and tokenising cannot be stated in SQL.
 ORACLE_SQL = None
@@ -18,7 +56,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply all stages to the table ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
