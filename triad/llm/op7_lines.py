@@ -27,8 +27,8 @@ from triad.llm.text import LOWER_TO_BLANK, Words, batches, encoded, mix
 
 PERCENT = 80
 LEAST_WORDS = 5
-#: Hashed counters for the rarity order (a fixed size: 2 MB), and lines of a cluster that one task compares.
-COUNTERS_LOG2 = 18
+#: Hashed counters for the rarity order (a fixed size: 16 MB), and lines of a cluster that one task compares.
+COUNTERS_LOG2 = 22
 TILE = 2_000
 
 STEP = "block int, payload binary"
@@ -45,27 +45,29 @@ def release(spark) -> None:
 
 def rarity_ranks(docs: DataFrame) -> np.ndarray:
     """Rank of each hashed counter by its number of words in the whole corpus, rarest first."""
-    size, parts = 1 << COUNTERS_LOG2, 8
+    size, parts = 1 << COUNTERS_LOG2, 16
 
     def count(frames):
-        total = np.zeros(size, np.int64)
+        total = np.zeros(size, np.uint32)
         for pdf in frames:
             raw = encoded(pdf["text"])
             for a, b in batches(raw):
                 h = Words(raw[a:b], LOWER_TO_BLANK).hash
-                total += np.bincount((h >> np.uint64(64 - COUNTERS_LOG2)).astype(np.int64), minlength=size)
+                at, n = np.unique(h >> np.uint64(64 - COUNTERS_LOG2), return_counts=True)
+                total[at.astype(np.int64)] += n.astype(np.uint32)
         yield pd.DataFrame({"block": range(parts), "payload": [X.pack(p) for p in np.split(total, parts)]})
 
     def add(pdf):
-        return pd.DataFrame({"block": pdf["block"].iloc[:1], "payload": [X.pack(sum(X.unpack(p)[0] for p in pdf["payload"]))]})
+        total = sum(X.unpack(p)[0].astype(np.int64) for p in pdf["payload"])
+        return pd.DataFrame({"block": pdf["block"].iloc[:1], "payload": [X.pack(total)]})
 
     got = docs.select(F.col("text").cast("string").alias("text")).mapInPandas(count, STEP).groupBy("block").applyInPandas(add, STEP).collect()
     total = np.zeros(size, np.int64)
     for r in got:
         part = X.unpack(r["payload"])[0]
         total[r["block"] * len(part):(r["block"] + 1) * len(part)] = part
-    ranks = np.empty(size, np.uint64)
-    ranks[np.argsort(total, kind="stable")] = np.arange(size, dtype=np.uint64)
+    ranks = np.empty(size, np.uint32)
+    ranks[np.argsort(total, kind="stable")] = np.arange(size, dtype=np.uint32)
     return ranks
 
 
