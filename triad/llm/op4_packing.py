@@ -13,6 +13,7 @@ repeated or null doc_ids are packed as separate documents. Other columns are ign
 from __future__ import annotations
 
 import zlib
+from array import array
 
 import numpy as np
 import pandas as pd
@@ -23,7 +24,10 @@ LENGTH = 2048
 #: Pieces that one task packs, on average.
 GROUP = 20_000
 #: Distinct words that a worker remembers; beyond them it starts afresh.
-WORDS_KEPT = 400_000
+WORDS_KEPT = 1_200_000
+#: Texts whose new words are tokenised in one call.
+TEXTS_AT_ONCE = 32
+_MARKS = b".,;:!?"
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, deal long"
 PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
@@ -105,18 +109,40 @@ def _ids(vocabulary: str):
     return _worker["tokenizer"], _worker["known"]
 
 
-def tokenised(text: str | None, vocabulary: str) -> bytes:
-    """Ids of a whole text and the closing id 0, as little-endian unsigned 32-bit numbers."""
+def learn(words: set, vocabulary: str) -> None:
+    """Remember the ids of new words. A word's closing marks after an ASCII letter or digit are a piece of their own to the
+    tokenizer, and it lower-cases, so only the bare lower-cased word and the marks are tokenised."""
     tokenizer, known = _ids(vocabulary)
-    words = (text or "").encode("utf-8", "replace").split()
-    new = [w for w in set(words) if w not in known]
-    if new:
-        if len(known) + len(new) > WORDS_KEPT:
+    parts, new = {}, set()
+    for w in words:
+        bare = w.rstrip(_MARKS).lower()
+        if len(bare) < len(w) and bare[-1:].isalnum():
+            parts[w] = (bare, w[len(bare):])
+        else:
+            parts[w] = (w.lower(),)
+        new.update(p for p in parts[w] if p not in known)
+    new = list(new)
+    for w, e in zip(new, tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)):
+        known[w] = array("I", e.ids).tobytes()
+    for w, p in parts.items():
+        if w not in known:
+            known[w] = known[p[0]] + known[p[1]] if len(p) == 2 else known[p[0]]
+
+
+def tokenised(texts: list, vocabulary: str):
+    """Ids of each whole text and the closing id 0, as little-endian unsigned 32-bit numbers."""
+    _, known = _ids(vocabulary)
+    for at in range(0, len(texts), TEXTS_AT_ONCE):
+        split = [(t.encode("utf-8", "replace") if isinstance(t, str) else b"").split() for t in texts[at:at + TEXTS_AT_ONCE]]
+        words = set().union(*split)
+        new = words.difference(known)
+        if len(known) + 2 * len(new) > WORDS_KEPT:
             known.clear()
-            new = list(set(words))
-        for w, e in zip(new, tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)):
-            known[w] = np.array(e.ids, "<u4").tobytes()
-    return b"".join(map(known.__getitem__, words)) + b"\0\0\0\0"
+            new = words
+        if new:
+            learn(new, vocabulary)
+        for ws in split:
+            yield b"".join(map(known.__getitem__, ws)) + b"\0\0\0\0"
 
 
 def pieces(docs: DataFrame, vocabulary: str, length: int = LENGTH) -> DataFrame:
@@ -124,8 +150,7 @@ def pieces(docs: DataFrame, vocabulary: str, length: int = LENGTH) -> DataFrame:
     def cut(frames):
         for pdf in frames:
             rows = []
-            for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
-                ids = tokenised(text if isinstance(text, str) else None, vocabulary)
+            for doc_id, ids in zip(pdf["doc_id"], tokenised(pdf["text"].tolist(), vocabulary)):
                 doc = None if pd.isna(doc_id) else int(doc_id)
                 for k, at in enumerate(range(0, len(ids), 4 * length)):
                     body = ids[at:at + 4 * length]
