@@ -11,7 +11,8 @@ one goes too. Lines of fewer than ``least_words`` distinct words are too short t
 
 Cases: null and empty texts have no judged lines and come back unchanged (null stays null). Rows with one doc_id and
 different texts are ordered by a hash of the text; equal rows count as one document and get the same result. A null
-doc_id sorts first. A document that loses every line has an empty ``text`` and ``n_kept`` 0. Extra columns stay.
+doc_id sorts first. A document that loses every line has an empty ``text`` and ``n_kept`` 0. Extra columns stay, but for those
+named n_lines, n_kept or n_removed, which the result's own replace.
 """
 
 from __future__ import annotations
@@ -244,8 +245,8 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT, least_words: int = LEAS
     """``docs`` with later matching lines cut from ``text``; adds n_lines, n_kept (lines) and the original ``n_removed``."""
     spark = docs.sparkSession
     whole = docs.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("text", F.col("text").cast("string")) \
-        .withColumn("rid", F.xxhash64("doc_id", "text"))
-    slim = whole.select("doc_id", "rid", "text")
+        .withColumn("__rid", F.xxhash64("doc_id", "text"))
+    slim = whole.select("doc_id", F.col("__rid").alias("rid"), "text")
     bytes_ = docs.agg(F.coalesce(F.sum(F.octet_length(F.col("text").cast("string"))), F.lit(0)).alias("b")).first()["b"]
     ranks = spark.sparkContext.broadcast(rarity_ranks(docs))
     blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(bytes_ * 0.03) // X.BLOCK_KEYS + 1)
@@ -279,7 +280,8 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT, least_words: int = LEAS
     release(spark)
     none = F.array().cast("array<int>")
     cut = F.split("text", "\n", -1)
-    rows = whole.join(gone, "rid", "left").withColumn("gone", F.coalesce("gone", none)).withColumn("n_lines", F.size(F.coalesce(cut, F.array().cast("array<string>"))).cast("long"))
-    kept = F.when(F.size("gone") == 0, F.col("text")).otherwise(F.array_join(F.filter(cut, lambda x, i: ~F.array_contains("gone", i)), "\n"))
-    return rows.withColumn("text", kept).withColumn("n_removed", F.size("gone").cast("long")).drop("rid", "gone") \
+    gone = gone.select(F.col("rid").alias("__rid"), F.col("gone").alias("__gone"))
+    rows = whole.join(gone, "__rid", "left").withColumn("__gone", F.coalesce("__gone", none)).withColumn("n_lines", F.size(F.coalesce(cut, F.array().cast("array<string>"))).cast("long"))
+    kept = F.when(F.size("__gone") == 0, F.col("text")).otherwise(F.array_join(F.filter(cut, lambda x, i: ~F.array_contains("__gone", i)), "\n"))
+    return rows.withColumn("text", kept).withColumn("n_removed", F.size("__gone").cast("long")).drop("__rid", "__gone") \
         .withColumn("n_kept", F.col("n_lines") - F.col("n_removed"))
