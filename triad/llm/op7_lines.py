@@ -114,7 +114,7 @@ def _pass(na, nb, pa, pb, a1, a2, b1, b2, percent):
     return 100 * most >= percent * (na + nb - most)
 
 
-def candidate_forest(tok, ident, n, pos, s1, s2, percent: int, group: int = 64):
+def candidate_forest(tok, ident, n, pos, s1, s2, percent: int, group: int = 512):
     """Edges that span the candidate graph of every token's lines."""
     order = np.lexsort((n, tok))
     tok, ident, n, pos, s1, s2 = (x[order] for x in (tok, ident, n, pos, s1, s2))
@@ -202,6 +202,14 @@ def lines_and_candidates(docs: DataFrame, ranks, blocks: int, least_words: int =
     return docs.select("doc_id", "rid", "text").mapInPandas(send, STEP).groupBy("block").applyInPandas(match, FOUND)
 
 
+def _signatures(sets: list[np.ndarray], words: int) -> np.ndarray:
+    """Bitmaps of ``words`` 64-bit words, one bit per token by its hash."""
+    sig = np.zeros((len(sets), words), np.uint64)
+    for row, s in zip(sig, sets):
+        np.bitwise_or.at(row, ((s >> np.uint64(6)) & np.uint64(words - 1)).astype(np.int64), np.uint64(1) << (s & np.uint64(63)))
+    return sig
+
+
 def earliest_matches(members: DataFrame, percent: int = PERCENT, tile: int = TILE) -> DataFrame:
     """(a, doc_id, rid, line) of the earliest other line whose set matches, from members (component, a, doc_id, rid, line, tokens)."""
     sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("n")).select("component", F.ceil(F.col("n") / tile).cast("int").alias("parts"))
@@ -215,20 +223,21 @@ def earliest_matches(members: DataFrame, percent: int = PERCENT, tile: int = TIL
         m, n = len(sets), np.array([len(s) for s in sets], np.int64)
         part = pdf["part"].to_numpy()
         cross = key[1] != key[2]
-        sig = np.zeros((m, 8), np.uint64)
-        for i, s in enumerate(sets):
-            np.bitwise_or.at(sig[i], ((s >> np.uint64(6)) & np.uint64(7)).astype(np.int64), np.uint64(1) << (s & np.uint64(63)))
+        signed = [_signatures(sets, 8)]
+        if n.max() > 128:  # long lines fill a narrow signature; what it lets pass meets a wider one
+            signed.append(_signatures(sets, min(128, 1 << int(np.ceil(np.log2(n.max() / 16))))))
         best = np.full(m, -1)
         for i in range(m):  # earliest first: a line is settled by the first that matches
             j = i + 1 + np.flatnonzero(best[i + 1:] < 0)
             j = j[(100 * n[i] >= percent * n[j]) & (100 * n[j] >= percent * n[i])]
             if cross:
                 j = j[part[j] != part[i]]
-            if not len(j):
-                continue
-            most = np.minimum(n[i] - np.bitwise_count(sig[i] & ~sig[j]).sum(axis=1, dtype=np.int64),
-                              n[j] - np.bitwise_count(sig[j] & ~sig[i]).sum(axis=1, dtype=np.int64))
-            for k in j[100 * most >= percent * (n[i] + n[j] - most)]:
+            for sig in signed:
+                if len(j):
+                    most = np.minimum(n[i] - np.bitwise_count(sig[i] & ~sig[j]).sum(axis=1, dtype=np.int64),
+                                      n[j] - np.bitwise_count(sig[j] & ~sig[i]).sum(axis=1, dtype=np.int64))
+                    j = j[100 * most >= percent * (n[i] + n[j] - most)]
+            for k in j:
                 both = np.concatenate([sets[i], sets[k]])
                 both.sort(kind="stable")
                 inter = int(np.count_nonzero(both[1:] == both[:-1]))
