@@ -139,3 +139,9 @@ def test_similar_edges_key_order(spark):
     assert all(r.u1 < r.u2 for r in e)
     sym = DV.similar_edges(g, 4, 20, 2, symmetric=True).collect()
     assert len(sym) > len(e)
+
+
+def test_weighted_path_of_more_than_fifty_edges(spark):
+    rows = [Row(u1=i, u2=i + 1, distance=1.0) for i in range(54)] + [Row(u1=0, u2=54, distance=100.0)]
+    r = A.weighted_path(spark.createDataFrame(rows), 0, 54).collect()[0]
+    assert r.totalCost == 54.0 and r.nodeIds == list(range(55)) and r.hops == 54

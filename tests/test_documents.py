@@ -139,3 +139,12 @@ def test_clustered_layout_same_rows(spark, tmp_path):
     a = sorted(D.genre_danceable(t).collect())
     b = sorted(D.genre_danceable(read_clustered(spark, path)).collect())
     assert a == b and len(a) > 0
+
+
+def test_csv_quotes_and_backslashes(spark, tmp_path):
+    from triad.sources.files import read_csv_text
+
+    p = tmp_path / "q.csv"
+    p.write_text('id,name,n\n1,"""Heroes"" - 2017 Remaster",3\n2,"Say ""Hi"", now",4\n3,"C\\",5\n4,plain,6\n')
+    assert [tuple(r) for r in read_csv_text(spark, str(p)).orderBy("id").collect()] == [
+        ("1", '"Heroes" - 2017 Remaster', "3"), ("2", 'Say "Hi", now', "4"), ("3", "C\\", "5"), ("4", "plain", "6")]

@@ -108,3 +108,11 @@ def test_read_delimited_latin1(spark, tmp_path):
     rows = read_delimited(spark, str(p), 3, ["movieId", "title", "genres"]).collect()
     assert [(r.movieId, r.title, r.genres) for r in rows] == [
         ("1", "Amélie (2001)", "Comedy|Romance"), ("3", 'Heat, "The"', "")]
+
+
+def test_merge_nodes_without_order_keeps_the_last_row_read(spark):
+    from triad.operators.graph import merge_nodes
+
+    rows = spark.createDataFrame([(1, "M", 50), (2, "F", 30), (1, "F", 18)], "user_id long, gender string, age int").coalesce(1)
+    got = {r.user_id: (r.gender, r.age) for r in merge_nodes(rows, "user_id", ["gender", "age"]).collect()}
+    assert got == {1: ("F", 18), 2: ("F", 30)}

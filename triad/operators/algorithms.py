@@ -232,36 +232,35 @@ def hop_path(edges: DataFrame, source: str, target: str, max_hops: int = 6) -> D
 
 
 def weighted_path(edges: DataFrame, source, target, src: str = "u1", dst: str = "u2",
-                  cost: str = "distance", max_rounds: int = 50, checkpoint_every: int = 1) -> DataFrame:
+                  cost: str = "distance", checkpoint_every: int = 1) -> DataFrame:
     """Cheapest path in an undirected graph with non-negative edge costs.
 
-    Relaxation rounds (distributed Bellman-Ford): every reached vertex offers
-    ``cost + edge`` to its neighbours, each vertex keeps its best
-    (cost, hops, path); offers dearer than the best cost already known at the
-    target are pruned. Stops when no vertex improves. Returns (sourceNode,
+    Relaxation rounds (distributed Bellman-Ford): every vertex improved in the
+    last round offers ``cost + edge`` to its neighbours, each vertex keeps its
+    best (cost, hops, path); offers dearer than the best cost already known at
+    the target are pruned. Runs until no vertex improves, however long the path
+    is. Returns (sourceNode,
     targetNode, totalCost, nodeIds, hops, costs)."""
     spark = edges.sparkSession
     e = undirected(edges, src, dst, cost).persist(StorageLevel.MEMORY_AND_DISK)
     key_t = e.schema["src"].dataType.simpleString()
-    best = spark.createDataFrame([(source, 0.0, [source], [0.0])],
-                                 f"v {key_t}, d double, path array<{key_t}>, costs array<double>")
-    for rnd in range(1, max_rounds + 1):
+    best = spark.createDataFrame([(source, 0.0, [source], [0.0], True)],
+                                 f"v {key_t}, d double, path array<{key_t}>, costs array<double>, moved boolean")
+    rnd = 0
+    while True:
+        rnd += 1
         at_t = best.where(F.col("v") == F.lit(target)).agg(F.min("d")).collect()[0][0]
-        offers = best.join(e, best.v == e.src).select(
+        offers = best.where("moved").join(e, F.col("v") == e.src).select(
             F.col("dst").alias("v"), (F.col("d") + F.col("w")).alias("d"),
             F.concat("path", F.array("dst")).alias("path"),
             F.concat("costs", F.array(F.col("d") + F.col("w"))).alias("costs"))
         if at_t is not None:
             offers = offers.where(F.col("d") < F.lit(at_t))
-        allc = best.unionByName(offers)
-        pick = F.min(F.struct("d", F.size("path").alias("h"), "path", "costs"))
-        new = allc.groupBy("v").agg(pick.alias("b")).select("v", "b.d", "b.path", "b.costs")
-        new = _cut(new, rnd, checkpoint_every)
-        changed = new.join(best.select("v", F.col("d").alias("od"), F.col("path").alias("op")), "v", "left") \
-            .where(F.col("od").isNull() | (F.col("d") < F.col("od")) |
-                   ((F.col("d") == F.col("od")) & (F.col("path") != F.col("op")))).count()
-        best = new
-        if changed == 0:
+        # a kept row sorts before an equal offer, so only real improvements are marked as moved
+        allc = best.select("v", "d", "path", "costs", F.lit(False).alias("moved")).unionByName(offers.withColumn("moved", F.lit(True)))
+        pick = F.min(F.struct("d", F.size("path").alias("h"), "path", "costs", "moved"))
+        best = _cut(allc.groupBy("v").agg(pick.alias("b")).select("v", "b.d", "b.path", "b.costs", "b.moved"), rnd, checkpoint_every)
+        if not best.where("moved").limit(1).count():
             break
     return best.where(F.col("v") == F.lit(target)).select(
         F.lit(source).alias("sourceNode"), F.col("v").alias("targetNode"), F.col("d").alias("totalCost"),

@@ -33,7 +33,8 @@ def rrf(ranked: DataFrame, k: int = 60, top: int = 5, legs: tuple[str, ...] = ("
 def ranked_legs(corpus: DataFrame, queries: DataFrame, k: int = 10, exclude_self: bool = True) -> DataFrame:
     """BM25 and vector top-k lists for every query, as (query_id, source, doc_id, rank, score).
 
-    ``corpus``: (id, title, abstract, values); ``queries``: (query_id, query_text, query_vec).
+    ``corpus``: (id, title, abstract, values); rows without ``values`` take part in the keyword leg only.
+    ``queries``: (query_id, query_text, query_vec).
     """
     docs = corpus.select("id", F.concat(F.coalesce("title", F.lit("")), F.lit(" "),
                                         F.coalesce("abstract", F.lit(""))).alias("text"))
@@ -45,7 +46,7 @@ def ranked_legs(corpus: DataFrame, queries: DataFrame, k: int = 10, exclude_self
         kw = kw.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     else:
         kw = bm25(docs, queries, k=k)
-    vec = knn(corpus.select("id", "values"), queries, k=k, exclude_self=exclude_self)
+    vec = knn(corpus.where(F.col("values").isNotNull()).select("id", "values"), queries, k=k, exclude_self=exclude_self)
     return (kw.select("query_id", F.lit("bm25").alias("source"), "doc_id", "rank", "score")
             .unionByName(vec.select("query_id", F.lit("vector").alias("source"),
                                     F.col("id").alias("doc_id"), "rank", "score")))

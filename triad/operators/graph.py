@@ -30,9 +30,11 @@ class PropertyGraph:
 # ------------------------------------------------------------- load
 
 def merge_nodes(rows: DataFrame, key: str, set_cols: list[str], order: list[str] | None = None) -> DataFrame:
-    """One vertex per non-null key; the last row (by ``order``) sets the properties."""
+    """One vertex per non-null key; the last row (by ``order``, else in the order the source is read) sets the properties."""
+    if not order:
+        rows, order = rows.withColumn("_read", F.monotonically_increasing_id()), ["_read"]
     rows = rows.where(F.col(key).isNotNull())
-    return last_write_wins(rows, [key], order or [], set_cols)
+    return last_write_wins(rows, [key], order, set_cols)
 
 
 def genre_names(movie_rows: DataFrame, sep: str = "|") -> DataFrame:

@@ -123,16 +123,12 @@ ORDER BY similarUsersCount DESC, avgRecommendedRating DESC, title ASC, movieId A
 LIMIT 20""", "rated", "g_movies"),
 
     "recommend_simple": with_views(f"""
-SELECT m2.title, count(*) AS score
-FROM rated r1
-JOIN rated r2 ON r1.movie_id = r2.movie_id
-JOIN rated r3 ON r2.user_id = r3.user_id
-JOIN g_movies m2 ON r3.movie_id = m2.movie_id
-WHERE r1.user_id = {TARGET_USER}
-  AND r3.movie_id NOT IN (SELECT movie_id FROM rated WHERE user_id = {TARGET_USER})
-GROUP BY m2.title
-ORDER BY score DESC, title
-LIMIT 10""", "rated", "g_movies"),
+WITH seen AS (SELECT movie_id FROM rated WHERE user_id = {TARGET_USER}),
+shared_films AS (SELECT user_id, count(*) AS w FROM rated SEMI JOIN seen USING (movie_id) WHERE user_id <> {TARGET_USER} GROUP BY user_id),
+unseen AS (SELECT user_id, movie_id FROM rated ANTI JOIN seen USING (movie_id))
+SELECT title, sum(w)::BIGINT AS score
+FROM unseen JOIN shared_films USING (user_id) JOIN g_movies USING (movie_id)
+GROUP BY title ORDER BY score DESC, title LIMIT 10""", "rated", "g_movies"),
 
     "top_rated_movies": with_views(f"""
 SELECT m.movie_id AS movieId, m.title, {_r2('avg(r.rating)')} AS avgRating, count(*) AS ratingsCount

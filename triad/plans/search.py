@@ -92,17 +92,17 @@ def q_metric_compare(spark, sf_dir):
 
 
 def q_rrf(spark, sf_dir):
-    legs = U.ranked_legs(V.search_corpus(spark, sf_dir), V.search_queries(spark, sf_dir), k=10)
+    legs = U.ranked_legs(V.whole_corpus(spark, sf_dir), V.search_queries(spark, sf_dir), k=10)
     return round_doubles(flatten(U.rrf(legs, 60, 5), sep=","))
 
 
 def q_hybrid_search(spark, sf_dir):
-    h = U.hybrid_search(V.search_corpus(spark, sf_dir), V.search_queries(spark, sf_dir))
+    h = U.hybrid_search(V.whole_corpus(spark, sf_dir), V.search_queries(spark, sf_dir))
     return round_doubles(flatten(h, sep=","))
 
 
 def q_method_top1(spark, sf_dir):
-    return U.method_top1(V.search_corpus(spark, sf_dir), V.search_queries(spark, sf_dir))
+    return U.method_top1(V.whole_corpus(spark, sf_dir), V.search_queries(spark, sf_dir))
 
 
 def _vector_records(spark, sf_dir):
@@ -300,7 +300,7 @@ def _q(body: str, *views: str) -> str:
 
 
 _FUSED = f"""
-WITH {_bm25_sql("SELECT id AS doc_id, title || ' ' || abstract AS text FROM corpus", 11).strip()},
+WITH {_bm25_sql("SELECT id AS doc_id, title || ' ' || abstract AS text FROM papers", 11).strip()},
 bm_legs AS (SELECT query_id, doc_id, rnk AS rank FROM (
               SELECT query_id, doc_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY rank) AS INTEGER) AS rnk
               FROM bm25_hits WHERE doc_id <> query_id) WHERE rnk <= 10),
@@ -388,18 +388,18 @@ SELECT query_id, id, round(score, 6) AS score, rank, '{m}' AS metric FROM knn_hi
 
     "rrf": _q(_FUSED + """
 SELECT query_id, rank, doc_id, round(rrf_score, 6) AS rrf_score, sources FROM top""",
-              "corpus", "q_terms", "search_queries"),
+              "papers", "corpus", "q_terms", "search_queries"),
 
     "hybrid_search": _q(_FUSED + """
 SELECT t.query_id, t.rank, t.doc_id, c.title, c.category, c."year", round(t.rrf_score, 6) AS rrf_score, t.sources
-FROM top t JOIN corpus c ON c.id = t.doc_id""", "corpus", "q_terms", "search_queries"),
+FROM top t JOIN papers c ON c.id = t.doc_id""", "papers", "corpus", "q_terms", "search_queries"),
 
     "method_top1": _q(_FUSED + """
 SELECT s.query_id,
        (SELECT doc_id FROM bm_legs b WHERE b.query_id = s.query_id AND b.rank = 1) AS bm25,
        (SELECT id FROM knn_hits v WHERE v.query_id = s.query_id AND v.rank = 1) AS vector,
        (SELECT doc_id FROM top h WHERE h.query_id = s.query_id AND h.rank = 1) AS hybrid
-FROM (SELECT DISTINCT query_id FROM search_queries) s""", "corpus", "q_terms", "search_queries"),
+FROM (SELECT DISTINCT query_id FROM search_queries) s""", "papers", "corpus", "q_terms", "search_queries"),
 
     "upsert_vectors": _q(f"""
 SELECT 'paper_' || CAST(c.id AS VARCHAR) AS id, c.id AS paper_id, len(c."values") AS dim,

@@ -15,13 +15,17 @@ DEFAULT_NA_WORDS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN"
                     "nan", "null")
 
 
-def read_csv_text(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    """Headered CSV with every column read as text (no inference pass)."""
+def read_csv_text(spark: SparkSession, path: str, columns: list[str] | None = None, multi_line: bool = False) -> DataFrame:
+    """Headered CSV with every column read as text (no inference pass).
+
+    Quotes inside quoted fields are doubled and backslashes are plain text. Files are split among tasks; fields
+    with line breaks need ``multi_line``, which reads each file in one task.
+    """
+    options = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line}
     if columns is None:
-        header = spark.read.option("header", True).csv(path).columns
-        columns = header
+        columns = spark.read.options(**options).csv(path).columns
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return spark.read.option("header", True).option("multiLine", True).schema(schema).csv(path)
+    return spark.read.options(**options).schema(schema).csv(path)
 
 
 def na_to_null(df: DataFrame, na_words=DEFAULT_NA_WORDS) -> DataFrame:

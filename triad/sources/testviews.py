@@ -163,6 +163,11 @@ def search_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return papers(spark, sf_dir).join(vectors(spark, sf_dir).select("id", "values"), "id", "inner")
 
 
+def whole_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All papers, with their vector where there is one: the keyword leg ranks all of them, the vector leg those with a vector."""
+    return papers(spark, sf_dir).join(vectors(spark, sf_dir).select("id", "values"), "id", "left")
+
+
 def paper_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON Lines text built from ``events``: one paper record per event.
 
