@@ -107,7 +107,7 @@ def test_forward_and_counts_match_enumeration():
     for idx, n, grid in hmm.padded(texts):
         assert np.allclose(hmm.forward(model, n, grid)[0], np.array(likelihood)[idx])
         s, m, e, ll = hmm.expected_counts(model, n, grid)
-        assert np.allclose(s, starts) and np.allclose(m, moves) and np.allclose(e, emits) and np.isclose(ll, total)
+        assert np.allclose(s, starts, atol=1e-5) and np.allclose(m, moves, atol=1e-5) and np.allclose(e, emits, atol=1e-5) and np.isclose(ll, total)
 
 
 def test_scores_and_base(spark):

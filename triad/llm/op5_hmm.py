@@ -27,7 +27,7 @@ TOP_WORDS = 2_048
 AFFIX_CLASSES = 2_048
 ALPHA = 0.1
 #: Tokens worked on at once by the recursions.
-BATCH_TOKENS = 1 << 18
+BATCH_TOKENS = 1 << 20
 
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 CODED = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, words_score double, classes binary"
@@ -194,9 +194,8 @@ def forward(model: dict, n: np.ndarray, grid: np.ndarray, keep: bool = False):
     """Scaled forward recursion: natural log likelihood of each text (and scaled states and scales, if kept)."""
     emit, move = np.ascontiguousarray(model["emit"].T), model["move"]
     steps, texts = grid.shape
-    loglik = np.zeros(texts)
-    alphas = np.empty((steps, texts, len(move))) if keep else None
-    scales = np.empty((steps, texts))
+    alphas = np.zeros((steps, texts, len(move)), np.float32) if keep else None
+    scales = np.ones((steps, texts))
     a = model["start"] * emit[grid[0]]
     for t in range(steps):
         first = np.searchsorted(n, t, "right")  # texts come sorted by length; shorter ones are done
@@ -208,9 +207,7 @@ def forward(model: dict, n: np.ndarray, grid: np.ndarray, keep: bool = False):
         if keep:
             alphas[t, first:] = a
         prev, done = a, first
-    for j in range(texts):
-        loglik[j] = np.log(scales[:n[j], j]).sum()
-    return loglik, alphas, scales
+    return np.log(scales).sum(axis=0), alphas, scales
 
 
 def expected_counts(model: dict, n: np.ndarray, grid: np.ndarray):
@@ -221,7 +218,6 @@ def expected_counts(model: dict, n: np.ndarray, grid: np.ndarray):
     starts, moves, emits = np.zeros(k), np.zeros((k, k)), np.zeros((k, CLASSES))
     steps, texts = grid.shape
     beta = np.ones((texts, k))
-    gammas = np.zeros((steps, texts, k))
     for t in range(steps - 1, -1, -1):
         first = np.searchsorted(n, t, "right")
         if t < steps - 1:
@@ -230,13 +226,12 @@ def expected_counts(model: dict, n: np.ndarray, grid: np.ndarray):
                 out = emit[grid[t + 1, later:]] * beta[later:] / scales[t + 1, later:, None]
                 moves += alphas[t, later:].T @ out
                 beta[later:] = out @ move.T
-        gammas[t, first:] = alphas[t, first:] * beta[first:]
+        alphas[t, first:] *= beta[first:]  # from here on the states' probabilities given the whole text
     moves *= move
-    starts += gammas[0].sum(axis=0)
-    live = np.arange(steps)[:, None] < n[None, :]
-    c, g = grid[live], gammas[live]
-    for s in range(k):
-        emits[s] = np.bincount(c, g[:, s], CLASSES)
+    starts += alphas[0].sum(axis=0)
+    flat = grid.ravel()
+    for s in range(k):  # places beyond a text's end hold zero
+        emits[s] = np.bincount(flat, alphas[:, :, s].ravel(), CLASSES)
     return starts, moves, emits, loglik.sum()
 
 
