@@ -25,13 +25,18 @@ MESSAGE = "chunk int, block int, payload binary"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir (set by the caller; tests set one)."""
+    """The shared folder of spark.checkpoint.dir; where it is unset, a local session sets one of its own."""
     for read in (lambda: spark.sparkContext.getCheckpointDir(), lambda: spark.conf.get("spark.checkpoint.dir", None),
                  lambda: spark.sparkContext.getConf().get("spark.checkpoint.dir")):
         found = read()
         if found:
             return found.rstrip("/")
-    raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    import tempfile  # one machine, as in tests: a folder of its own
+
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="triad-shared-"))
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
