@@ -121,6 +121,17 @@ def route(model: dict, x: np.ndarray) -> np.ndarray:
     return softmax(np.maximum(x @ w[0] + w[1], 0) @ w[2] + w[3])
 
 
+def neighbours(x: np.ndarray, k: int, block: int = 256) -> np.ndarray:
+    """Each row's k nearest other rows, nearest first, a block of rows at a time."""
+    out = np.empty((len(x), k), np.int32)
+    for lo in range(0, len(x), block):
+        far = -(x[lo:lo + block] @ x.T)
+        far[np.arange(len(far)), lo + np.arange(len(far))] = 2
+        top = np.argpartition(far, k, axis=1)[:, :k] if k < len(x) - 1 else np.argsort(far, axis=1, kind="stable")[:, :k]
+        out[lo:lo + block] = np.take_along_axis(top, np.argsort(np.take_along_axis(far, top, axis=1), axis=1, kind="stable"), axis=1)
+    return out
+
+
 def fit(sample: np.ndarray, parts: int, k: int, target_recall: float, seed: int = 7) -> dict:
     """Graph, parts, router and the number of parts to visit, from unit vectors of the sample."""
     rng = np.random.default_rng(seed)
@@ -128,9 +139,8 @@ def fit(sample: np.ndarray, parts: int, k: int, target_recall: float, seed: int
     parts = max(1, min(parts, n // 50))
     if parts == 1:
         return {"w": [np.zeros((sample.shape[1], 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1)], "visit": 1, "parts": 1}
-    sim = sample @ sample.T
-    np.fill_diagonal(sim, -2)
-    near = np.argpartition(-sim, NEIGHBOURS, axis=1)[:, :NEIGHBOURS]
+    ranked = neighbours(sample, min(max(k, NEIGHBOURS), n - 1))
+    near = ranked[:, :NEIGHBOURS]
     part = balanced_parts(near, parts, rng)
     target = np.zeros((n, parts))
     np.add.at(target, (np.repeat(np.arange(n), NEIGHBOURS), part[near].ravel()), 1.0)
@@ -141,7 +151,7 @@ def fit(sample: np.ndarray, parts: int, k: int, target_recall: float, seed: int
     p = route(model, sample)
     home = p.argmax(axis=1)
     rank = np.argsort(np.argsort(-p, axis=1, kind="stable"), axis=1)
-    top = np.argpartition(-sim[test], k, axis=1)[:, :k]
+    top = ranked[test][:, :k]
     place = rank[test][np.arange(test.sum())[:, None], home[top]]
     visit = next(v for v in range(1, parts + 1) if v == parts or (place < v).mean() >= target_recall)
     return model | {"visit": visit, "parts": parts}
