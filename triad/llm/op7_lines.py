@@ -54,8 +54,7 @@ def rarity_ranks(docs: DataFrame) -> np.ndarray:
             raw = encoded(pdf["text"])
             for a, b in batches(raw):
                 h = Words(raw[a:b], LOWER_TO_BLANK).hash
-                at, n = np.unique(h >> np.uint64(64 - COUNTERS_LOG2), return_counts=True)
-                total[at.astype(np.int64)] += n.astype(np.uint32)
+                np.add.at(total, (h >> np.uint64(64 - COUNTERS_LOG2)).astype(np.int64), np.uint32(1))
         yield pd.DataFrame({"block": range(parts), "payload": [X.pack(p) for p in np.split(total, parts)]})
 
     def add(pdf):
@@ -72,6 +71,19 @@ def rarity_ranks(docs: DataFrame) -> np.ndarray:
     return ranks
 
 
+def token_order(line: np.ndarray, rank: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Order by line, rank and hash. One sort of a key that holds the hash's next bits, unless those leave a tie open."""
+    rest = 64 - COUNTERS_LOG2
+    major = (line.astype(np.uint64) << np.uint64(COUNTERS_LOG2)) | rank
+    if len(line) and int(line[-1]) < 1 << (rest - 22):
+        key = (major << np.uint64(22)) | ((h >> np.uint64(rest - 22)) & np.uint64((1 << 22) - 1))
+        order = np.argsort(key)
+        key, h_at = key[order], h[order]
+        if not ((key[1:] == key[:-1]) & (h_at[1:] != h_at[:-1])).any():
+            return order
+    return np.lexsort((h, major))
+
+
 class LineSets:
     """Judged lines of a batch: ``tokens`` sorted by line, rank and hash; ``first`` token of each line; ``n``, ``doc``, ``line``, ``fp``."""
 
@@ -81,7 +93,7 @@ class LineSets:
         new = np.ones(len(line), bool)
         new[1:] = (line[1:] != line[:-1]) | (w.doc[1:] != w.doc[:-1])
         lid = np.cumsum(new) - 1
-        order = np.lexsort((w.hash, (lid.astype(np.uint64) << np.uint64(COUNTERS_LOG2)) | ranks[(w.hash >> np.uint64(64 - COUNTERS_LOG2)).astype(np.int64)]))
+        order = token_order(lid, ranks[(w.hash >> np.uint64(64 - COUNTERS_LOG2)).astype(np.int64)], w.hash)
         h, lid = w.hash[order], lid[order]
         once = np.ones(len(h), bool)
         once[1:] = (h[1:] != h[:-1]) | (lid[1:] != lid[:-1])
@@ -106,56 +118,72 @@ class LineSets:
         return a[pick], b[pick]
 
 
-def _pass(na, nb, pa, pb, a1, a2, b1, b2, percent):
-    """Length, positional and signature filters for pairs of lines that share a token at places pa and pb."""
+def _reach(na, nb, most, percent):
+    """Whether sets of these sizes can be similar enough with at most ``most`` tokens in common."""
+    return (100 + percent) * most >= percent * (na + nb)
+
+
+def _pass(na, nb, a1, a2, b1, b2, percent):
+    """Signature filter for pairs of lines."""
     miss_a = np.bitwise_count(a1 & ~b1) + np.bitwise_count(a2 & ~b2).astype(np.int64)
     miss_b = np.bitwise_count(b1 & ~a1) + np.bitwise_count(b2 & ~a2).astype(np.int64)
-    most = np.minimum(np.minimum(na - miss_a, nb - miss_b), 1 + np.minimum(na - pa - 1, nb - pb - 1))
-    return 100 * most >= percent * (na + nb - most)
+    return _reach(na, nb, np.minimum(na - miss_a, nb - miss_b), percent)
 
 
 def candidate_forest(tok, ident, n, pos, s1, s2, percent: int, group: int = 512):
-    """Edges that span the candidate graph of every token's lines."""
+    """Edges that span the candidate graph of every token's lines.
+
+    A line that many tasks sent counts once. The shorter line of a pair must hold its first common token
+    within its first n - ceil(2 t n / (1 + t)) + 1 tokens, about half of the prefix that the longer one needs.
+    """
+    _, once = np.unique(mix(tok ^ mix(ident)), return_index=True)
+    tok, ident, n, pos, s1, s2 = (x[once] for x in (tok, ident, n, pos, s1, s2))
     order = np.lexsort((n, tok))
     tok, ident, n, pos, s1, s2 = (x[order] for x in (tok, ident, n, pos, s1, s2))
+    left = n - pos  # tokens from this one on: a bound of what is in common
+    starts = _reach(n, n, left, percent)
     cuts = np.concatenate([[0], np.flatnonzero(tok[1:] != tok[:-1]) + 1, [len(tok)]]).astype(np.int64)
     size = np.diff(cuts)
     out = []
-    small = np.repeat((size > 1) & (size <= group), size)
-    at = np.flatnonzero(small)
-    end = np.repeat(cuts[1:], size)
+    at = np.flatnonzero(np.repeat((size > 1) & (size <= group), size) & starts)
+    end = np.repeat(cuts[1:], size)[at]
+    n_at, left_at = n[at], left[at]
     d = 1
     while len(at):  # each line against the d-th next longer one of its token
-        at = at[at + d < end[at]]
-        j = at + d
-        at, j = at[100 * n[at] >= percent * n[j]], j[100 * n[at] >= percent * n[j]]
-        ok = _pass(n[at], n[j], pos[at], pos[j], s1[at], s2[at], s1[j], s2[j], percent) & (ident[at] != ident[j])
-        out.append((ident[at[ok]], ident[j[ok]]))
+        inside = at + d < end
+        inside[inside] = 100 * n_at[inside] >= percent * n[at[inside] + d]
+        if not inside.all():
+            at, end, n_at, left_at = at[inside], end[inside], n_at[inside], left_at[inside]
+        i = np.flatnonzero(_reach(n_at, n[at + d], np.minimum(left_at, left[at + d]), percent))
+        i = at[i]
+        j = i + d
+        ok = _pass(n[i], n[j], s1[i], s2[i], s1[j], s2[j], percent)
+        out.append((ident[i[ok]], ident[j[ok]]))
         d += 1
     for g in np.flatnonzero(size > group):
         lo, hi = cuts[g], cuts[g + 1]
-        _, one = np.unique(ident[lo:hi], return_index=True)
-        i0 = lo + np.sort(one)
-        label = np.arange(len(i0))
-        nn, pp, a1, a2 = n[i0], pos[i0], s1[i0], s2[i0]
-        for i in range(len(i0)):
+        ids, nn, ll, a1, a2 = (x[lo:hi] for x in (ident, n, left, s1, s2))
+        label = np.arange(hi - lo)
+        for i in np.flatnonzero(starts[lo:hi]):
             # sorted by size: only longer lines up to the length bound, not yet connected
             top = np.searchsorted(nn, 100 * nn[i] // percent, "right")
-            j = i + 1 + np.flatnonzero(label[i + 1:top] != label[i])
+            j = i + 1 + np.flatnonzero((label[i + 1:top] != label[i]) & _reach(nn[i], nn[i + 1:top], np.minimum(ll[i], ll[i + 1:top]), percent))
             if not len(j):
                 continue
-            j = j[_pass(nn[i], nn[j], pp[i], pp[j], a1[i], a2[i], a1[j], a2[j], percent)]
+            j = j[_pass(nn[i], nn[j], a1[i], a2[i], a1[j], a2[j], percent)]
             if len(j):
-                for other in np.unique(label[j]):
-                    k = j[label[j] == other][0]
-                    out.append((ident[i0[i]:i0[i] + 1], ident[i0[k]:i0[k] + 1]))
-                label[np.isin(label, label[j])] = label[i]
+                others, k = np.unique(label[j], return_index=True)
+                out.append((np.repeat(ids[i], len(k)), ids[j[k]]))
+                label[np.isin(label, others)] = label[i]
     if not out:
         return np.empty(0, np.uint64), np.empty(0, np.uint64)
     a, b = np.concatenate([x[0] for x in out]), np.concatenate([x[1] for x in out])
     a, b = np.minimum(a, b), np.maximum(a, b)
-    pairs = np.unique(np.stack([a, b]), axis=1)
-    return pairs[0], pairs[1]
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return a[new], b[new]
 
 
 def lines_and_candidates(docs: DataFrame, ranks, blocks: int, least_words: int = LEAST_WORDS, percent: int = PERCENT) -> DataFrame:
