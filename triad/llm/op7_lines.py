@@ -238,44 +238,73 @@ def _signatures(sets: list[np.ndarray], words: int) -> np.ndarray:
     return sig
 
 
+def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Exact Jaccard of two sorted sets."""
+    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+        return False
+    both = np.concatenate([a, b])
+    both.sort(kind="stable")
+    inter = int(np.count_nonzero(both[1:] == both[:-1]))
+    return 100 * inter >= percent * (len(a) + len(b) - inter)
+
+
+def first_matches(sets: list[np.ndarray], part: np.ndarray, cross: bool, percent: int) -> np.ndarray:
+    """For each set the first earlier one that matches (-1: none); ``cross`` compares sets of different parts only."""
+    m = len(sets)
+    best = np.full(m, -1)
+    if m <= 16:
+        for i in range(m):
+            for k in range(i + 1, m):
+                if best[k] < 0 and not (cross and part[i] == part[k]) and _similar(sets[i], sets[k], percent):
+                    best[k] = i
+        return best
+    n = np.array([len(s) for s in sets], np.int64)
+    signed = [_signatures(sets, 8)]
+    if n.max() > 128:  # long lines fill a narrow signature; what it lets pass meets a wider one
+        signed.append(_signatures(sets, min(128, 1 << int(np.ceil(np.log2(n.max() / 16))))))
+    for i in range(m):  # earliest first: a line is settled by the first that matches
+        j = i + 1 + np.flatnonzero(best[i + 1:] < 0)
+        j = j[(100 * n[i] >= percent * n[j]) & (100 * n[j] >= percent * n[i])]
+        if cross:
+            j = j[part[j] != part[i]]
+        for sig in signed:
+            if len(j):
+                most = np.minimum(n[i] - np.bitwise_count(sig[i] & ~sig[j]).sum(axis=1, dtype=np.int64),
+                                  n[j] - np.bitwise_count(sig[j] & ~sig[i]).sum(axis=1, dtype=np.int64))
+                j = j[100 * most >= percent * (n[i] + n[j] - most)]
+        for k in j:
+            if _similar(sets[i], sets[k], percent):
+                best[k] = i
+    return best
+
+
 def earliest_matches(members: DataFrame, percent: int = PERCENT, tile: int = TILE) -> DataFrame:
-    """(a, doc_id, rid, line) of the earliest other line whose set matches, from members (component, a, doc_id, rid, line, tokens)."""
+    """(a, doc_id, rid, line) of the earliest other line whose set matches, from members (component, a, doc_id, rid, line, tokens).
+
+    Clusters of up to ``tile`` lines share groups of about twice that many lines; larger ones are compared part against part.
+    """
+    buckets = max(2 * int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")), members.count() // (2 * tile) + 1)
     sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("n")).select("component", F.ceil(F.col("n") / tile).cast("int").alias("parts"))
     placed = members.join(sizes, "component").withColumn("part", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int"))
     paired = placed.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("q")) \
-        .withColumn("lo", F.least("part", "q")).withColumn("hi", F.greatest("part", "q")).drop("parts", "q")
+        .withColumn("lo", F.least("part", "q")).withColumn("hi", F.greatest("part", "q")) \
+        .withColumn("bucket", F.when(F.col("parts") == 1, F.pmod(F.xxhash64("component"), F.lit(buckets))).otherwise(F.lit(-1))) \
+        .withColumn("large", F.when(F.col("parts") > 1, F.col("component")).otherwise(F.lit(0))).drop("parts", "q")
 
     def compare(key, pdf):
-        pdf = pdf.sort_values(["doc_id", "rid", "line"], na_position="first", kind="stable").reset_index(drop=True)
+        pdf = pdf.sort_values(["component", "doc_id", "rid", "line"], na_position="first", kind="stable").reset_index(drop=True)
         sets = [np.frombuffer(x, np.uint64) for x in pdf["tokens"]]
-        m, n = len(sets), np.array([len(s) for s in sets], np.int64)
-        part = pdf["part"].to_numpy()
-        cross = key[1] != key[2]
-        signed = [_signatures(sets, 8)]
-        if n.max() > 128:  # long lines fill a narrow signature; what it lets pass meets a wider one
-            signed.append(_signatures(sets, min(128, 1 << int(np.ceil(np.log2(n.max() / 16))))))
-        best = np.full(m, -1)
-        for i in range(m):  # earliest first: a line is settled by the first that matches
-            j = i + 1 + np.flatnonzero(best[i + 1:] < 0)
-            j = j[(100 * n[i] >= percent * n[j]) & (100 * n[j] >= percent * n[i])]
-            if cross:
-                j = j[part[j] != part[i]]
-            for sig in signed:
-                if len(j):
-                    most = np.minimum(n[i] - np.bitwise_count(sig[i] & ~sig[j]).sum(axis=1, dtype=np.int64),
-                                      n[j] - np.bitwise_count(sig[j] & ~sig[i]).sum(axis=1, dtype=np.int64))
-                    j = j[100 * most >= percent * (n[i] + n[j] - most)]
-            for k in j:
-                both = np.concatenate([sets[i], sets[k]])
-                both.sort(kind="stable")
-                inter = int(np.count_nonzero(both[1:] == both[:-1]))
-                if 100 * inter >= percent * (n[i] + n[k] - inter):
-                    best[k] = i
+        part, comp = pdf["part"].to_numpy(), pdf["component"].to_numpy()
+        cuts = np.concatenate([[0], np.flatnonzero(comp[1:] != comp[:-1]) + 1, [len(comp)]])
+        best = np.full(len(sets), -1)
+        for x, y in zip(cuts[:-1], cuts[1:]):
+            found = first_matches(sets[x:y], part[x:y], key[2] != key[3], percent)
+            best[x:y] = np.where(found >= 0, found + x, -1)
         hit = np.flatnonzero(best >= 0)
         by = pdf.iloc[best[hit]].reset_index(drop=True)
         return pd.DataFrame({"a": pdf["a"].to_numpy()[hit], "doc_id": by["doc_id"].astype("Int64"), "rid": by["rid"], "line": by["line"]})
 
-    return paired.groupBy("component", "lo", "hi").applyInPandas(compare, "a long, doc_id long, rid long, line int")
+    return paired.groupBy("bucket", "large", "lo", "hi").applyInPandas(compare, "a long, doc_id long, rid long, line int")
 
 
 def dedup_lines(docs: DataFrame, percent: int = PERCENT, least_words: int = LEAST_WORDS, tile: int = TILE) -> DataFrame:
