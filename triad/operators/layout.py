@@ -2,9 +2,10 @@
 
 A compound index on (equality, sort, range) lets a store jump to one key and
 read it in order. The Spark equivalent is a layout: rows range-partitioned
-on the equality columns and sorted within each file by (equality, sort,
-range), so parquet min/max statistics let a filter on the equality and range
-columns skip whole row groups and files.
+and sorted within each file by (equality, sort, range), so parquet min/max
+statistics let a filter on the equality and range columns skip whole row
+groups and files. Ranges cover all three, so one equality value that holds a
+third of the rows is still split over many writing tasks.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 def write_clustered(df: DataFrame, path: str, equality: list[str], sort: list | None = None,
                     range_cols: list[str] | None = None, num_partitions: int | None = None,
-                    mode: str = "overwrite", rows_per_group: int | None = None) -> str:
+                    mode: str = "overwrite", row_group_bytes: int | None = None) -> str:
     """Write ``df`` laid out for ``WHERE equality = ? AND range ... ORDER BY sort``."""
     n = num_partitions or df.sparkSession.sparkContext.defaultParallelism
     sort = sort or []
@@ -23,10 +24,10 @@ def write_clustered(df: DataFrame, path: str, equality: list[str], sort: list |
     keys = [F.col(c) if isinstance(c, str) else c for c in equality]
     order: list[Column] = keys + [F.col(c) if isinstance(c, str) else c for c in sort] + \
         [F.col(c) for c in range_cols]
-    out = df.repartitionByRange(n, *keys).sortWithinPartitions(*order)
+    out = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     w = out.write.mode(mode)
-    if rows_per_group:
-        w = w.option("parquet.block.size", str(rows_per_group))
+    if row_group_bytes:
+        w = w.option("parquet.block.size", str(row_group_bytes))
     w.parquet(path)
     return path
 
