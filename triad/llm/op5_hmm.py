@@ -191,48 +191,52 @@ def padded(classes: list[np.ndarray]):
 
 
 def forward(model: dict, n: np.ndarray, grid: np.ndarray, keep: bool = False):
-    """Scaled forward recursion: natural log likelihood of each text (and scaled states and scales, if kept)."""
-    emit, move = np.ascontiguousarray(model["emit"].T), model["move"]
+    """Scaled forward recursion: natural log likelihood of each text (and scaled states and scales, if kept).
+
+    States are rows and texts columns, so sums over states add whole rows. States that are kept are single precision.
+    """
+    real = np.float32 if keep else np.float64
+    emit, move = model["emit"].astype(real), np.ascontiguousarray(model["move"].T, real)
     steps, texts = grid.shape
-    alphas = np.zeros((steps, texts, len(move)), np.float32) if keep else None
-    scales = np.ones((steps, texts))
-    a = model["start"] * emit[grid[0]]
-    for t in range(steps):
-        first = np.searchsorted(n, t, "right")  # texts come sorted by length; shorter ones are done
-        if t:
-            a = (prev[first - done:] @ move) * emit[grid[t, first:]]
-        z = a.sum(axis=1, keepdims=True)
-        a = a / z
-        scales[t, first:] = z[:, 0]
+    alphas = np.zeros((steps, len(move), texts), real) if keep else None
+    scales = np.ones((steps, texts), real)
+    firsts = np.searchsorted(n, np.arange(steps), "right").tolist()  # texts come sorted by length; shorter ones are done
+    prev, done = None, 0
+    for t, first in enumerate(firsts):
+        a = emit.take(grid[t, first:], axis=1)
+        a *= move @ prev[:, first - done:] if t else model["start"].astype(real)[:, None]
+        z = a.sum(axis=0)
+        a /= z
+        scales[t, first:] = z
         if keep:
-            alphas[t, first:] = a
+            alphas[t, :, first:] = a
         prev, done = a, first
-    return np.log(scales).sum(axis=0), alphas, scales
+    return np.log(scales).sum(axis=0, dtype=np.float64), alphas, scales
 
 
 def expected_counts(model: dict, n: np.ndarray, grid: np.ndarray):
     """Baum-Welch counts of a batch: starts, moves, emissions and the log likelihood."""
-    emit, move = np.ascontiguousarray(model["emit"].T), model["move"]
+    emit, move = model["emit"], model["move"]
     k = len(move)
     loglik, alphas, scales = forward(model, n, grid, keep=True)
-    starts, moves, emits = np.zeros(k), np.zeros((k, k)), np.zeros((k, CLASSES))
+    moves, emits = np.zeros((k, k)), np.zeros((k, CLASSES))
     steps, texts = grid.shape
-    beta = np.ones((texts, k))
+    firsts = np.searchsorted(n, np.arange(steps), "right").tolist()
+    beta = np.ones((k, texts))
     for t in range(steps - 1, -1, -1):
-        first = np.searchsorted(n, t, "right")
-        if t < steps - 1:
-            later = np.searchsorted(n, t + 1, "right")  # texts that go on to t + 1
-            if later < texts:
-                out = emit[grid[t + 1, later:]] * beta[later:] / scales[t + 1, later:, None]
-                moves += alphas[t, later:].T @ out
-                beta[later:] = out @ move.T
-        alphas[t, first:] *= beta[first:]  # from here on the states' probabilities given the whole text
+        later = firsts[t + 1] if t < steps - 1 else texts  # texts that go on to t + 1
+        if later < texts:
+            out = emit.take(grid[t + 1, later:], axis=1)
+            out *= beta[:, later:]
+            out /= scales[t + 1, later:]
+            moves += alphas[t, :, later:] @ out.T
+            beta[:, later:] = move @ out
+        alphas[t, :, firsts[t]:] *= beta[:, firsts[t]:]  # from here on the states' probabilities given the whole text
     moves *= move
-    starts += alphas[0].sum(axis=0)
     flat = grid.ravel()
     for s in range(k):  # places beyond a text's end hold zero
-        emits[s] = np.bincount(flat, alphas[:, :, s].ravel(), CLASSES)
-    return starts, moves, emits, loglik.sum()
+        emits[s] = np.bincount(flat, alphas[:, s].ravel(), CLASSES)
+    return alphas[0].sum(axis=1, dtype=np.float64), moves, emits, loglik.sum()
 
 
 def train(table: DataFrame, s: dict, states: int = STATES, rounds: int = ROUNDS) -> tuple[dict, list[float]]:
