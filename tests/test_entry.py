@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from triad.plans import registry
 from triad.sources.testviews import TABLES
 
 from .conftest import SMALL
@@ -18,9 +19,10 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_oracle_or_is_rows_only():
-    q, o = E.queries(), E.oracle_sql()
+    q, o = registry.queries(), registry.oracle_sql()
     assert set(q) - set(o) == ROWS_ONLY
     assert set(o) <= set(q)
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.fixture(scope="module")
@@ -40,7 +42,7 @@ def _norm(v):
 
 
 @pytest.mark.parametrize("name", ["top_artists", "tempo_outliers", "recommend", "supernodes",
-                                  "sentence_chunks", "bm25", "hybrid_search", "co_rated_edges"])
+                                  "sentence_chunks", "bm25", "hybrid_search", "co_rated_edges", "weighted_path_far"])
 def test_oracle_agrees_on_smallest_tables(spark, duck, name):
     df = E.queries()[name](spark, SMALL)
     cols = sorted(df.columns)

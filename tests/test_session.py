@@ -2,7 +2,7 @@
 
 import __spark_entry__ as E
 from triad.session import checkpoint_dir, scratch_path
-from triad.sources.testviews import spread
+from triad.sources.testviews import table
 
 from .conftest import SMALL
 
@@ -13,16 +13,8 @@ def test_checkpoint_dir_is_set_once(spark):
     assert scratch_path(spark, "x").startswith(d.rstrip("/") + "/triad-x-")
 
 
-def test_spread_only_under_split_scans(spark, tmp_path):
-    one = str(tmp_path / "one")
-    spark.range(100).coalesce(1).write.parquet(one)
-    df = spark.read.parquet(one)
-    want = spark.sparkContext.defaultParallelism
-    assert spread(df).rdd.getNumPartitions() == want
-    many = str(tmp_path / "many")
-    spark.range(1000).repartition(want * 2).write.parquet(many)
-    wide = spark.read.option("maxPartitionBytes", "1").parquet(many)
-    assert spread(wide) is wide
+def test_table_reads_add_no_shuffle(spark):
+    assert "Exchange" not in _physical(table(spark, SMALL, "documents"))
 
 
 def _physical(df):

@@ -72,6 +72,28 @@ def test_knn_filter_and_self_and_empty(spark, data):
     assert ids[0] == 10 and 11 not in ids  # the tie with the query's own row
 
 
+def test_knn_in_blocks_and_tiles(spark, data, monkeypatch):
+    corpus, _, c, _ = data
+    qs = spark.createDataFrame([Row(query_id=j, query_vec=[float(x) for x in corpus[j]]) for j in range(20)])
+    monkeypatch.setattr(VE, "QUERY_BLOCK_BYTES", 7 * 64)
+    monkeypatch.setattr(VE, "QUERY_TILE", 3)
+    got = {}
+    for r in VE.knn(c, qs, k=4, exclude_self=True).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.id)
+    for j in range(20):
+        assert got[j] == brute(corpus, corpus[j], 4, "cosine", keep=lambda i, j=j: i != j)[0]
+    assert VE.knn(c, qs.limit(0), k=4).count() == 0
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
+    from triad.operators.layout import write_bucketed
+
+    a = write_bucketed(spark.range(1000).selectExpr("id AS k", "id % 7 AS x"), "bucket_a", ["k"], 4, str(tmp_path / "a"))
+    b = write_bucketed(spark.range(500).selectExpr("id AS k", "id % 5 AS y"), "bucket_b", ["k"], 4, str(tmp_path / "b"))
+    j = a.hint("merge").join(b, "k")
+    assert "Exchange" not in j._jdf.queryExecution().executedPlan().toString() and j.count() == 500
+
+
 def test_check_vectors_rejects_wrong_width(spark):
     df = spark.createDataFrame([Row(id=1, values=[1.0, 0.0]), Row(id=2, values=[1.0])])
     with pytest.raises(Exception):

@@ -10,6 +10,7 @@ plan of a round never carries the lineage of the ones before).
 
 from __future__ import annotations
 
+import itertools
 import os
 
 from pyspark import StorageLevel
@@ -32,8 +33,9 @@ def _cut(df: DataFrame, rnd: int, every: int) -> DataFrame:
 def undirected(edges: DataFrame, src: str = "src", dst: str = "dst", weight: str | None = "weight") -> DataFrame:
     """Both directions of every edge as (src, dst, w)."""
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
-    e = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst"), w.alias("w"))
-    return e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "w"))
+    one, other, w = F.col(src), F.col(dst), w.alias("w")
+    return edges.select(F.inline(F.array(F.struct(one.alias("src"), other.alias("dst"), w),
+                                         F.struct(other.alias("src"), one.alias("dst"), w))))
 
 
 # ------------------------------------------------------------- PageRank
@@ -41,7 +43,7 @@ def undirected(edges: DataFrame, src: str = "src", dst: str = "dst", weight: str
 def pagerank(edges: DataFrame, vertices: DataFrame, src: str = "src", dst: str = "dst",
              weight: str | None = "weight", vertex_id: str = "id", damping: float = 0.85,
              max_iter: int = 20, tol: float = 1e-7, is_undirected: bool = True,
-             checkpoint_every: int = 1) -> DataFrame:
+             checkpoint_every: int = 5) -> DataFrame:
     """Weighted PageRank, un-normalised: ``r = (1-d) + d * sum(r_u * w_uv / W_u)``,
     every vertex starting at ``1-d``; a vertex without edges keeps ``1-d``.
     Stops after ``max_iter`` rounds or when no score moves by ``tol``.
@@ -91,8 +93,8 @@ def modularity(edges: DataFrame, labels: DataFrame, src: str = "src", dst: str =
 
 
 def louvain(edges: DataFrame, vertices: DataFrame, src: str = "src", dst: str = "dst",
-            weight: str | None = "weight", vertex_id: str = "id", max_levels: int = 10,
-            max_rounds: int = 30, min_gain: float = 1e-12, checkpoint_every: int = 1) -> DataFrame:
+            weight: str | None = "weight", vertex_id: str = "id",
+            min_gain: float = 1e-12, checkpoint_every: int = 1) -> DataFrame:
     """Louvain communities (id, community) of an undirected weighted graph.
 
     Per level: rounds of local moves (every vertex picks the neighbouring
@@ -100,8 +102,8 @@ def louvain(edges: DataFrame, vertices: DataFrame, src: str = "src", dst: str =
     positive and the community's label is smaller than its own; all vertices
     move at once), until no vertex moves; then communities are contracted
     into vertices (edge weights summed, self-loops kept) and the next level
-    starts. Vertices
-    without edges stay alone. Final labels are the smallest member id.
+    starts. Labels only fall and levels only shrink, so both loops run until
+    nothing moves. Vertices without edges stay alone. Final labels are the smallest member id.
     """
     e0 = undirected(edges, src, dst, weight).where(F.col("src") != F.col("dst"))
     two_m = e0.agg(F.sum("w")).collect()[0][0] or 0.0
@@ -113,15 +115,14 @@ def louvain(edges: DataFrame, vertices: DataFrame, src: str = "src", dst: str =
     # level graph: node-to-node weights, including self-loops after contraction
     g = e0.select(F.col("src").alias("a"), F.col("dst").alias("b"), "w")
     rnd_total = 0
-    for _level in range(max_levels):
+    for _level in itertools.count():
         g = g.groupBy("a", "b").agg(F.sum("w").alias("w")).persist(StorageLevel.MEMORY_AND_DISK)
         k = g.groupBy("a").agg(F.sum("w").alias("k"))
         nodes = members.select(F.col("node").alias("a")).distinct().join(k, "a", "left") \
             .select("a", F.coalesce("k", F.lit(0.0)).alias("k"))
         comm = nodes.select("a", F.col("a").alias("c"), "k").persist(StorageLevel.MEMORY_AND_DISK)
         moved_any = False
-        idle = 0
-        for r in range(max_rounds):
+        for r in itertools.count():
             rnd_total += 1
             # kin(a, C): weight from a to community C; a "stay" row makes
             # sure a's own community is a candidate even without neighbours in it

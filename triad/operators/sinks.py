@@ -35,6 +35,22 @@ def upsert_by_key(base: DataFrame, updates: DataFrame, keys: list[str], payload:
     return last_write_wins(b.unionByName(u), keys, ordering, payload)
 
 
+def _plain(path: str) -> str:
+    return path.removeprefix("file:").replace("///", "/").rstrip("/")
+
+
+def read_roots(df: DataFrame) -> list[str]:
+    """Root paths of the file tables a DataFrame reads (one per table, however many files it has)."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    out = []
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() == "LogicalRelation" and leaf.relation().getClass().getSimpleName() == "HadoopFsRelation":
+            roots = leaf.relation().location().rootPaths()
+            out += [_plain(roots.apply(j).toString()) for j in range(roots.size())]
+    return out
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 partition_by: list[str] | None = None, **options) -> str:
     """Drop-and-rebuild (``overwrite``) or append a table at ``path``.
@@ -42,10 +58,9 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     Refuses to overwrite a path the DataFrame itself reads from.
     """
     if mode == "overwrite":
-        target = path.rstrip("/")
-        for f in df.inputFiles():
-            if f.replace("file://", "").startswith(target.replace("file://", "") + "/") or \
-                    f.replace("file://", "") == target.replace("file://", ""):
+        target = _plain(path)
+        for root in read_roots(df):
+            if (root + "/").startswith(target + "/") or (target + "/").startswith(root + "/"):
                 raise ValueError(f"refusing to overwrite {path}: the result reads from it")
     w = df.write.mode(mode).format(fmt).options(**options)
     if partition_by:

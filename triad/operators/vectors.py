@@ -2,9 +2,9 @@
 
 * ``embed``: batch inference in an iterator pandas UDF (one encoder per Python
   worker, Arrow batches in and out).
-* ``knn``: exact top-k. The query set is small and size-checked; it is
-  broadcast once, every partition of the corpus scores its rows with one
-  numpy matrix product and keeps a local top-k per query, and a window with a
+* ``knn``: exact top-k. Queries are broadcast in blocks of bounded size, every
+  partition of the corpus scores its rows tile by tile with numpy matrix
+  products and keeps a running top-k per query, and a window with a
   group limit merges the local lists. No pair table is ever materialised.
 * ``ann_knn``: approximate top-k with random-projection LSH (bucket equi-join).
 """
@@ -71,80 +71,97 @@ def check_vectors(df: DataFrame, vec_col: str, dim: int) -> DataFrame:
         F.col(vec_col)))
 
 
-def _local_top_k(ids: np.ndarray, scores: np.ndarray, k: int):
-    """Indices of the k best (score desc, id asc), keeping every tie at the cut."""
-    n = len(scores)
-    if n > k:
-        kth = np.partition(-scores, k - 1)[k - 1]
-        cand = np.nonzero(-scores <= kth)[0]
-    else:
-        cand = np.arange(n)
-    order = np.lexsort((ids[cand], -scores[cand]))
-    return cand[order][:k]
+#: Bytes of query vectors broadcast at once, and queries scored at once against a batch of rows.
+QUERY_BLOCK_BYTES = 64 << 20
+QUERY_TILE = 256
+
+
+def _query_blocks(queries: DataFrame, query_id: str, query_vec: str):
+    """The queries in blocks of bounded size, one block at a time on the driver: (ids, matrix)."""
+    ids, vecs = [], []
+    for qid, vec in queries.select(query_id, query_vec).toLocalIterator():
+        ids.append(qid)
+        vecs.append(np.asarray(vec, dtype=np.float64))
+        if len(ids) * vecs[-1].nbytes >= QUERY_BLOCK_BYTES:
+            yield np.array(ids, dtype=object), np.array(vecs)
+            ids, vecs = [], []
+    if ids:
+        yield np.array(ids, dtype=object), np.array(vecs)
 
 
 def knn(corpus: DataFrame, queries: DataFrame, k: int = 5, metric: str = "cosine",
         id_col: str = "id", vec_col: str = "values", query_id: str = "query_id",
-        query_vec: str = "query_vec", where=None, exclude_self: bool = False,
-        max_queries: int = 10000) -> DataFrame:
+        query_vec: str = "query_vec", where=None, exclude_self: bool = False) -> DataFrame:
     """Exact top-k neighbours of each query: (query_id, id, rank, score).
 
     ``where`` filters the corpus before ranking (an empty result is valid).
     ``score`` is the cosine similarity, the dot product or minus the L2
     distance. Ties are broken by id. ``exclude_self`` drops hits whose id
-    equals the query id.
+    equals the query id. Queries of any number are taken in blocks of bounded
+    size; a partition keeps a running top-k per query and yields it once.
     """
     if metric not in METRICS:
         raise ValueError(f"unknown metric {metric!r}")
     if where is not None:
         corpus = corpus.where(where)
     spark = corpus.sparkSession
-    rows = queries.select(query_id, query_vec).limit(max_queries + 1).collect()
-    if len(rows) > max_queries:
-        raise ValueError(f"more than {max_queries} queries; split the query table")
     id_type = corpus.schema[id_col].dataType
     qid_type = queries.schema[query_id].dataType
     out_schema = T.StructType([T.StructField("query_id", qid_type), T.StructField("id", id_type),
                                T.StructField("score", T.DoubleType())])
-    if not rows:
-        return spark.createDataFrame([], out_schema.add("rank", T.IntegerType()))
-    qids = np.array([r[0] for r in rows], dtype=object)
-    qmat = np.array([np.asarray(r[1], dtype=np.float64) for r in rows])
-    if metric == "cosine":
-        qn = np.linalg.norm(qmat, axis=1, keepdims=True)
-        qmat = qmat / np.where(qn == 0, 1.0, qn)
-    bq = spark.sparkContext.broadcast((qids, qmat))
-
-    def score(batches):
-        q_ids, q = bq.value
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            ids = pdf[id_col].to_numpy()
-            v = np.stack([np.asarray(x, dtype=np.float64) for x in pdf[vec_col].to_numpy()])
+    tile = QUERY_TILE
+
+    def scorer(block):
+        def similarity(v, q):
             if metric == "cosine":
-                vn = np.linalg.norm(v, axis=1, keepdims=True)
-                s = (v / np.where(vn == 0, 1.0, vn)) @ q.T
-            elif metric == "dot":
-                s = v @ q.T
-            else:
-                s = -np.sqrt(np.maximum(
-                    (v * v).sum(1)[:, None] + (q * q).sum(1)[None, :] - 2.0 * (v @ q.T), 0.0))
-            s = np.round(s, 9)  # equal-in-theory scores tie; ids decide
-            out_q, out_i, out_s = [], [], []
-            for j in range(len(q_ids)):
-                sj = s[:, j]
-                keep = np.ones(len(ids), dtype=bool)
-                if exclude_self:
-                    keep = ids != q_ids[j]
-                idx = np.nonzero(keep)[0]
-                top = idx[_local_top_k(ids[idx], sj[idx], k)]
-                out_q.extend([q_ids[j]] * len(top))
-                out_i.extend(ids[top].tolist())
-                out_s.extend(sj[top].tolist())
-            yield pd.DataFrame({"query_id": out_q, "id": out_i, "score": out_s})
-
-    local = corpus.select(id_col, vec_col).mapInPandas(score, out_schema)
+                return _unit(q) @ _unit(v).T
+            if metric == "dot":
+                return q @ v.T
+            return -np.sqrt(np.maximum((q * q).sum(1)[:, None] + (v * v).sum(1)[None, :] - 2.0 * (q @ v.T), 0.0))
+
+        def _unit(m):
+            n = np.linalg.norm(m, axis=1, keepdims=True)
+            return m / np.where(n == 0, 1.0, n)
+
+        def score(batches):
+            q_ids, q = block.value
+            best_ids = [np.empty(0, dtype=object)] * len(q_ids)
+            best = [np.empty(0)] * len(q_ids)
+            cut = np.full(len(q_ids), -np.inf)  # the k-th best score so far
+            for pdf in batches:
+                if pdf.empty:
+                    continue
+                ids = pdf[id_col].to_numpy()
+                v = np.stack([np.asarray(x, dtype=np.float64) for x in pdf[vec_col].to_numpy()])
+                for a in range(0, len(q_ids), tile):
+                    s = np.round(similarity(v, q[a:a + tile]), 9)  # equal-in-theory scores tie; ids decide
+                    near = s >= cut[a:a + tile, None]
+                    for j in np.nonzero(near.any(axis=1))[0]:
+                        hit, at = near[j], a + j
+                        if exclude_self:
+                            hit = hit & (ids != q_ids[at])
+                        all_ids, all_s = np.concatenate([best_ids[at], ids[hit]]), np.concatenate([best[at], s[j][hit]])
+                        if len(all_s) > k:  # every tie at the cut stays until ids are compared
+                            keep = all_s >= -np.partition(-all_s, k - 1)[k - 1]
+                            all_ids, all_s = all_ids[keep], all_s[keep]
+                        order = np.lexsort((all_ids, -all_s))[:k]
+                        best_ids[at], best[at] = all_ids[order], all_s[order]
+                        if len(order) == k:
+                            cut[at] = best[at][-1]
+            n = [len(x) for x in best]
+            if sum(n):
+                yield pd.DataFrame({"query_id": np.repeat(q_ids, n).tolist(), "id": np.concatenate(best_ids).tolist(),
+                                    "score": np.concatenate(best)})
+
+        return score
+
+    rows = corpus.select(id_col, vec_col)
+    local = None
+    for block in _query_blocks(queries, query_id, query_vec):
+        part = rows.mapInPandas(scorer(spark.sparkContext.broadcast(block)), out_schema)
+        local = part if local is None else local.unionByName(part)
+    if local is None:
+        local = spark.createDataFrame([], out_schema)
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("id"))
     return local.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 

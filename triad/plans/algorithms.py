@@ -152,6 +152,18 @@ def q_weighted_path(spark, sf_dir):
                     .alias("costs_nano"))
 
 
+def q_weighted_path_far(spark, sf_dir):
+    """Cheapest path between two users without an edge of their own: the two largest ids outside the active users."""
+    g = graph(spark, sf_dir)
+    e = DV.similar_edges(g, 4, ACTIVE_MIN, ACTIVE_K).persist()
+    act = DV.active_users(g, ACTIVE_MIN, ACTIVE_K).select(F.col("user_id").alias("u2"))
+    ends = [r[0] for r in e.select("u2").join(act, "u2", "left_anti").distinct().orderBy(F.desc("u2")).limit(2).collect()]
+    s, t = ends if len(ends) == 2 else (None, None)  # no such pair: no path
+    p = A.weighted_path(e.where(F.lit(s is not None)), s, t, "u1", "u2", "distance")
+    return p.select(F.col("sourceNode").cast("long").alias("sourceUser"), F.col("targetNode").cast("long").alias("targetUser"),
+                    F.round("totalCost", 9).alias("totalCost"), (F.col("hops") > 1).alias("multi_hop"))
+
+
 QUERIES = {
     "co_rated_edges": q_co_rated_edges,
     "co_rated_top": q_co_rated_top,
@@ -167,6 +179,7 @@ QUERIES = {
     "hop_path": q_hop_path,
     "path_report": q_path_report,
     "weighted_path": q_weighted_path,
+    "weighted_path_far": q_weighted_path_far,
 }
 
 # ------------------------------------------------------------- SQL
@@ -209,6 +222,20 @@ def _pagerank_sql(n_iter: int = PR_ITER) -> str:
     ] + steps) + f",\npr AS (SELECT id, r AS score FROM pr{n_iter})"
 
 
+def _relax_sql(rounds: int = 12) -> str:
+    """Rounds of relaxation from ``wp_ends.s`` over both directions of the similarity edges; ``wp<i>(v, d)``."""
+    parts = [
+        "wp_e AS (SELECT u1 AS a, u2 AS b, distance AS w FROM sim_edges UNION ALL SELECT u2, u1, distance FROM sim_edges)",
+        "wp_far AS (SELECT DISTINCT u2 AS v FROM sim_edges WHERE u2 NOT IN (SELECT user_id FROM active) ORDER BY v DESC LIMIT 2)",
+        "wp_ends AS (SELECT max(v) AS s, min(v) AS t FROM wp_far HAVING count(*) = 2)",
+        "wp0 AS (SELECT s AS v, CAST(0 AS DOUBLE) AS d FROM wp_ends)",
+    ]
+    for i in range(1, rounds + 1):
+        parts.append(f"wp{i} AS MATERIALIZED (SELECT v, min(d) AS d FROM (SELECT * FROM wp{i - 1} UNION ALL "
+                     f"SELECT e.b, x.d + e.w FROM wp{i - 1} x JOIN wp_e e ON e.a = x.v) GROUP BY v)")
+    return ",\n".join(parts)
+
+
 def _bfs_sql(pairs_sql: str, max_hops: int = 6) -> str:
     """Level-by-level BFS from each source; ``bfs_hits(s, t, path, length)``."""
     parts = [
@@ -284,4 +311,9 @@ SELECT u1 AS sourceUser, u2 AS targetUser, round(distance, 9) AS totalCost,
        CAST(u1 AS VARCHAR) || ',' || CAST(u2 AS VARCHAR) AS userPath, 1 AS hops,
        '0,' || CAST(CAST(round(distance * 1e9) AS BIGINT) AS VARCHAR) AS costs_nano
 FROM sim_edges ORDER BY weight DESC, u1, u2 LIMIT 1""", "sim_edges"),
+    "weighted_path_far": with_views(f"""
+WITH {_relax_sql()}
+SELECT n.s AS sourceUser, n.t AS targetUser, round(x.d, 9) AS totalCost,
+       NOT EXISTS (SELECT 1 FROM wp1 WHERE wp1.v = n.t AND wp1.d = x.d) AS multi_hop
+FROM wp_ends n JOIN wp12 x ON x.v = n.t""", "sim_edges", "active"),
 }

@@ -29,23 +29,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         _SCHEMAS[path] = df.schema
     else:
         df = spark.read.schema(schema).parquet(path)
-    return spread(df)
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has cores.
-
-    A large table arrives in many splits and is returned as is (no shuffle);
-    a small table stored as one row group would otherwise run every per-row
-    step before the first shuffle in a single task. Filters and column
-    pruning still reach the scan below the repartition.
-    """
-    try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - e.g. a Connect session without RDD access
-        return df
-    return df if have >= want else df.repartition(want)
+    return df
 
 
 # ---------------------------------------------------------------- tracks

@@ -9,26 +9,31 @@ a restarted or retried batch idempotent (same epoch, same folder).
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from triad.operators.sinks import last_write_wins, upsert_by_key
 
 
-def read_latest(spark: SparkSession, path: str) -> DataFrame | None:
-    """The highest version of the table, or None before the first batch."""
+def read_latest(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
+    """The highest version of the table (below ``before``, if given), or None when there is none."""
     try:
-        all_versions = spark.read.option("basePath", path).parquet(f"{path}/version=*")
-    except Exception:  # noqa: BLE001 - no version written yet
-        return None
-    latest = all_versions.agg(F.max("version")).scalar()
-    return all_versions.where(F.col("version") == latest).drop("version")
+        versions = spark.read.option("basePath", path).parquet(f"{path}/version=*")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None  # no version written yet
+    if before is not None:
+        versions = versions.where(F.col("version") < before)
+    latest = versions.agg(F.max("version")).collect()[0][0]
+    return None if latest is None else versions.where(F.col("version") == latest).drop("version")
 
 
 def apply_batch(batch: DataFrame, epoch_id: int, path: str, keys: list[str], payload: list[str],
                 order: list[str] | None = None) -> None:
     spark = batch.sparkSession
-    base = read_latest(spark, path)
+    base = read_latest(spark, path, before=epoch_id)  # a retried batch never reads its own folder
     stored = payload + [c for c in (order or []) if c not in payload]
     if base is None:
         merged = last_write_wins(batch, keys, order or [], stored)
