@@ -3,6 +3,7 @@
 import hashlib
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -203,3 +204,18 @@ def test_contained_items_against_brute_force(spark):
     assert contained_items(empty_documents(spark), bench).count() == 0
     assert contained_items(docs, bench.limit(0)).count() == 0
     assert clean_documents(docs, bench.limit(0)).count() == docs.count()
+
+
+def test_stars_keep_the_components():
+    from triad.llm.op7_lines import stars
+
+    rng = np.random.default_rng(4)
+    for n, m in ((2, 1), (50, 30), (400, 390), (300, 2000)):
+        a, b = rng.integers(0, n, m).astype(np.uint64), rng.integers(0, n, m).astype(np.uint64)
+        a, b = a[a != b], b[a != b]
+        root = {int(i): int(i) for i in np.concatenate([a, b])}
+        for _ in range(len(root)):
+            for i, j in zip(a.tolist(), b.tolist()):
+                root[i] = root[j] = min(root[i], root[j])
+        x, y = stars(a, b)
+        assert sorted(zip(x.tolist(), y.tolist())) == sorted((r, i) for i, r in root.items() if r != i)

@@ -131,7 +131,7 @@ def _pass(na, nb, a1, a2, b1, b2, percent):
 
 
 def candidate_forest(tok, ident, n, pos, s1, s2, percent: int, group: int = 512):
-    """Edges that span the candidate graph of every token's lines.
+    """Edges with the components of the candidate graph of all these tokens' lines.
 
     A line that many tasks sent counts once. The shorter line of a pair must hold its first common token
     within its first n - ceil(2 t n / (1 + t)) + 1 tokens, about half of the prefix that the longer one needs.
@@ -177,13 +177,23 @@ def candidate_forest(tok, ident, n, pos, s1, s2, percent: int, group: int = 512)
                 label[np.isin(label, others)] = label[i]
     if not out:
         return np.empty(0, np.uint64), np.empty(0, np.uint64)
-    a, b = np.concatenate([x[0] for x in out]), np.concatenate([x[1] for x in out])
-    a, b = np.minimum(a, b), np.maximum(a, b)
-    order = np.lexsort((b, a))
-    a, b = a[order], b[order]
-    new = np.ones(len(a), bool)
-    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-    return a[new], b[new]
+    return stars(np.concatenate([x[0] for x in out]), np.concatenate([x[1] for x in out]))
+
+
+def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges with the same components as (a, b): every node but a component's smallest, with that smallest one."""
+    ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = at[:len(a)], at[len(a):]
+    label = np.arange(len(ids))
+    while len(x):
+        lx, ly = label[x], label[y]
+        np.minimum.at(label, np.maximum(lx, ly), np.minimum(lx, ly))
+        while (label[label] != label).any():
+            label = label[label]
+        open_ = label[x] != label[y]
+        x, y = x[open_], y[open_]
+    member = np.flatnonzero(label != np.arange(len(ids)))
+    return ids[label[member]], ids[member]
 
 
 def lines_and_candidates(docs: DataFrame, ranks, blocks: int, least_words: int = LEAST_WORDS, percent: int = PERCENT) -> DataFrame:
