@@ -17,6 +17,9 @@ from triad.llm.op9_jaccard_join import jaccard_components
 from triad.llm.op10_decontaminate import clean_documents
 from triad.llm.queries import table, vocabulary_path
 
+#: Near copies share 80 % of their five-word shingles; the op9 query's stricter setting is its own contract's.
+COPY_SHINGLE, COPY_PERCENT = 5, 80
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained classifier rejects go."""
@@ -32,8 +35,8 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest doc_id stays."""
-    copies = jaccard_components(docs).where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
+    """Of each group of near copies (five-word shingles, Jaccard 0.8) the document with the smallest doc_id stays."""
+    copies = jaccard_components(docs, k=COPY_SHINGLE, percent=COPY_PERCENT).where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
     return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
 
 
