@@ -27,8 +27,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later matching lines go, and documents that lose their last line with words; n_chars follows the text."""
-    cut = dedup_lines(docs)
+    """Later matching lines of any number of words go, and documents that lose their last line with words; n_chars follows the text."""
+    cut = dedup_lines(docs, least_words=1)
     left = (F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")
     changed = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return cut.where(left).withColumn("n_chars", changed).select(*docs.columns)

@@ -42,3 +42,22 @@ def test_pipeline_removes_near_copies_between_the_thresholds(spark, tables):
     expected = {d for d, (_, c) in brute_components(rows, 5, 80).items() if c == d}
     assert expected == {10 * g + c for g in range(8) for c in (0, 2)}
     assert {r.doc_id for r in P.run(spark, tables(rows)).select("doc_id").collect()} == expected
+
+
+def test_line_stage_judges_short_lines(spark):
+    import corpus_pipeline as P
+
+    rng = random.Random(6)
+    short = ["All rights reserved.", "menu", "a a a a b b b b", "one two three four", "é" * 300, "", " \t "]
+    rows = []
+    for i in range(40):
+        lines = [" ".join(words(rng, rng.randrange(1, 9), 30)) for _ in range(5)] + rng.sample(short, 3) + [f"only here {i}"]
+        rng.shuffle(lines)
+        rows.append((i, "\n".join(lines)))
+    rows += [(40, "MENU\nmenu"), (41, "all rights reserved."), (42, ""), (43, " \n ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "CAST(length(text) AS BIGINT) AS n_chars").repartition(3)
+    cut = brute_lines(rows, least=1)
+    expected = {d: cut[d] for d, t in rows if cut[d] == t or cut[d].strip()}
+    assert set(expected) == {*range(40), 42, 43} and any("menu" in t and "menu" not in cut[d] for d, t in rows[:40])
+    got = {r.doc_id: (r.text, r.n_chars) for r in P.line_stage(spark, docs, "").collect()}
+    assert got == {d: (t, len(t)) for d, t in expected.items()}
