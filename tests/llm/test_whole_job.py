@@ -1,11 +1,16 @@
 """Stages and operators against brute force where an earlier form did less than the whole job."""
 
+import math
 import random
+import re
+import zlib
+from collections import Counter
 
 import pytest
 
 from tests.llm.data import words
 from tests.llm.test_text_ops import brute_components, brute_lines
+from triad.llm.op8_toxicity import toxicity
 
 
 @pytest.fixture
@@ -61,3 +66,38 @@ def test_line_stage_judges_short_lines(spark):
     assert set(expected) == {*range(40), 42, 43} and any("menu" in t and "menu" not in cut[d] for d, t in rows[:40])
     got = {r.doc_id: (r.text, r.n_chars) for r in P.line_stage(spark, docs, "").collect()}
     assert got == {d: (t, len(t)) for d, t in expected.items()}
+
+
+def test_toxicity_neighbours_are_nearest_over_all_terms(spark):
+    """Each text's evidence is the brute-force cosine ranking over every word of the examples; clean words count."""
+    rng = random.Random(7)
+    rows, marks = [], []
+    for i in range(160):
+        w = words(rng, rng.randrange(3, 30), 150) + ["vile"] * (i % 9 == 0)
+        rows.append((i, ("Calm, " if i % 2 else "") + " ".join(w)))
+        marks.append((i, 1, int(i % 9 == 0)))
+    rows += [(200, "w1x calm"), (201, "nothing-known here!"), (202, None), (203, rows[1][1]), (204, "日本語の文"), (205, "本語")]
+    marks += [(203, 1, 1), (204, 1, 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in toxicity(docs, spark.createDataFrame(marks, "doc_id long, quality int, toxic int")).collect()}
+    bags = {d: Counter(re.findall(r"[a-z0-9]+|[぀-鿿]", (t or "").lower())) for d, t in rows}
+    held = lambda d: zlib.crc32(str(d).encode()) % 5 == 0
+    example, first = {}, {}
+    for d, _, y in marks:
+        if not held(d):
+            d = first.setdefault(dict(rows)[d], d)
+            example[d] = max(example.get(d, 0), y)
+    vocabulary = {t for d in example for t in bags[d]}
+    idf = {t: math.log((len(rows) + 1) / (sum(t in b for b in bags.values()) + 1)) + 1 for t in vocabulary}
+
+    def unit(bag):
+        v = {t: (1 + math.log(c)) * idf[t] for t, c in bag.items() if t in vocabulary}
+        length = math.sqrt(sum(x * x for x in v.values())) or 1
+        return {t: x / length for t, x in v.items()}
+
+    units = {d: unit(b) for d, b in bags.items()}
+    for d, r in got.items():
+        near = sorted((-round(min(sum(x * units[e].get(t, 0) for t, x in units[d].items()), 1), 12), e) for e in example)
+        near = [(e, -s) for s, e in near if s < 0][:5]
+        assert r.evidence == ",".join(f"{e}:{s:.4f}:{example[e]}" for e, s in near), d
+    assert got[200].evidence and got[205].evidence.startswith("204:") and not got[201].evidence and not got[202].evidence

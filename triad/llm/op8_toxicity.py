@@ -1,184 +1,252 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-Terms are five-byte runs of the text (A-Z lower-cased, blanks single, one at either end), hashed to 2**20 counters.
-The terms that set toxic examples apart are selected by their log-likelihood ratio; texts become TF-IDF vectors over
-them, with document frequencies over all documents. The examples' vectors form an inverted index in blocks of
-examples; a block's best possible score (its largest weight per term) lets whole blocks be skipped without changing
-the exact nearest ones. The neighbours' votes, weighted by similarity, are calibrated by a logistic fit on the
-examples themselves (each without its own vote). ``evidence`` names the neighbours.
-
-Fitting uses a bounded sample of labelled rows (``EXAMPLES``, smallest hash of doc_id; equal texts once); only rows
-with crc32(doc_id) mod 5 other than 0 are ever looked at for labels. All else covers all documents.
-
-Cases: a text without selected terms (null and empty ones too) gets the share of toxic examples among those without
+Terms are words (A-Z lower-cased, ASCII punctuation as blanks; scripts written without blanks by character), kept as
+64-bit fingerprints. Every term of the labelled examples is in the vectors, clean ones too; terms that no example has
+are in no vector. Document frequencies run over all documents. The examples lie in blocks: rare terms as postings,
+common ones as a dense matrix with each block's largest weight per term; a block's best possible score lets it be
+skipped without changing the exact nearest ones. The neighbours' votes, weighted by similarity, are calibrated by a logistic
+fit on the examples themselves (each without its own vote) together with the vector's length and the text's term
+most tied to toxic examples. ``evidence`` names the neighbours.
+
+Fitting uses a bounded sample of labelled rows (``EXAMPLES``, smallest hash of doc_id; equal texts count once, before
+the sample, with their largest label); only rows with crc32(doc_id) mod 5 other than 0 are ever looked at for labels. All else
+covers all documents.
+
+Cases: a text without a term of the examples (null and empty ones too) gets the share of toxic examples among those without
 terms. Several labels for one doc_id: the largest counts. Null labels are left out. Without any labelled row scores are
 0. A null doc_id is not held out. Rows are scored one by one, so repeated rows repeat; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from triad.llm import exchange as X
-from triad.llm.text import LOWER_TO_BLANK, encoded
+from triad.llm.text import LOWER_TO_BLANK, Words, batches, encoded
 
 EXAMPLES = 20_000
-TERMS = 2_048
-COUNTERS_LOG2 = 20
 NEIGHBOURS = 15
 BLOCK = 128
+#: Terms in the dense part of the index at most (the rest are postings), and texts searched together.
+COMMON = 1_024
+TOGETHER = 128
+#: Single-precision sums choose candidates with this much room; exact sums then decide.
+ROOM = 1e-4
 
 STEP = "block int, payload binary"
 VECTOR = "doc_id long, held_out boolean, terms binary, counts binary"
 RESULT = "doc_id long, held_out boolean, score double, predicted int, evidence string"
 
+_TABLE = bytes(32 if b < 128 and not chr(b).isalnum() else LOWER_TO_BLANK[b] for b in range(256))
+_NO_BLANKS = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff])")
+
 
-def counters(text: bytes) -> np.ndarray:
-    """Hashed counter of every five-byte run of the text in normal form."""
-    b = np.frombuffer(b" " + b" ".join(text.translate(LOWER_TO_BLANK).split()) + b" ", np.uint8)
-    if len(b) < 5:
-        return np.empty(0, np.int64)
-    n = len(b) - 4
-    code = b[:n].astype(np.uint64)
-    for j in range(1, 5):
-        code = (code << np.uint64(8)) | b[j:j + n]
-    return ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - COUNTERS_LOG2)).astype(np.int64)
+def term_counts(texts):
+    """Per text its distinct terms (sorted fingerprints) and how often each occurs."""
+    raw = encoded(t if not isinstance(t, str) or t.isascii() else _NO_BLANKS.sub(r" \1 ", t) for t in texts)
+    for a, b in batches(raw):
+        w = Words(raw[a:b], _TABLE)
+        for lo, hi in zip(w.bounds[:-1], w.bounds[1:]):
+            yield np.unique(w.hash[lo:hi], return_counts=True)
 
 
 def held_out(col="doc_id"):
     return F.coalesce(F.crc32(F.col(col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def select_terms(examples: DataFrame, terms: int = TERMS) -> np.ndarray:
-    """Counters most tied to toxic examples, by log-likelihood ratio of document counts; examples: (text, toxic)."""
-    size, parts = 1 << COUNTERS_LOG2, 16
+def labelled_sample(docs: DataFrame, labels: DataFrame, examples: int) -> list[tuple[int, int, int]]:
+    """(doc_id, hash of its text, toxic) of the examples; of equal texts the smallest doc_id, with their largest label."""
+    marked = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()) \
+        .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
+    texts = docs.select("doc_id", F.xxhash64("text").alias("h")).join(marked, "doc_id").groupBy("doc_id").agg(F.min("h").alias("h"), F.max("toxic").alias("toxic"))
+    once = texts.groupBy("h").agg(F.min("doc_id").alias("doc_id"), F.max("toxic").alias("toxic"))
+    return [(r["doc_id"], r["h"], r["toxic"]) for r in once.orderBy(F.xxhash64("doc_id"), "doc_id").limit(examples).collect()]
 
-    def count(frames):
-        seen = np.zeros((2, size), np.int32)
-        rows = np.zeros(2, np.int64)
+
+def example_terms(slim: DataFrame, known: list[tuple[int, int, int]]) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(doc_id, toxic, terms, counts) of the examples (at most ``EXAMPLES``), by doc_id."""
+    sample = F.broadcast(slim.sparkSession.createDataFrame(known, "doc_id long, h long, toxic int"))
+    rows = slim.withColumn("h", F.xxhash64("text")).join(sample, ["doc_id", "h"]).select("doc_id", "toxic", "text")
+
+    def make(frames):
         for pdf in frames:
-            for raw, toxic in zip(encoded(pdf["text"]), pdf["toxic"]):
-                seen[int(toxic), np.unique(counters(raw))] += 1
-                rows[int(toxic)] += 1
-        cut = size // parts
-        yield pd.DataFrame({"block": range(parts), "payload": [
-            X.pack(seen[0, p * cut:(p + 1) * cut], seen[1, p * cut:(p + 1) * cut], rows) for p in range(parts)]})
-
-    def rank(key, pdf):
-        clean, toxic, rows = (sum(x) for x in zip(*(X.unpack(p) for p in pdf["payload"])))
-        n0, n1 = rows
-        if not n0 or not n1:
-            return pd.DataFrame({"term": [], "ratio": []})
-        k0, k1 = clean.astype(float), toxic.astype(float)
-        mean = (k0 + k1) / (n0 + n1)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            def part(k, n, p):
-                return np.where(k > 0, k * np.log(k / (n * p)), 0) + np.where(n - k > 0, (n - k) * np.log((n - k) / (n * (1 - p))), 0)
-            ratio = 2 * (part(k0, n0, mean) + part(k1, n1, mean))
-        good = np.flatnonzero((k1 >= 3) & (k1 / n1 > 3 * k0 / n0) & (ratio > 12))
-        return pd.DataFrame({"term": good + key[0] * (size // parts), "ratio": ratio[good]})
-
-    got = examples.mapInPandas(count, STEP).groupBy("block").applyInPandas(rank, "term long, ratio double")
-    best = got.orderBy(F.desc("ratio"), "term").limit(terms).collect()
-    return np.array([r["term"] for r in best], np.int64)
-
-
-def vectors(docs: DataFrame, terms: np.ndarray) -> DataFrame:
-    """Selected terms of each text and how often each occurs."""
+            got = [(u.tobytes(), n.astype(np.uint32).tobytes()) for u, n in term_counts(pdf["text"])]
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "toxic": pdf["toxic"], "terms": [g[0] for g in got], "counts": [g[1] for g in got]})
+
+    got = {r["doc_id"]: (r["doc_id"], r["toxic"], np.frombuffer(r["terms"], np.uint64), np.frombuffer(r["counts"], np.uint32))
+           for r in rows.mapInPandas(make, "doc_id long, toxic int, terms binary, counts binary").toLocalIterator()}
+    return [got[d] for d in sorted(got)]
+
+
+def vectors(docs: DataFrame, vocabulary) -> DataFrame:
+    """Places in the vocabulary (broadcast, sorted) of each text's terms and how often each occurs."""
     def make(frames):
-        place = np.full(1 << COUNTERS_LOG2, -1, np.int32)
-        place[terms] = np.arange(len(terms))
+        terms = vocabulary.value
         for pdf in frames:
             t, c = [], []
-            for raw in encoded(pdf["text"]):
-                hit = place[counters(raw)]
-                u, n = np.unique(hit[hit >= 0], return_counts=True)
-                t.append(u.astype(np.uint16).tobytes())
-                c.append(np.minimum(n, 65535).astype(np.uint16).tobytes())
+            for u, n in term_counts(pdf["text"]):
+                at = np.minimum(np.searchsorted(terms, u), max(len(terms) - 1, 0))
+                hit = terms[at] == u if len(terms) else np.zeros(len(u), bool)
+                t.append(at[hit].astype(np.uint32).tobytes())
+                c.append(n[hit].astype(np.uint32).tobytes())
             yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "held_out": pdf["held_out"], "terms": t, "counts": c})
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"),
                        F.col("text").cast("string").alias("text")).mapInPandas(make, VECTOR)
 
 
-def frequencies(table: DataFrame, terms: int) -> tuple[int, np.ndarray]:
-    """Documents, and documents per selected term, over all rows."""
+def frequencies(table: DataFrame, terms: int, part: int = 1 << 16) -> tuple[int, np.ndarray]:
+    """Documents, and documents per term, over all rows."""
     def count(frames):
-        df, n = np.zeros(terms, np.int64), 0
+        df, n = np.zeros(terms + 1, np.uint32), 0  # the last cell counts the rows
         for pdf in frames:
             n += len(pdf)
             if n:
-                df += np.bincount(np.frombuffer(b"".join(pdf["terms"]), np.uint16), minlength=terms)[:terms]
-        yield pd.DataFrame({"block": [0], "payload": [X.pack(df, np.array([n]))]})
+                df[:-1] += np.bincount(np.frombuffer(b"".join(pdf["terms"]), np.uint32), minlength=terms).astype(np.uint32)
+        df[-1] = n
+        yield pd.DataFrame([(at // part, X.pack(df[at:at + part])) for at in range(0, len(df), part)], columns=["block", "payload"])
 
     def add(pdf):
-        df, n = (sum(x) for x in zip(*(X.unpack(p) for p in pdf["payload"])))
-        return pd.DataFrame({"block": [0], "payload": [X.pack(df, n)]})
+        total = 0
+        for p in pdf["payload"]:
+            total = total + X.unpack(p)[0].astype(np.int64)
+        return pd.DataFrame({"block": pdf["block"].iloc[:1], "payload": [X.pack(total)]})
 
-    got = table.select("terms").mapInPandas(count, STEP).groupBy("block").applyInPandas(add, STEP).first()
-    if got is None:
-        return 0, np.zeros(terms, np.int64)
-    df, n = X.unpack(got["payload"])
-    return int(n[0]), df
+    df = np.zeros(terms + 1, np.int64)
+    for r in table.select("terms").mapInPandas(count, STEP).groupBy("block").applyInPandas(add, STEP).collect():
+        df[r["block"] * part:(r["block"] + 1) * part] = X.unpack(r["payload"])[0]
+    return int(df[-1]), df[:-1]
 
 
 def weights(terms: bytes, counts: bytes, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
     """Terms, unit TF-IDF weights and the vector's length."""
-    t = np.frombuffer(terms, np.uint16).astype(np.int64)
-    w = (1 + np.log(np.frombuffer(counts, np.uint16).astype(float))) * idf[t] if len(t) else np.empty(0)
+    t = np.frombuffer(terms, np.uint32).astype(np.int64)
+    w = (1 + np.log(np.frombuffer(counts, np.uint32).astype(float))) * idf[t] if len(t) else np.empty(0)
     length = float(np.sqrt((w * w).sum()))
     return t, (w / length if length else w), length
 
 
 class BlockMaxIndex:
-    """Postings by term, cut at blocks of examples, with each block's largest weight per term."""
+    """Examples in blocks: postings of the rare terms, a dense matrix of the common ones with each block's largest weight per term."""
 
-    def __init__(self, examples: list[tuple[int, int, np.ndarray, np.ndarray]], terms: int, block: int = BLOCK):
+    def __init__(self, examples: list[tuple[int, int, np.ndarray, np.ndarray]], terms: int, block: int = BLOCK, common: int = COMMON):
         # neighbours in the index share their heaviest term, which keeps most blocks' bounds low
         examples = sorted(examples, key=lambda e: (int(e[2][e[3].argmax()]), e[0]))
         self.ids = np.array([e[0] for e in examples], np.int64)
         self.label = np.array([e[1] for e in examples], np.int64)
-        self.block, self.blocks = block, max(1, -(-len(examples) // block))
-        t = np.concatenate([e[2] for e in examples]) if examples else np.empty(0, np.int64)
-        w = np.concatenate([e[3] for e in examples]) if examples else np.empty(0)
-        owner = np.repeat(np.arange(len(examples)), [len(e[2]) for e in examples]) if examples else np.empty(0, np.int64)
-        order = np.lexsort((owner, t))
-        self.owner, self.weight = owner[order], w[order]
-        cell = t[order] * self.blocks + self.owner // block
-        self.start = np.searchsorted(cell, np.arange(terms * self.blocks + 1))
-        self.best = np.zeros(terms * self.blocks)
-        np.maximum.at(self.best, cell, self.weight)
-        self.best = self.best.reshape(terms, self.blocks)
+        self.block, self.blocks, self.terms = block, -(-len(examples) // block), terms
+        self.first = np.concatenate([[0], np.cumsum([len(e[2]) for e in examples])]).astype(np.int64)
+        self.t = np.concatenate([e[2] for e in examples]).astype(np.int32) if examples else np.empty(0, np.int32)
+        self.w = np.concatenate([e[3] for e in examples]) if examples else np.empty(0)
+        df = np.bincount(self.t, minlength=terms)
+        often = np.argsort(-df, kind="stable")[:common]
+        self.common = np.sort(often[df[often] * 64 >= max(len(examples), 1)])
+        self.made = None
+
+    def __getstate__(self):  # what follows from the examples is made anew in each worker
+        return self.__dict__ | {"made": None}
+
+    def _make(self):
+        place = np.full(self.terms, -1, np.int32)
+        place[self.common] = np.arange(len(self.common))
+        owner = np.repeat(np.arange(len(self.ids), dtype=np.int32), np.diff(self.first))
+        at = place[self.t]
+        dense = np.zeros((len(self.ids), len(self.common)), np.float32)
+        dense[owner[at >= 0], at[at >= 0]] = self.w[at >= 0]
+        starts = np.arange(0, len(self.ids), self.block)
+        rare = np.flatnonzero(at < 0)
+        rare = rare[np.argsort(self.t[rare], kind="stable")]
+        start = np.concatenate([[0], np.cumsum(np.bincount(self.t[rare], minlength=self.terms))])
+        self.made = (place, dense, np.maximum.reduceat(dense, starts, axis=0), starts, start, owner[rare], self.w[rare].astype(np.float32), np.zeros(self.terms))
+
+    def example(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        """Terms and weights of the example at place ``i``."""
+        cut = slice(self.first[i], self.first[i + 1])
+        return self.t[cut].astype(np.int64), self.w[cut]
 
     def search(self, t: np.ndarray, w: np.ndarray, k: int, without: int | None = None) -> list[tuple[float, int, int]]:
         """The exact k nearest: (similarity, example id, label), ties to the smaller id; only similarities above zero."""
-        if not len(t) or not len(self.ids):
-            return []
-        bound = w @ self.best[t]
-        order = np.argsort(-bound, kind="stable")
-        ids, sims, at, step = np.empty(0, np.int64), np.empty(0), 0, 2
-        while at < self.blocks:
-            if len(sims) >= k and bound[order[at]] < sims[k - 1] - 1e-9:
-                break
-            if bound[order[at]] <= 0:
-                break
-            now = np.sort(order[at:at + step])
-            at, step = at + step, min(2 * step, 64)
-            cells = (t[:, None] * self.blocks + now[None, :]).ravel()
-            lo, n = self.start[cells], self.start[cells + 1] - self.start[cells]
-            pick = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
-            own, inverse = np.unique(self.owner[pick], return_inverse=True)
-            s = np.bincount(inverse, self.weight[pick] * np.repeat(np.repeat(w, len(now)), n), minlength=len(own))
-            if without is not None:
-                keep = self.ids[own] != without
-                own, s = own[keep], s[keep]
-            ids, sims = np.concatenate([ids, own]), np.concatenate([sims, s])
-            best = np.lexsort((self.ids[ids], -np.round(sims, 12)))[:k]
-            ids, sims = ids[best], sims[best]
-        return [(float(min(s, 1.0)), int(self.ids[i]), int(self.label[i])) for i, s in zip(ids, sims)]
+        return self.search_many([(t, w)], k, [without])[0]
+
+    def search_many(self, texts: list[tuple[np.ndarray, np.ndarray]], k: int, without: list | None = None) -> list[list[tuple[float, int, int]]]:
+        """``search`` of each text (terms, weights)."""
+        if not len(self.ids):
+            return [[] for _ in texts]
+        if self.made is None:
+            self._make()
+        place, dense, best, starts, start, owner, weight, exact = self.made
+        m, n = len(texts), len(self.ids)
+        row = np.repeat(np.arange(m), [len(t) for t, _ in texts])
+        t, w = np.concatenate([t for t, _ in texts]).astype(np.int64), np.concatenate([w for _, w in texts])
+        at = place[t]
+        q = np.zeros((m, dense.shape[1]), np.float32)
+        q[row[at >= 0], at[at >= 0]] = w[at >= 0]
+        # rare terms: summed over their postings; each block's bound adds its largest weights of the common ones
+        size = np.where(at < 0, start[t + 1] - start[t], 0)
+        pick = np.repeat(start[t] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        sums = np.bincount(np.repeat(row, size) * n + owner[pick], np.repeat(w, size) * weight[pick], minlength=m * n).astype(np.float32).reshape(m, n)
+        for i, x in enumerate(without or ()):
+            if x is not None:
+                sums[i, self.ids == x] = -4
+        bound = q @ best.T + np.maximum.reduceat(sums, starts, axis=1)
+        seeds = min(self.blocks, 2 * k // self.block + 2)
+        todo = np.zeros(bound.shape, bool)
+        np.put_along_axis(todo, np.argpartition(-bound, seeds - 1, axis=1)[:, :seeds], True, axis=1)
+        done, least = np.zeros(bound.shape, bool), np.full(m, -np.inf)
+        for last in (False, True):
+            for b in np.flatnonzero(todo.any(axis=0)):
+                i, lo = np.flatnonzero(todo[:, b]), b * self.block
+                sums[i, lo:lo + self.block] += q[i] @ dense[lo:lo + self.block].T
+            done |= todo
+            if not last:
+                for i in range(m):
+                    have = np.concatenate([sums[i, b * self.block:(b + 1) * self.block] for b in np.flatnonzero(todo[i])])
+                    if len(have) >= k:
+                        least[i] = np.partition(have, len(have) - k)[len(have) - k]
+                todo = ~done & (bound > 0) & (bound >= least[:, None] - ROOM)
+        out = []
+        for i, (t, w) in enumerate(texts):
+            near = np.flatnonzero((sums[i] > 0) & (sums[i] >= least[i] - ROOM))
+            if len(near) > k:
+                s = sums[i, near]
+                near = near[s >= np.partition(s, len(s) - k)[len(s) - k] - ROOM]
+            if not len(near):
+                out.append([])
+                continue
+            exact[t] = w
+            size = self.first[near + 1] - self.first[near]
+            head = np.cumsum(size) - size
+            pick = np.repeat(self.first[near] - head, size) + np.arange(size.sum())
+            s = np.add.reduceat(exact[self.t[pick]] * self.w[pick], head)
+            exact[t] = 0
+            order = np.lexsort((self.ids[near], -np.round(s, 12)))[:k]
+            out.append([(float(min(s[j], 1.0)), int(self.ids[near[j]]), int(self.label[near[j]])) for j in order])
+        return out
+
+
+class TermTies:
+    """How far each term's toxic examples exceed what the share of toxic ones lets expect, in standard deviations."""
+
+    def __init__(self, examples: list[tuple[int, int, np.ndarray, np.ndarray]], terms: int):
+        every = [np.zeros(0, np.int64)]
+        self.all = np.bincount(np.concatenate(every + [e[2] for e in examples]), minlength=terms)
+        self.toxic = np.bincount(np.concatenate(every + [e[2] for e in examples if e[1]]), minlength=terms)
+        self.share = sum(e[1] > 0 for e in examples) / max(len(examples), 1)
+
+    def strongest(self, t: np.ndarray, own: int | None = None) -> float:
+        """The largest tie of these terms that more than two examples have, without an example's ``own`` label."""
+        n, k, p = self.all[t], self.toxic[t], self.share
+        if own is not None:
+            n, k = n - 1, k - int(own > 0)
+        k, n = k[n > 2], n[n > 2]
+        if not len(n) or not 0 < p < 1:
+            return 0.0
+        return float(np.clip(((k - n * p) / np.sqrt(n * p * (1 - p))).max(), 0, 30))
 
 
 def vote(found: list[tuple[float, int, int]], length: float) -> tuple[float, float]:
@@ -202,62 +270,68 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     return w
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: int = TERMS, k: int = NEIGHBOURS) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, k: int = NEIGHBOURS) -> DataFrame:
     """Score of every document; see the module's description."""
     spark = docs.sparkSession
-    marked = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
-    known = [(r["doc_id"], r["toxic"]) for r in marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(examples).collect()]
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    known = labelled_sample(slim, labels, examples)
     if not known:
         return docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), F.lit(0.0).alias("score"),
                            F.lit(0).alias("predicted"), F.lit("").alias("evidence"))
-    sample = F.broadcast(spark.createDataFrame(known, "doc_id long, toxic int"))  # at most ``examples`` rows
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    chosen = select_terms(slim.join(sample, "doc_id").dropDuplicates(["text"]).select("text", "toxic"), terms)
-    table = X.written(vectors(docs, chosen), "toxic")
-    n, df = frequencies(table, max(len(chosen), 1))
+    made = example_terms(slim, known)
+    vocabulary = np.unique(np.concatenate([m[2] for m in made])) if made else np.empty(0, np.uint64)
+    size = max(len(vocabulary), 1)
+    table = X.written(vectors(docs, spark.sparkContext.broadcast(vocabulary)), "toxic")
+    n, df = frequencies(table, size)
     idf = np.log((n + 1) / (df + 1)) + 1
-    rows = table.join(sample, "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "toxic", "terms", "counts").collect()
-    made = [(r["doc_id"], r["toxic"], *weights(r["terms"], r["counts"], idf)) for r in sorted(rows, key=lambda r: r["doc_id"])]
-    bare = [y for _, y, t, _, _ in made if not len(t)]
+    for i, (d, y, t, c) in enumerate(made):
+        t, w, length = weights(np.searchsorted(vocabulary, t).astype(np.uint32).tobytes(), c.tobytes(), idf)
+        made[i] = (d, y, t.astype(np.int32), w, length)
+    bare = [m[1] for m in made if not len(m[2])]
     floor = (sum(bare) + 0.01) / (len(bare) + 1)
-    index = BlockMaxIndex([m[:4] for m in made if len(m[2])], max(len(chosen), 1))
-    shared = spark.sparkContext.broadcast((index, idf))
+    entries = [m for m in made if len(m[2])]
+    shared = spark.sparkContext.broadcast((BlockMaxIndex(entries, size), TermTies(entries, size), {m[0]: m[4] for m in entries}, idf))
+    shares = spark.range(0, len(entries), 1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    del made, entries
+
+    def features(vs, leave=None):
+        """(neighbours, features) of each (terms, weights, length); ``leave`` has (doc_id, label) of texts that are examples."""
+        index, ties = shared.value[:2]
+        for at in range(0, len(vs), TOGETHER):
+            part = vs[at:at + TOGETHER]
+            out = leave[at:at + TOGETHER] if leave else [(None, None)] * len(part)
+            near = index.search_many([v[:2] for v in part], k, [d for d, _ in out])
+            for (t, _, length), (_, own), found in zip(part, out, near):
+                yield found, (*vote(found, length), ties.strongest(t, own))
 
     def leave_out(frames):
-        index, idf = shared.value
+        index, _, lengths, _ = shared.value
         for pdf in frames:
-            out = []
-            for doc_id, toxic, t, c in zip(pdf["doc_id"], pdf["toxic"], pdf["terms"], pdf["counts"]):
-                t, w, length = weights(t, c, idf)
-                found = index.search(t, w, k, int(doc_id))
-                if found:
-                    out.append((*vote(found, length), float(toxic)))
-            yield pd.DataFrame(out, columns=["v", "n", "y"])
-
-    fitted = spark.createDataFrame([(r["doc_id"], r["toxic"], bytes(r["terms"]), bytes(r["counts"])) for r in rows], "doc_id long, toxic int, terms binary, counts binary") \
-        .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id").mapInPandas(leave_out, "v double, n double, y double").collect()
-    xy = np.array([tuple(r) for r in fitted]).reshape(-1, 3)
-    fit = logistic(xy[:, :2], xy[:, 2]) if len(xy) and 0 < xy[:, 2].sum() < len(xy) else None
+            leave = [(int(index.ids[i]), int(index.label[i])) for i in pdf["id"]]
+            vs = [(*index.example(i), lengths[d]) for i, (d, _) in zip(pdf["id"], leave)]
+            out = [(*x, float(y)) for (found, x), (_, y) in zip(features(vs, leave), leave) if found]
+            yield pd.DataFrame(out, columns=["v", "n", "s", "y"])
+
+    fitted = shares.mapInPandas(leave_out, "v double, n double, s double, y double").collect()
+    xy = np.array([tuple(r) for r in fitted]).reshape(-1, 4)
+    fit = logistic(xy[:, :3], xy[:, 3]) if len(xy) and 0 < xy[:, 3].sum() < len(xy) else None
 
     def score(frames):
-        index, idf = shared.value
+        idf = shared.value[3]
         for pdf in frames:
-            out, known = [], {}
-            for doc_id, held, t, c in zip(pdf["doc_id"], pdf["held_out"], pdf["terms"], pdf["counts"]):
-                key = (t, c)
-                t, w, length = weights(t, c, idf)
-                got = known.get(key)
-                if got is None:
-                    found = index.search(t, w, k)
-                    p = floor
-                    if found and fit is not None:
-                        p = float(1 / (1 + np.exp(-np.clip(fit @ np.r_[1.0, vote(found, length)], -30, 30))))
-                    elif found:
-                        p = float(np.mean([y for _, _, y in found]))
-                    got = known[key] = (p, ",".join(f"{i}:{s:.4f}:{y}" for s, i, y in found[:5]))
-                    if len(known) > 20_000:
-                        known.clear()
-                out.append((None if pd.isna(doc_id) else int(doc_id), bool(held), got[0], int(got[0] >= 0.5), got[1]))
-            yield pd.DataFrame(out, columns=["doc_id", "held_out", "score", "predicted", "evidence"]).astype({"doc_id": "Int64"})
+            keys = list(zip(pdf["terms"], pdf["counts"]))
+            once = list(dict.fromkeys(keys))
+            known = {}
+            for key, (found, x) in zip(once, features([weights(*key, idf) for key in once])):
+                p = floor
+                if found and fit is not None:
+                    p = float(1 / (1 + np.exp(-np.clip(fit @ np.r_[1.0, x], -30, 30))))
+                elif found:
+                    p = float(np.mean([y for _, _, y in found]))
+                known[key] = (p, int(p >= 0.5), ",".join(f"{i}:{s:.4f}:{y}" for s, i, y in found[:5]))
+            out = pd.DataFrame([known[key] for key in keys], columns=["score", "predicted", "evidence"])
+            out.insert(0, "held_out", pdf["held_out"].astype(bool).to_numpy())
+            out.insert(0, "doc_id", pdf["doc_id"].astype("Int64").array)
+            yield out
 
     return table.mapInPandas(score, RESULT)
