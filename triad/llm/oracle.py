@@ -126,6 +126,42 @@ SELECT doc_id, item_id, n AS n_item, s AS n_shared, CAST(s AS DOUBLE) / n AS con
 FROM shared JOIN sizes USING (item_id) WHERE 100 * s >= 80 * n
 """
 
+
+
+def _round(r: int) -> str:
+    mean = ", ".join(f"CAST(floor(CAST(sum(v[{d}]) AS DOUBLE) / count(*)) AS BIGINT)" for d in range(1, 5))
+    return f"""{_assigned(r)}, book{r + 1} AS (
+  SELECT b.p, b.e, coalesce(m.v, b.v) AS v
+  FROM book{r} b LEFT JOIN (SELECT p, e, [{mean}] AS v FROM near{r} JOIN parts USING (vec_id, p) GROUP BY p, e) m USING (p, e)
+)"""
+
+
+def _assigned(r: int) -> str:
+    distance = " + ".join(f"(x.v[{d}] - b.v[{d}]) * (x.v[{d}] - b.v[{d}])" for d in range(1, 5))
+    return f"""near{r} AS (
+  SELECT vec_id, p, best % 64 AS e, best // 64 AS d
+  FROM (SELECT x.vec_id, x.p, min(({distance}) * 64 + b.e) AS best FROM parts x JOIN book{r} b ON x.p = b.p GROUP BY ALL)
+)"""
+
+
+OP11 = f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), parts AS (
+  SELECT vec_id, p, q[4 * p + 1:4 * p + 4] AS v FROM kept, (SELECT unnest(range(16)) AS p)
+), book0 AS (
+  SELECT p, e, v FROM parts JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept) USING (vec_id) WHERE e < 64
+), {_round(0)}, {_round(1)}, {_assigned(2)}, coded AS (
+  SELECT vec_id, label, string_agg(format('{{:02x}}', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error
+  FROM near2 JOIN kept USING (vec_id) GROUP BY vec_id, label
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) FROM book2) AS codebooks_sha256
+FROM coded
+"""
+
 ORACLE = {
     "op3_substring_dedup": OP3, "op6_secret_scan": OP6, "op7_line_dedup": OP7, "op9_jaccard_join": OP9, "op10_decontamination": OP10,
+    "op11_vector_codes": OP11,
 }

@@ -16,6 +16,7 @@ from triad.llm.op7_lines import dedup_lines
 from triad.llm.op8_toxicity import toxicity
 from triad.llm.op9_jaccard_join import jaccard_components
 from triad.llm.op10_decontaminate import contained_items
+from triad.llm.op11_vector_codes import vector_codes
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,6 +71,11 @@ def op10_decontamination(spark, sf_dir):
     return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_vector_codes(spark, sf_dir):
+    return vector_codes(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_learned_partitions, op2_quality_cotraining, op3_substring_dedup, op4_best_fit_packing, op5_hidden_markov,
-    op6_secret_scan, op7_line_dedup, op8_toxicity_neighbours, op9_jaccard_join, op10_decontamination)}
+    op6_secret_scan, op7_line_dedup, op8_toxicity_neighbours, op9_jaccard_join, op10_decontamination,
+    op11_vector_codes)}
