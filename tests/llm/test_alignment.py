@@ -1,6 +1,7 @@
 """Alignment of two vocabularies against whole-text tokenisation and brute force over byte ranges."""
 
 import bisect
+import functools
 import hashlib
 import random
 from collections import Counter, defaultdict
@@ -14,15 +15,19 @@ from triad.llm.queries import vocabulary_path
 A, B = vocabulary_path("byte_bpe_50k.json"), vocabulary_path("piece_bpe_32k.model")
 
 
-def whole(text):
-    """[(id, bytes)] of both vocabularies, each from one call over the whole text."""
+@functools.cache
+def tokenizers():
     import sentencepiece
     from tokenizers import Tokenizer
 
-    a = whole.__dict__.setdefault("a", Tokenizer.from_file(A))
+    a = Tokenizer.from_file(A)
     a.encode_special_tokens = True
-    b = whole.__dict__.setdefault("b", sentencepiece.SentencePieceProcessor(model_file=B))
-    known = whole.__dict__.setdefault("v", Vocabularies(A, B))
+    return a, sentencepiece.SentencePieceProcessor(model_file=B), Vocabularies(A, B)
+
+
+def whole(text):
+    """[(id, bytes)] of both vocabularies, each from one call over the whole text."""
+    a, b, known = tokenizers()
     x, y = a.encode(" " + text, add_special_tokens=False).ids, b.encode(text)
     return [(i, known.a_bytes[i]) for i in x], [(i, known.b_bytes[i]) for i in y]
 
