@@ -176,9 +176,9 @@ class Aligner:
                         pairs[ids_a[i] << self.shift | ids_b[j]] += 1
                     done_a, done_b = ahi, bhi
                 counts, groups = (len(ids_a), len(ids_b), len(shown), sum(pairs.values())), ";".join(shown).encode()
-            if at + 1 >= len(self.pair_at):
+            if at == len(self.counts):
                 self.counts = np.concatenate([self.counts, np.empty_like(self.counts)])
-                self.pair_at = np.concatenate([self.pair_at, np.zeros_like(self.pair_at)])
+                self.pair_at = np.concatenate([self.pair_at, np.zeros(at, np.int64)])
             lo = int(self.pair_at[at])
             while lo + len(pairs) > len(self.pairs):
                 self.pairs, self.times = np.concatenate([self.pairs, self.pairs]), np.concatenate([self.times, self.times])

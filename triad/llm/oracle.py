@@ -88,25 +88,35 @@ SELECT c.doc_id, CAST(coalesce(len(c.ls), 0) AS BIGINT) AS n_lines, CAST(coalesc
 FROM cut c LEFT JOIN kept k USING (doc_id)
 """
 
-OP9 = f"""
+def _jaccard_sql(k: int, percent: int) -> str:
+    """Components of documents whose sets of k-word shingles have this similarity."""
+    return f"""
 WITH RECURSIVE words AS (
   SELECT doc_id, {WORDS.replace("coalesce(text, '')", LOWER.format("coalesce(text, '')"))} AS w FROM documents
 ), shingles AS (
-  SELECT DISTINCT doc_id, CASE WHEN len(w) < 3 THEN array_to_string(w, ' ') ELSE array_to_string(w[s:s + 2], ' ') END AS x
-  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS s FROM words WHERE len(w) > 0)
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < {k} THEN array_to_string(w, ' ') ELSE array_to_string(w[s:s + {k - 1}], ' ') END AS x
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {k - 2}, 2))) AS s FROM words WHERE len(w) > 0)
 ), sizes AS (
   SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
 ), shared AS (
   SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS s FROM shingles a JOIN shingles b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY ALL
 ), links AS (
-  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * s >= 90 * (x.n + y.n - s)
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * s >= {percent} * (x.n + y.n - s)
 ), reach AS (
   SELECT doc_id AS a, doc_id AS b FROM sizes UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
-)
+)"""
+
+
+OP9 = f"""{_jaccard_sql(3, 90)}
 SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(c.m, d.doc_id) AS component_id
 FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN (SELECT a, min(b) AS m FROM reach GROUP BY a) c ON c.a = d.doc_id
 """
 
+OP13 = f"""{_jaccard_sql(4, 80)}
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(c.m, d.doc_id) AS component_id, d.doc_id = coalesce(c.m, d.doc_id) AS kept
+FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN (SELECT a, min(b) AS m FROM reach GROUP BY a) c ON c.a = d.doc_id
+"""
+
 _MARKS = "".join(chr(b) for b in range(33, 127) if not chr(b).isalnum())
 _NORMAL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ{}', 'abcdefghijklmnopqrstuvwxyz{}')".format(_MARKS.replace("'", "''"), " " * len(_MARKS))
 
@@ -163,5 +173,5 @@ FROM coded
 
 ORACLE = {
     "op3_substring_dedup": OP3, "op6_secret_scan": OP6, "op7_line_dedup": OP7, "op9_jaccard_join": OP9, "op10_decontamination": OP10,
-    "op11_vector_codes": OP11,
+    "op11_vector_codes": OP11, "op13_near_dedup": OP13,
 }

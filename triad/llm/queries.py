@@ -18,6 +18,7 @@ from triad.llm.op9_jaccard_join import jaccard_components
 from triad.llm.op10_decontaminate import contained_items
 from triad.llm.op11_vector_codes import vector_codes
 from triad.llm.op12_alignment import alignment
+from triad.llm.op13_near_dedup import near_duplicates
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,7 +81,11 @@ def op12_cross_tokenizer_alignment(spark, sf_dir):
     return alignment(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"), vocabulary_path("piece_bpe_32k.model"))
 
 
+def op13_near_dedup(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_learned_partitions, op2_quality_cotraining, op3_substring_dedup, op4_best_fit_packing, op5_hidden_markov,
     op6_secret_scan, op7_line_dedup, op8_toxicity_neighbours, op9_jaccard_join, op10_decontamination,
-    op11_vector_codes, op12_cross_tokenizer_alignment)}
+    op11_vector_codes, op12_cross_tokenizer_alignment, op13_near_dedup)}
