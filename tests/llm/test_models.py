@@ -56,7 +56,8 @@ def test_best_fit_is_gapless_and_tight():
 def test_packed_round_trip(spark):
     from tokenizers import Tokenizer
 
-    docs = documents(spark, null_id=False, repeat=False).where("length(text) < 150000 OR text IS NULL")
+    special = [(9000 + i, t) for i, t in enumerate(("a <|EndOfText|> b", "x<|STARTOFTEXT|>.", "<|endoftext|>", "<| endoftext |>", "A<|B, <|EndOfText|>!"))]
+    docs = documents(spark, null_id=False, repeat=False).select("doc_id", "text").unionByName(spark.createDataFrame(special, "doc_id long, text string"))
     rows = packed(docs, vocabulary_path(), group=40).collect()
     tokenizer = Tokenizer.from_file(vocabulary_path())
     pieces = {}
@@ -75,7 +76,14 @@ def test_packed_round_trip(spark):
             at += length
         assert at <= 2048
     assert packed(empty_documents(spark), vocabulary_path()).count() == 0
-    assert packed(documents(spark).where("doc_id IS NULL OR doc_id < 10"), vocabulary_path()).count() >= 5
+    # repeated rows and rows without id are documents of their own
+    few = documents(spark).where("doc_id IS NULL OR doc_id < 10")
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.piece, r.length, r.ids_crc32) for r in packed(few, vocabulary_path()).collect())
+    want = []
+    for d in few.collect():
+        ids = np.array(tokenizer.encode(d.text or "", add_special_tokens=False).ids + [0], "<u4")
+        want += [(d.doc_id is None, d.doc_id or 0, k, len(ids[s:s + 2048]), zlib.crc32(ids[s:s + 2048].tobytes())) for k, s in enumerate(range(0, len(ids), 2048))]
+    assert got == sorted(want)
 
 
 # ---------------------------------------------------------------- language model
@@ -157,6 +165,21 @@ def brute_nearest(ids, x, q, k=5):
     return [(int(ids[i]), float(s[i])) for i in order]
 
 
+def test_a_repeated_query_row_is_one_query(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(120)]
+    rows += [rows[50], rows[50], (7, rows[20][1])]
+    df = spark.createDataFrame([(*r, 1, 2, 3) for r in rows], "vec_id long, embedding array<double>, id int, v int, visits int").repartition(3)
+    got = nearest(df.select("vec_id", "embedding", "v", "visits"), F.col("id") % 50 == 0, parts=2, target_recall=1.0)
+    found = {}
+    for r in sorted(got.collect(), key=lambda r: (r.query_id, r.rank)):
+        found.setdefault(r.query_id, []).append((r.rank, r.vec_id, round(r.score, 9)))
+    ids, x = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+    for q in (0, 50, 100):
+        best = brute_nearest(ids, x, int(np.flatnonzero(ids == q)[0]))
+        assert found[q] == [(k + 1, i, round(s, 9)) for k, (i, s) in enumerate(best)]
+
+
 def test_recall_and_scores(spark):
     table = spark.read.parquet(f"{SF}/embeddings.parquet")
     rows = table.collect()

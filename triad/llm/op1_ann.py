@@ -9,8 +9,8 @@ The sample (``SAMPLE`` rows by smallest hash of the id) is a documented bound fo
 Parts are split into blocks of at most about ``BLOCK`` rows, so a part swollen by equal vectors stays in bounded tasks.
 
 Vectors that are null, zero, of another width than most of the sample, or that hold null or non-finite components
-take no part. Ties go to the smaller vec_id. Equal ids (repeated rows) count once each as candidates, but never as
-neighbours of a query of that id. An empty table gives an empty result; extra columns are ignored.
+take no part. Ties go to the smaller vec_id. Repeated rows of an id are candidates each, but never of a query of that id, and
+make one query (of the smallest of their vectors). An empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -185,7 +185,8 @@ def nearest(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", ve
     spread = lambda n: F.sequence(F.lit(0), F.lit(n) - 1)
     base = placed.select("id", "v", "part", F.pmod(F.xxhash64("id"), table[F.col("part")]).cast("int").alias("block"),
                          F.explode(spread(query_blocks)).alias("qblock"))
-    asked = placed.where(is_query).select("id", "v", F.explode("visits").alias("part"), F.pmod(F.xxhash64("id"), F.lit(query_blocks)).cast("int").alias("qblock")) \
+    once = placed.where(is_query).groupBy("id").agg(F.min(F.struct("v", "visits")).alias("q")).select("id", "q.v", "q.visits")
+    asked = once.select("id", "v", F.explode("visits").alias("part"), F.pmod(F.xxhash64("id"), F.lit(query_blocks)).cast("int").alias("qblock")) \
         .withColumn("n", table[F.col("part")]).where("n > 0").select("id", "v", "part", "qblock", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("block"))
 
     def rerank(key, q, c):

@@ -111,12 +111,15 @@ def _ids(vocabulary: str):
 
 def learn(words: set, vocabulary: str) -> None:
     """Remember the ids of new words. A word's closing marks after an ASCII letter or digit are a piece of their own to the
-    tokenizer, and it lower-cases, so only the bare lower-cased word and the marks are tokenised."""
+    tokenizer, and it lower-cases, so only the bare lower-cased word and the marks are tokenised. A word that may hold a
+    special token is tokenised as it stands: those are looked for before lower-casing."""
     tokenizer, known = _ids(vocabulary)
     parts, new = {}, set()
     for w in words:
         bare = w.rstrip(_MARKS).lower()
-        if len(bare) < len(w) and bare[-1:].isalnum():
+        if b"<|" in w:
+            parts[w] = (w,)
+        elif len(bare) < len(w) and bare[-1:].isalnum():
             parts[w] = (bare, w[len(bare):])
         else:
             parts[w] = (w.lower(),)
@@ -181,7 +184,7 @@ def packed(docs: DataFrame, vocabulary: str, length: int = LENGTH, group: int =
         return out
 
     rest = dealt.where(~whole).groupBy("group").applyInPandas(fill, PACKED)
-    # a whole piece is numbered below zero by its document and piece hash position, unique per partition row
+    # whole pieces are numbered below zero
     alone = cut.where(whole).select("doc_id", "piece", "start", "length", "ids_crc32",
                                     (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     return rest.unionByName(alone)
