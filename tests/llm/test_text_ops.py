@@ -87,6 +87,8 @@ def test_jaccard_components_edge_tables(spark):
     rows = jaccard_components(documents(spark)).collect()
     assert len(rows) == len(hard_rows()) + 4
     assert [r.component_id for r in rows if r.doc_id is None] == [None, None]
+    expected = brute_components([(r[0], r[1]) for r in hard_rows()])
+    assert all((r.n_shingles, r.component_id) == expected[r.doc_id] for r in rows if r.doc_id is not None)
 
 
 def test_a_large_group_of_near_copies_is_one_component(spark):
@@ -102,7 +104,7 @@ def test_a_large_group_of_near_copies_is_one_component(spark):
         assert {r.component_id for r in jaccard_components(docs, tile=tile).collect()} == {0}
 
 
-def brute_lines(rows, least=5, percent=80):
+def brute_lines(rows, least=1, percent=80):
     lines = []
     for doc, text in sorted(rows):
         for i, line in enumerate(text.split("\n")):
@@ -133,8 +135,25 @@ def test_dedup_lines_edge_tables(spark):
     assert dedup_lines(empty_documents(spark)).count() == 0
     docs = documents(spark)
     got = dedup_lines(docs)
-    assert got.count() == docs.count()
     assert set(docs.columns) <= set(got.columns)
+    # equal rows are one document; a null id is the first of all
+    expected = brute_lines([(-1, hard_rows()[3][1])] + [(r[0], r[1] or "") for r in hard_rows()])
+    rows = got.collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        if r.doc_id is not None:
+            assert (r.text or "") == expected[r.doc_id]
+        elif r.text is not None:
+            assert r.text == hard_rows()[3][1] and r.n_removed == 0
+
+
+def test_a_line_that_most_documents_hold(spark, monkeypatch):
+    from triad.llm import op7_lines
+
+    monkeypatch.setattr(op7_lines, "HEAVY_LEAST", 3)
+    rows = [(i, f"all rights reserved\nown line number {i} of this text\nmenu") for i in range(30)]
+    got = {r.doc_id: r.text for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert got == brute_lines(rows)
 
 
 SECRETS = [
@@ -175,8 +194,7 @@ def test_secret_scan_runs_no_python(spark):
 
 
 def items(spark):
-    rows = hard_rows()
-    long_text = rows[29][1] if rows[29][1] and len(rows[29][1]) > 1000 else max((r[1] or "" for r in rows), key=lambda t: len(t.split()))
+    long_text = max((r[1] or "" for r in hard_rows()), key=lambda t: len(t.split()))
     inside = " ".join(long_text.split()[500:530])
     edited = inside.split()
     edited[0] = "other"

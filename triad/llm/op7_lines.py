@@ -7,7 +7,8 @@ Jaccard 0.8 must meet on one of them. Meeting lines pass a length filter, a posi
 Candidate clusters (components) then verify their lines by exact Jaccard on whole sets, in bounded tiles.
 
 A line goes when an earlier line (smaller doc_id, then smaller place) of the input matches it, whether or not that
-one goes too. Lines of fewer than ``least_words`` distinct words are too short to judge and stay.
+one goes too. Every line with a word is judged. A set that is too small to match any other set sends no prefix: its repeats
+share its fingerprint.
 
 Cases: null and empty texts have no judged lines and come back unchanged (null stays null). Rows with one doc_id and
 different texts are ordered by a hash of the text; equal rows count as one document and get the same result. A null
@@ -27,7 +28,9 @@ from triad.llm.components import components
 from triad.llm.text import LOWER_TO_BLANK, Words, batches, encoded, mix
 
 PERCENT = 80
-LEAST_WORDS = 5
+LEAST_WORDS = 1
+#: Lines of more than a ten-thousandth of all line rows: there are fewer than this many.
+HEAVY_LINES, HEAVY_LEAST = 10_000, 1_000
 #: Hashed counters for the rarity order (a fixed size: 16 MB), and lines of a cluster that one task compares.
 COUNTERS_LOG2 = 22
 TILE = 2_000
@@ -213,7 +216,8 @@ def lines_and_candidates(docs: DataFrame, ranks, blocks: int, least_words: int =
                 doc = s.doc + lo
                 lines.append((s.fp, ids[doc], null[doc].astype(np.uint8), rids[doc], s.line.astype(np.int32)))
                 fresh = np.array([f not in seen and not seen.add(f) for f in s.fp.tolist()], bool)
-                p = np.where(fresh, s.n - -(-percent * s.n // 100) + 1, 0)
+                alone = 100 * s.n < percent * (s.n + 1)  # no other set, not even one word larger, is similar enough
+                p = np.where(fresh & ~alone, s.n - -(-percent * s.n // 100) + 1, 0)
                 pick = np.repeat(np.arange(len(p)), p)
                 pos = np.arange(len(pick)) - np.repeat(np.cumsum(p) - p, p)
                 a, b = s.signatures(np.arange(len(s.n)))
@@ -222,7 +226,9 @@ def lines_and_candidates(docs: DataFrame, ranks, blocks: int, least_words: int =
             for kind, parts in ((0, prefix), (1, lines)):
                 if parts:
                     cols = [np.concatenate([p[i] for p in parts]) for i in range(len(parts[0]))]
-                    for block, *got in X.split_blocks(cols[0], (mix(cols[0]) % np.uint64(blocks)).astype(np.int64) * 2 + kind, *cols[1:]):
+                    # lines are only unpacked: dealt by document, so that a frequent line is no hot block
+                    deal = cols[3].view(np.uint64) if kind else cols[0]
+                    for block, *got in X.split_blocks(cols[0], (mix(deal) % np.uint64(blocks)).astype(np.int64) * 2 + kind, *cols[1:]):
                         rows.append((block, X.pack(*got)))
             yield pd.DataFrame(rows, columns=["block", "payload"])
 
@@ -330,7 +336,7 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT, least_words: int = LEAS
     release(spark)
     lines = found.where("b IS NULL").drop("b")
     place = F.struct("doc_id", "rid", "line")
-    firsts = lines.groupBy("a").agg(F.min(place).alias("first"))
+    firsts = lines.groupBy("a").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
     clusters = components(found.where("b IS NOT NULL").select("a", "b"))
     wanted = firsts.join(clusters.withColumnRenamed("id", "a"), "a").select("a", "component", "first.*")
     asked = wanted.groupBy("rid").agg(F.collect_list(F.struct("a", "component", "doc_id", "line")).alias("asked"))
@@ -338,21 +344,29 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT, least_words: int = LEAS
 
     def fetch(frames):
         for pdf in frames:
-            rows = []
+            rows, raw, tokens = [], [], []
             for rid, text, asks in zip(pdf["rid"], pdf["text"], pdf["asked"]):
                 cut = text.split("\n")
                 for x in asks:
-                    w = np.unique(Words([cut[x["line"]].encode("utf-8", "replace")], LOWER_TO_BLANK).hash)
-                    rows.append((x["component"], x["a"], x["doc_id"], rid, x["line"], w.tobytes()))
-            out = pd.DataFrame(rows, columns=["component", "a", "doc_id", "rid", "line", "tokens"])
+                    rows.append((x["component"], x["a"], x["doc_id"], rid, x["line"]))
+                    raw.append(cut[x["line"]].encode("utf-8", "replace"))
+            for lo, hi in batches(raw):
+                w = Words(raw[lo:hi], LOWER_TO_BLANK)
+                tokens += [np.unique(w.hash[x:y]).tobytes() for x, y in zip(w.bounds[:-1], w.bounds[1:])]
+            out = pd.DataFrame(rows, columns=["component", "a", "doc_id", "rid", "line"])
+            out["tokens"] = pd.Series(tokens, dtype=object)
             yield out.astype({"doc_id": "Int64"})
 
     members = X.written(texts.mapInPandas(fetch, "component long, a long, doc_id long, rid long, line int, tokens binary").dropDuplicates(["a"]), "members")
     release(spark)
     other = earliest_matches(members, percent, tile).groupBy("a").agg(F.min(place).alias("match"))
-    bound = firsts.join(other, "a", "left").select("a", F.least("first", F.coalesce("match", "first")).alias("least"))
-    gone = lines.join(bound, "a").where(F.col("least") < place).groupBy("rid").agg(F.collect_set("line").alias("gone"))
-    gone = X.written(gone, "gone")
+    # only sets with a later line or an earlier match take anything away
+    bound = X.written(firsts.join(other, "a", "left").where((F.col("n") > 1) | F.col("match").isNotNull()).select(
+        "a", "n", F.least("first", F.coalesce("match", "first")).alias("least")), "bound")
+    most = max(HEAVY_LEAST, (bound.agg(F.sum("n").alias("n")).first()["n"] or 0) // HEAVY_LINES)
+    heavy = F.broadcast(bound.where(F.col("n") > most).drop("n"))  # fewer than HEAVY_LINES rows
+    cuts = lines.join(heavy, "a").unionByName(lines.join(heavy, "a", "left_anti").join(bound.where(F.col("n") <= most).drop("n"), "a"))
+    gone = X.written(cuts.where(F.col("least") < place).groupBy("rid").agg(F.collect_set("line").alias("gone")), "gone")
     release(spark)
     none = F.array().cast("array<int>")
     cut = F.split("text", "\n", -1)

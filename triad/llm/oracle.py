@@ -60,7 +60,7 @@ WITH cut AS (
 ), sets AS (
   SELECT doc_id, i, list_sort(list_distinct({WORDS.replace("coalesce(text, '')", LOWER.format("line"))})) AS w FROM lines
 ), judged AS (
-  SELECT row_number() OVER (ORDER BY doc_id, i) AS p, doc_id, i, w FROM sets WHERE len(w) >= 5
+  SELECT row_number() OVER (ORDER BY doc_id, i) AS p, doc_id, i, w FROM sets WHERE len(w) >= 1
 ), firsts AS (
   SELECT w, min(p) AS p FROM judged GROUP BY w
 ), tokens AS (
