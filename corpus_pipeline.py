@@ -35,9 +35,24 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, Jaccard 0.8) the document with the smallest doc_id stays."""
-    copies = jaccard_components(docs, k=COPY_SHINGLE, percent=COPY_PERCENT).where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    """Of each group of near copies (five-word shingles, Jaccard 0.8) one row stays: that of the smallest doc_id, null last.
+
+    Rows are told apart by doc_id and text, so rows that share an id, or have none, are judged one by one; of equal rows one
+    stays. Texts without words are no copies of anything and stay. An empty table stays empty.
+    """
+    rows = docs.withColumn("__row", F.xxhash64("doc_id", "text"))
+    found = jaccard_components(rows.select(F.col("__row").alias("doc_id"), "text"), k=COPY_SHINGLE, percent=COPY_PERCENT)
+    labels = written(found.where("n_shingles > 0").groupBy(F.col("doc_id").alias("__row")).agg(
+        F.min("component_id").alias("group"), F.count(F.lit(1)).alias("n")), "copies")
+    several = labels.groupBy("group").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("group")
+    members = labels.join(several, "group").select("__row", "group")
+    ids = rows.select("__row", "doc_id").join(members, "__row")
+    first = ids.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__row")).alias("first")).select("group", F.col("first.__row").alias("stays"))
+    later = members.join(first, "group").where("__row <> stays").select("__row")
+    left = rows.join(later, "__row", "left_anti")
+    equal = labels.where("n > 1").select("__row")
+    once = left.join(equal, "__row", "left_semi").dropDuplicates(["__row"])
+    return left.join(equal, "__row", "left_anti").unionByName(once).select(*docs.columns)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
