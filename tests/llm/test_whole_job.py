@@ -49,6 +49,22 @@ def test_pipeline_removes_near_copies_between_the_thresholds(spark, tables):
     assert {r.doc_id for r in P.run(spark, tables(rows)).select("doc_id").collect()} == expected
 
 
+def test_near_copy_stage_decides_by_row(spark):
+    import corpus_pipeline as P
+
+    a = " ".join(f"a{i}" for i in range(60))
+    near = a.replace("a30 ", "")
+    b = " ".join(f"b{i}" for i in range(60))
+    rows = [(0, a), (1, near), (1, b), (5, "same text of one id " * 3), (5, "same text of one id " * 3), (None, a), (None, "text of nobody " * 4),
+            (None, "text of nobody " * 4), (7, ""), (7, ""), (8, None), (None, None)]
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    got = P.near_copy_stage(spark, docs, "")
+    assert got.columns == docs.columns
+    want = [(0, a), (1, b), (5, "same text of one id " * 3), (None, "text of nobody " * 4), (7, ""), (7, ""), (8, None), (None, None)]
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(want, key=str)
+    assert P.near_copy_stage(spark, docs.limit(0), "").count() == 0
+
+
 def test_line_stage_judges_short_lines(spark):
     import corpus_pipeline as P
 
