@@ -2,7 +2,8 @@
 
 import heapq
 import itertools
-from collections import deque
+import random
+from collections import Counter, deque
 
 import pytest
 from pyspark.sql import Row
@@ -15,8 +16,6 @@ def test_co_occurrence_matches_pairs_with_hot_group(spark):
     rows = [(0, i) for i in range(40)]  # one group holding most rows
     rows += [(g, i) for g in range(1, 30) for i in range(g % 7, g % 7 + 4)]
     df = spark.createDataFrame([Row(g=g, i=i) for g, i in rows])
-    got = {(r.i1, r.i2): r.weight for r in
-           DV.co_occurrence(df, "g", "i", 1, block_items=8, group_chunk=4).collect()}
     want = {}
     by_g = {}
     for g, i in rows:
@@ -24,7 +23,26 @@ def test_co_occurrence_matches_pairs_with_hot_group(spark):
     for items in by_g.values():
         for a, b in itertools.combinations(sorted(items), 2):
             want[(a, b)] = want.get((a, b), 0) + 1
-    assert got == want
+    for light in (0, 3, 39, 100, None):  # all groups in blocks, some, the hot one only, none
+        got = DV.co_occurrence(df, "g", "i", 1, block_items=8, group_chunk=4, light=light)
+        assert {(r.i1, r.i2): r.weight for r in got.collect()} == want, light
+
+
+def test_strongest_pairs_survive_the_threshold(spark):
+    rng = random.Random(3)
+    rows = {(g, int(rng.paretovariate(0.7)) % 300) for g in range(200) for _ in range(12)}
+    df = spark.createDataFrame([Row(g=g, i=i) for g, i in rows])
+    weight = Counter()
+    for g in range(200):
+        for a, b in itertools.combinations(sorted(i for h, i in rows if h == g), 2):
+            weight[a, b] += 1
+    for k in (1, 10, 60, 10_000):
+        want = sorted(weight.items(), key=lambda x: (-x[1], x[0]))[:k]
+        pairs = DV.co_occurrence(df, "g", "i", 1, distinct_rows=True, top=k)
+        got = DV.strongest_edges(pairs, "i1", "i2", k).collect()
+        assert [((r.i1, r.i2), r.weight) for r in got] == want
+    bound = DV.weight_bound(df, 10)
+    assert 1 < bound <= sorted(weight.values())[-10]
 
 
 def brute_pagerank(edges, nodes, d=0.85, iters=20):
