@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from tests.llm.data import documents, empty_documents
-from triad.llm.op12_alignment import Vocabularies, alignment, cut_marks, shared_cuts
+from triad.llm.op12_alignment import Vocabularies, alignment, cut_pattern, shared_cuts
 from triad.llm.queries import vocabulary_path
 
 A, B = vocabulary_path("byte_bpe_50k.json"), vocabulary_path("piece_bpe_32k.model")
@@ -89,15 +89,16 @@ def test_shared_cuts_are_all_common_ends():
         assert shared_cuts(a, b) == [(a.index(c) + 1, b.index(c) + 1) for c in want]
 
 
-def test_marks_need_a_vocabulary_that_splits_there():
-    assert cut_marks(["▁a", "▁▁", "b", "<0x0A>"]) == " \n"
-    assert cut_marks(["▁a", "of▁the", "x\ny"]) == ""
+def test_places_need_a_vocabulary_that_splits_there():
+    assert cut_pattern(["▁a", "▁▁", "b", "<0x0A>", "...", "▁."]).count("|") >= 2
+    assert cut_pattern(["▁a", "of▁the", "x\ny"]) == ""
+    assert "A-Z" not in cut_pattern(["etc.", "▁a"]) and " " in cut_pattern(["etc.", "▁a"])
 
 
 def texts():
     rng = random.Random(4)
     bits = ["Hello", "world", " ", "  ", "\n", "\n\n", "\t", "\r\n", " ", "　", "é", "naïve", "日本語", "😀", "don't", "it's", "<|endoftext|>",
-            "<s>", "</s>", "<0x0A>", "▁", "123", "...", "\x00", "\x1c", "\x85", "​", "x" * 30, "é", " ", " a", "ing ", ".\nThe", "'", "﻿"]
+            "<s>", "</s>", "<0x0A>", "▁", "123", "...", "\x00", "\x1c", "end.", "Yes!? ", ".", "a,", "é.", "2.", "\x85", "​", "x" * 30, "é", " ", " a", "ing ", ".\nThe", "'", "﻿"]
     out = ["".join(rng.choice(bits) for _ in range(rng.randrange(1, 40))) for _ in range(400)]
     return out + ["", None, " ", "\n", "a", " a", "a ", "the of and " * 50, "the of and " * 50, "x" * 20_000, "日本" * 3000, "w " * 9000]
 

@@ -2,8 +2,8 @@
 
 The ends of both token sequences are cut by divide and conquer: from the middle of one sequence the nearest end that the
 other one shares is located by bisect, both halves are cut again, and an interval without a shared end is a leaf group.
-A single blank or line feed between two other characters starts a token in both vocabularies (``cut_marks`` checks this for the piece
-vocabulary; the byte-level one splits there by its pattern), so it is a shared cut in any text. Texts are cut there first, each
+Some places are shared cuts in any text, as before a single blank between two other characters (``cut_pattern`` checks this for the
+piece vocabulary; the byte-level one splits there by its pattern). Texts are cut there first, each
 worker tokenises and aligns a distinct unit once, and a text is put together from its units.
 
 The corpus-wide count of an id pair (documents that hold it linked) needs a meeting of all documents. A chunk is a bounded
@@ -24,6 +24,7 @@ import hashlib
 import re
 from bisect import bisect_left
 from collections import Counter
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -35,7 +36,7 @@ from triad.llm import exchange as X
 
 #: Bytes of text in a chunk (a longer text is a chunk with others of its batch), and texts worked on at once.
 CHUNK_BYTES, TEXTS_AT_ONCE = 16 << 20, 256
-#: Units a worker remembers, and bytes of their groups; beyond either it starts afresh.
+#: Units a worker remembers, and bytes of their groups; beyond either it keeps those that came again, half of the room at most.
 UNITS_KEPT, GROUP_BYTES_KEPT = 500_000, 64 << 20
 
 DOC = ("chunk long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
@@ -49,22 +50,29 @@ def shared_cuts(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     while stack:
         alo, ahi, blo, bhi = stack.pop()
         # ends inside the interval: its own last end is a cut already
-        middle, last = (alo + ahi - 1) // 2, ahi - 2
-        found = None
-        for step in range(max(middle - alo, last - middle) + 1):
-            for i in ((middle + step, middle - step) if step else (middle,)):
-                if alo <= i <= last:
-                    j = bisect_left(b, a[i], blo, bhi - 1)
-                    if j < bhi - 1 and b[j] == a[i]:
-                        found = i + 1, j + 1
+        last, stop = ahi - 2, bhi - 1
+        found = -1
+        if blo < stop:
+            left = (alo + last) // 2
+            right = left + 1
+            while left >= alo or right <= last:
+                if left >= alo:
+                    j = bisect_left(b, a[left], blo, stop)
+                    if j < stop and b[j] == a[left]:
+                        found = left
                         break
-            if found:
-                break
-        if found:
-            stack.append((found[0], ahi, found[1], bhi))
-            stack.append((alo, found[0], blo, found[1]))
-        else:
+                    left -= 1
+                if right <= last:
+                    j = bisect_left(b, a[right], blo, stop)
+                    if j < stop and b[j] == a[right]:
+                        found = right
+                        break
+                    right += 1
+        if found < 0:
             out.append((ahi, bhi))
+        else:
+            stack.append((found + 1, ahi, j + 1, bhi))
+            stack.append((alo, found + 1, blo, j + 1))
     return out
 
 
@@ -98,9 +106,8 @@ class Vocabularies:
         letter = self._letters(ByteLevel.alphabet())
         self.a_bytes = [b"".join(letter.get(c, c.encode()) for c in self.a.id_to_token(i) or "") for i in range(self.a.get_vocab_size())]
         self.b_bytes = [self._piece(self.b.id_to_piece(i)) for i in range(self.b.get_piece_size())]
-        self.blank = self.b.piece_to_id("▁")
-        self.marks = cut_marks([self.b.id_to_piece(i) for i in range(self.b.get_piece_size())])
-        self.cut = re.compile(rf"(?<=\S)(?=[{self.marks}]\S)") if self.marks else None
+        pattern = cut_pattern([self.b.id_to_piece(i) for i in range(self.b.get_piece_size())])
+        self.cut = re.compile(pattern) if pattern else None
 
     @staticmethod
     def _letters(alphabet: list[str]) -> dict[str, bytes]:
@@ -117,16 +124,18 @@ class Vocabularies:
         return piece.replace("▁", " ").encode()
 
     def units(self, text: str) -> list[str]:
-        """Units of blank + text; each begins with its mark (the first with that blank)."""
+        """Units of blank + text."""
         return self.cut.split(" " + text) if self.cut else [" " + text]
 
     def tokenised(self, units: list[str]):
         """(A ids, B ids) of each unit."""
         a = self.a.encode_batch_fast(units, add_special_tokens=False)
-        # the piece vocabulary puts a blank before what it is given
-        b = self.b.encode([u[1:] if u[0] == " " else u for u in units], num_threads=1)
+        # the piece vocabulary puts a blank before what it is given; behind a line feed that blank joins nothing
+        b = self.b.encode([u[1:] if u[0] == " " else u if u[0] == "\n" else "\n" + u for u in units], num_threads=1)
         for u, x, y in zip(units, a, b):
-            yield x.ids, y if u[0] == " " else y[1:] if y[:1] == [self.blank] else []
+            if u[0] != " ":
+                y = y[1:] if u[0] == "\n" else y[2:]
+            yield x.ids, y
 
 
 def pair_shift(pieces: str) -> int:
@@ -136,10 +145,33 @@ def pair_shift(pieces: str) -> int:
     return sentencepiece.SentencePieceProcessor(model_file=pieces).get_piece_size().bit_length()
 
 
-def cut_marks(pieces: list[str]) -> str:
-    """Characters that begin a unit between two others: no piece of the vocabulary holds one behind another character."""
-    return "".join(mark for mark, stored in ((" ", "▁"), ("\n", "\n"))
-                   if not any(re.search(rf"[^{stored}]{stored}", p) for p in pieces) and (mark == " " or not any(mark in p for p in pieces)))
+def cut_pattern(pieces: list[str]) -> str:
+    """Where units begin, as a regular expression of empty matches: before a single blank or line feed between two other
+    characters, and before closing marks behind an ASCII letter. Each only if no piece of the vocabulary reaches across."""
+    places = []
+    if not any(re.search("[^▁]▁", p) for p in pieces):
+        places.append(r"(?<=\S)(?= \S)")
+    if not any("\n" in p for p in pieces):  # units that begin with other than a blank are tokenised behind a line feed
+        places.append(r"(?<=\S)(?=\n\S)")
+        if not any(re.search("[A-Za-z][.,;:!?]", p) for p in pieces):
+            places.append(r"(?<=[A-Za-z])(?=[.,;:!?]+(?:\s|\Z))")
+    return "|".join(places)
+
+
+class Growing:
+    """An array that grows at its end; ``data[:n]`` is filled."""
+
+    def __init__(self, data: np.ndarray):
+        self.data, self.n = data, 0
+
+    def add(self, more: np.ndarray) -> None:
+        need = self.n + len(more)
+        if need > len(self.data):
+            grown = np.empty((max(need, 2 * len(self.data)), *self.data.shape[1:]), self.data.dtype)
+            grown[:self.n] = self.data[:self.n]
+            self.data = grown
+        self.data[self.n:need] = more
+        self.n = need
 
 
 class Aligner:
@@ -148,68 +180,102 @@ class Aligner:
     def __init__(self, byte_level: str, pieces: str, kept: int = UNITS_KEPT):
         self.vocabularies, self.kept = Vocabularies(byte_level, pieces), kept
         self.shift = len(self.vocabularies.b_bytes).bit_length()
+        self.a_length, self.b_length = ([len(t) for t in side] for side in (self.vocabularies.a_bytes, self.vocabularies.b_bytes))
+        self.shown_id = [str(i) for i in range(max(len(self.a_length), len(self.b_length)))]
+        self.units, self.groups = [], []
         self.forget()
 
-    def forget(self) -> None:
-        self.index: dict[str, int] = {}
-        self.group_bytes = 0
-        self.groups: list[bytes] = []
-        self.counts = np.empty((1024, 4), np.int64)  # tokens of A (-1: bytes differ), of B, groups, links
-        self.pair_at = np.zeros(1025, np.int64)
-        self.pairs, self.times = np.empty(4096, np.int64), np.empty(4096, np.int64)
+    def forget(self, keep: int = 0) -> None:
+        """Start afresh with ``keep`` units at most: the ones met most often, and more than once."""
+        old, at = (self.units, self.groups), np.empty(0, np.int64)
+        if keep:
+            hits = self.hits.data[:self.hits.n]
+            at = np.sort(np.argsort(-hits, kind="stable")[:min(keep, int((hits > 1).sum()))])
+            lo = self.pair_end.data[at]
+            size = self.pair_end.data[at + 1] - lo
+            ends = np.cumsum(size)
+            take = np.arange(size.sum()) + np.repeat(lo - (ends - size), size)
+            have = (self.counts.data[at], hits[at] // 2, ends, self.pairs.data[take], self.times.data[take])
+        self.counts = Growing(np.empty((1024, 4), np.int64))  # tokens of A (-1: bytes differ), of B, groups, links
+        self.hits, self.pair_end, self.pairs, self.times = (Growing(np.empty(4096, np.int64)) for _ in range(4))
+        self.pair_end.add(np.zeros(1, np.int64))
+        self.units: list[str] = [old[0][i] for i in at.tolist()]
+        self.groups: list[bytes] = [old[1][i] for i in at.tolist()]
+        self.index: dict[str, int] = dict(zip(self.units, range(len(at))))
+        self.group_bytes = sum(map(len, self.groups))
+        if len(at):
+            for part, data in zip((self.counts, self.hits, self.pair_end, self.pairs, self.times), have):
+                part.add(data)
 
     def learn(self, units: list[str]) -> None:
-        v = self.vocabularies
+        v, shift = self.vocabularies, self.shift
+        a_bytes, b_bytes = v.a_bytes.__getitem__, v.b_bytes.__getitem__
+        a_length, b_length, shown_id = self.a_length.__getitem__, self.b_length.__getitem__, self.shown_id.__getitem__
+        at, counts, sizes, pairs, times = len(self.groups), [], [], [], []
         for unit, (ids_a, ids_b) in zip(units, v.tokenised(units)):
-            at, text = len(self.groups), unit.encode("utf-8", "replace")
-            parts_a, parts_b = [v.a_bytes[i] for i in ids_a], [v.b_bytes[i] for i in ids_b]
-            pairs: Counter = Counter()
-            if b"".join(parts_a) != text or b"".join(parts_b) != text:
-                counts, groups = (-1, 0, 0, 0), b""
+            text = unit.encode("utf-8", "replace")
+            if b"".join(map(a_bytes, ids_a)) != text or b"".join(map(b_bytes, ids_b)) != text:
+                counts.append((-1, 0, 0, 0))
+                sizes.append(0)
+                self.groups.append(b"")
+                continue
+            a, b = list(accumulate(map(a_length, ids_a))), list(accumulate(map(b_length, ids_b)))
+            alo = blo = 0
+            linked, shown = [], []
+            for ahi, bhi in shared_cuts(a, b):
+                shown.append(",".join(map(shown_id, ids_a[alo:ahi])) + "|" + ",".join(map(shown_id, ids_b[blo:bhi])))
+                if ahi - alo == 1:  # one token of a side overlaps all of the other
+                    high = ids_a[alo] << shift
+                    linked += [high | y for y in ids_b[blo:bhi]]
+                elif bhi - blo == 1:
+                    linked += [x << shift | ids_b[blo] for x in ids_a[alo:ahi]]
+                else:
+                    linked += [ids_a[i] << shift | ids_b[j] for i, j in overlaps(a, b, alo, ahi, blo, bhi)]
+                alo, blo = ahi, bhi
+            once = set(linked)
+            if len(once) == len(linked):
+                pairs += linked
+                times += [1] * len(linked)
             else:
-                a, b = np.cumsum([len(p) for p in parts_a]).tolist(), np.cumsum([len(p) for p in parts_b]).tolist()
-                done_a = done_b = 0
-                shown = []
-                for ahi, bhi in shared_cuts(a, b):
-                    shown.append(",".join(map(str, ids_a[done_a:ahi])) + "|" + ",".join(map(str, ids_b[done_b:bhi])))
-                    for i, j in overlaps(a, b, done_a, ahi, done_b, bhi):
-                        pairs[ids_a[i] << self.shift | ids_b[j]] += 1
-                    done_a, done_b = ahi, bhi
-                counts, groups = (len(ids_a), len(ids_b), len(shown), sum(pairs.values())), ";".join(shown).encode()
-            if at == len(self.counts):
-                self.counts = np.concatenate([self.counts, np.empty_like(self.counts)])
-                self.pair_at = np.concatenate([self.pair_at, np.zeros(at, np.int64)])
-            lo = int(self.pair_at[at])
-            while lo + len(pairs) > len(self.pairs):
-                self.pairs, self.times = np.concatenate([self.pairs, self.pairs]), np.concatenate([self.times, self.times])
-            self.pairs[lo:lo + len(pairs)], self.times[lo:lo + len(pairs)] = list(pairs.keys()), list(pairs.values())
-            self.pair_at[at + 1], self.counts[at] = lo + len(pairs), counts
-            self.groups.append(groups)
-            self.group_bytes += len(groups)
-            self.index[unit] = at
+                many = Counter(linked)
+                pairs += many.keys()
+                times += many.values()
+            counts.append((len(ids_a), len(ids_b), len(shown), len(linked)))
+            sizes.append(len(once))
+            self.groups.append(";".join(shown).encode())
+        self.group_bytes += sum(map(len, self.groups[at:]))
+        self.units += units
+        self.index.update(zip(units, range(at, len(self.groups))))
+        self.hits.add(np.zeros(len(units), np.int64))
+        self.counts.add(np.array(counts, np.int64).reshape(-1, 4))
+        self.pair_end.add(self.pairs.n + np.cumsum(sizes, dtype=np.int64))
+        self.pairs.add(np.array(pairs, np.int64))
+        self.times.add(np.array(times, np.int64))
 
     def align(self, texts: list):
         """Yield (counts or None, hash, distinct pairs, links of each pair) for each text."""
         split = [self.vocabularies.units(t) if isinstance(t, str) and t else [] for t in texts]
         new = set().union(*split).difference(self.index)
         if len(self.index) + len(new) > self.kept or self.group_bytes > GROUP_BYTES_KEPT:
-            self.forget()
-            new = set().union(*split)
+            self.forget(self.kept // 2 if self.group_bytes <= GROUP_BYTES_KEPT else 0)
+            new = set().union(*split).difference(self.index)
         if new:
             self.learn(list(new))
         none = np.empty(0, np.int64)
         for units in split:
             at = np.fromiter(map(self.index.__getitem__, units), np.int64, len(units))
-            counts = self.counts[at]
+            counts = self.counts.data[at]
             if not len(at) or (counts[:, 0] < 0).any():
                 yield None, "", none, none
                 continue
             unit, n = np.unique(at, return_counts=True)
-            lo, size = self.pair_at[unit], self.pair_at[unit + 1] - self.pair_at[unit]
+            self.hits.data[unit] += n
+            lo = self.pair_end.data[unit]
+            size = self.pair_end.data[unit + 1] - lo
             ends = np.cumsum(size)
             take = np.arange(ends[-1]) + np.repeat(lo - (ends - size), size)
-            pairs, where = np.unique(self.pairs[take], return_inverse=True)
-            times = np.bincount(where, self.times[take] * np.repeat(n, size)).astype(np.int64)
+            pairs, where = np.unique(self.pairs.data[take], return_inverse=True)
+            times = np.bincount(where, self.times.data[take] * np.repeat(n, size)).astype(np.int64)
             yield counts.sum(axis=0), hashlib.sha256(b";".join([self.groups[i] for i in at.tolist()])).hexdigest(), pairs, times
 
 _worker: dict = {}
