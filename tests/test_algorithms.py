@@ -163,3 +163,53 @@ def test_weighted_path_of_more_than_fifty_edges(spark):
     rows = [Row(u1=i, u2=i + 1, distance=1.0) for i in range(54)] + [Row(u1=0, u2=54, distance=100.0)]
     r = A.weighted_path(spark.createDataFrame(rows), 0, 54).collect()[0]
     assert r.totalCost == 54.0 and r.nodeIds == list(range(55)) and r.hops == 54
+
+
+def test_weighted_paths_match_dijkstra_on_random_graphs(spark):
+    rng = random.Random(8)
+    edges = [(a, b, float(rng.choice([0, 1, 2, 3, 7]))) for a, b in {tuple(sorted(rng.sample(range(40), 2))) for _ in range(90)}]
+    e = spark.createDataFrame([Row(u1=a, u2=b, distance=c) for a, b, c in edges])
+    cost = {(a, b): c for a, b, c in edges} | {(b, a): c for a, b, c in edges}
+    for t, width in ((39, None), (17, 0.5), (5, 100.0)):
+        want = dijkstra(edges, 0, t)
+        got = A.weighted_path(e, 0, t, width=width).collect()
+        assert (want is None) == (not got)
+        if got:
+            r = got[0]
+            assert r.totalCost == want and r.costs[-1] == want and (r.nodeIds[0], r.nodeIds[-1]) == (0, t) and r.hops == len(r.nodeIds) - 1
+            assert [y - x for x, y in zip(r.costs, r.costs[1:])] == [cost[x] for x in zip(r.nodeIds, r.nodeIds[1:])]
+    assert A.weighted_path(e, 0, 999).count() == 0 and A.weighted_path(e, None, 3).count() == 0
+
+
+def test_weighted_path_along_a_chain(spark):
+    n = 40
+    e = spark.createDataFrame([Row(u1=i, u2=i + 1, distance=1.0) for i in range(n)] + [Row(u1=0, u2=n, distance=n + 1.0)])
+    r = A.weighted_path(e, 0, n, width=8.0).collect()[0]
+    assert r.nodeIds == list(range(n + 1)) and r.costs == [float(i) for i in range(n + 1)] and r.hops == n
+
+
+def test_hop_paths_of_every_length_are_the_smallest(spark):
+    rng = random.Random(4)
+    names = [f"n{i:02d}" for i in range(40)]
+    links = {tuple(sorted(rng.sample(names, 2))) for _ in range(52)}
+    adj = {}
+    for a, b in links:
+        adj.setdefault(a, set()).add(b)
+        adj.setdefault(b, set()).add(a)
+
+    def smallest(s, t, most):
+        layer = [[s]]
+        for _ in range(most + 1):
+            hits = sorted(p for p in layer if p[-1] == t)
+            if hits:
+                return hits[0]
+            layer = [p + [y] for p in layer for y in adj.get(p[-1], ()) if y not in p]
+        return None
+
+    e = spark.createDataFrame([Row(src=a, dst=b) for a, b in links])
+    pairs = [(s, t) for s in names[:3] for t in names[::4]]
+    for most in (6, 3):
+        got = {(r.source, r.target): (r.path, r.length) for r in A.hop_paths(e, spark.createDataFrame(pairs, "source string, target string"), most).collect()}
+        want = {(s, t): smallest(s, t, most) for s, t in pairs}
+        assert got == {k: (p, len(p) - 1) for k, p in want.items() if p}
+    assert max(n for _, n in got.values()) == 3

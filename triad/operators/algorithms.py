@@ -14,7 +14,7 @@ import itertools
 import os
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from triad.session import checkpoint_dir
@@ -42,8 +42,7 @@ def undirected(edges: DataFrame, src: str = "src", dst: str = "dst", weight: str
 
 def pagerank(edges: DataFrame, vertices: DataFrame, src: str = "src", dst: str = "dst",
              weight: str | None = "weight", vertex_id: str = "id", damping: float = 0.85,
-             max_iter: int = 20, tol: float = 1e-7, is_undirected: bool = True,
-             checkpoint_every: int = 5) -> DataFrame:
+             max_iter: int = 20, tol: float = 1e-7, is_undirected: bool = True) -> DataFrame:
     """Weighted PageRank, un-normalised: ``r = (1-d) + d * sum(r_u * w_uv / W_u)``,
     every vertex starting at ``1-d``; a vertex without edges keeps ``1-d``.
     Stops after ``max_iter`` rounds or when no score moves by ``tol``.
@@ -51,25 +50,25 @@ def pagerank(edges: DataFrame, vertices: DataFrame, src: str = "src", dst: str =
     e = undirected(edges, src, dst, weight) if is_undirected else \
         edges.select(F.col(src).alias("src"), F.col(dst).alias("dst"),
                      (F.col(weight).cast("double") if weight else F.lit(1.0)).alias("w"))
+    n = int(e.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     out_w = e.groupBy("src").agg(F.sum("w").alias("wsum"))
-    p = e.join(out_w, "src").select("src", "dst", (F.col("w") / F.col("wsum")).alias("p")) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    # edges stay dealt by source and vertices by id in all rounds, so a round only exchanges contributions
+    p = e.join(out_w, "src").select("src", "dst", (F.col("w") / F.col("wsum")).alias("p")).repartition(n, "src").persist(StorageLevel.MEMORY_AND_DISK)
     base = 1.0 - damping
-    verts = vertices.select(F.col(vertex_id).alias("id")).distinct().persist(StorageLevel.MEMORY_AND_DISK)
+    verts = vertices.select(F.col(vertex_id).alias("id")).distinct().repartition(n, "id").persist(StorageLevel.MEMORY_AND_DISK)
     ranks = verts.select("id", F.lit(base).alias("r"))
     for i in range(1, max_iter + 1):
-        contrib = p.join(ranks.withColumnRenamed("id", "src"), "src") \
-            .groupBy("dst").agg(F.sum(F.col("r") * F.col("p")).alias("s"))
-        new = verts.join(contrib.withColumnRenamed("dst", "id"), "id", "left").select(
-            "id", (F.lit(base) + F.lit(damping) * F.coalesce("s", F.lit(0.0))).alias("r"))
-        new = _cut(new, i, checkpoint_every)
-        delta = new.join(ranks.withColumnRenamed("r", "old"), "id") \
-            .agg(F.max(F.abs(F.col("r") - F.col("old")))).collect()[0][0]
-        if i > 1:
-            ranks.unpersist()
-        ranks = new
+        contrib = p.join(ranks.withColumnRenamed("id", "src"), "src").groupBy("dst").agg(F.sum(F.col("r") * F.col("p")).alias("s"))
+        new = ranks.withColumnRenamed("r", "old").join(contrib.withColumnRenamed("dst", "id"), "id", "left").select(
+            "id", (F.lit(base) + F.lit(damping) * F.coalesce("s", F.lit(0.0))).alias("r"), "old")
+        seen = Observation()  # the largest change comes with the job that computes the round
+        new = new.observe(seen, F.max(F.abs(F.col("r") - F.col("old"))).alias("delta"))
+        ranks = _cut(new, 1, 1).select("id", "r")
+        delta = seen.get["delta"]
         if delta is not None and delta < tol:
             break
+    p.unpersist()
+    verts.unpersist()
     return ranks.select(F.col("id"), F.col("r").alias("score"))
 
 
@@ -190,40 +189,65 @@ def community_top_genres(labels: DataFrame, rated: DataFrame, has_genre: DataFra
 
 # ------------------------------------------------------------- shortest paths
 
-def hop_paths(edges: DataFrame, pairs: DataFrame, max_hops: int = 6, checkpoint_every: int = 1) -> DataFrame:
+def hop_paths(edges: DataFrame, pairs: DataFrame, max_hops: int = 6) -> DataFrame:
     """Shortest paths by hop count in an undirected graph of string keys, for
-    every (source, target) pair at once.
+    every (source, target) pair at once; of equally short ones the smallest by its keys, first key first.
 
-    Breadth-first frontier keyed by (source, vertex): each level joins the
-    frontier with the edges, drops vertices that source has reached already
-    (left-anti) and keeps the smallest path per new vertex. Returns (source,
-    target, path, length); pairs without a path within ``max_hops`` give no row.
+    Layers of (root, vertex) grow from the sources and from the targets in turn, so no side goes deeper than half of
+    ``max_hops``. A layer's neighbours lie in the layer before, the same and the next one, so only two layers are
+    kept out of a new one. Sides of a + b levels meet in their newest layers exactly if the distance is a + b. The paths
+    of the pairs that met are rebuilt by joins: vertices between both sides, then the smallest next vertex of each
+    step. Returns (source, target, path, length); pairs without a path within ``max_hops`` give no row.
     """
-    e = undirected(edges, "src", "dst", None).select("src", "dst").distinct() \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    pairs = pairs.select(F.col("source").cast("string").alias("s"), F.col("target").cast("string").alias("t")) \
-        .distinct().persist(StorageLevel.MEMORY_AND_DISK)
-    found = pairs.where(F.col("s") == F.col("t")).select(
-        F.col("s").alias("source"), F.col("t").alias("target"), F.array("s").alias("path"), F.lit(0).alias("length"))
-    frontier = pairs.select("s", F.col("s").alias("node"), F.array("s").alias("path")).distinct()
-    visited = frontier.select("s", "node")
-    for depth in range(1, max_hops + 1):
-        nxt = frontier.join(e, frontier.node == e.src).select(
-            "s", F.col("dst").alias("node"), F.concat("path", F.array("dst")).alias("path"))
-        nxt = nxt.join(visited, ["s", "node"], "left_anti").groupBy("s", "node").agg(F.min("path").alias("path"))
-        nxt = _cut(nxt, depth, checkpoint_every)
-        hits = nxt.alias("x").join(pairs.alias("p"), (F.col("x.s") == F.col("p.s")) & (F.col("x.node") == F.col("p.t"))) \
-            .select(F.col("x.s").alias("source"), F.col("p.t").alias("target"), F.col("x.path").alias("path"),
-                    F.lit(depth).alias("length"))
-        found = _cut(found.unionByName(hits), depth, checkpoint_every)
-        open_pairs = pairs.join(found.select(F.col("source").alias("s"), F.col("target").alias("t")),
-                                ["s", "t"], "left_anti")
-        if nxt.limit(1).count() == 0 or open_pairs.limit(1).count() == 0:
+    e = _cut(undirected(edges, "src", "dst", None).select("src", "dst").distinct(), 1, 1)
+    pairs = _cut(pairs.select(F.col("source").cast("string").alias("s"), F.col("target").cast("string").alias("t")).distinct(), 1, 1)
+    found = [pairs.where(F.col("s") == F.col("t")).select(
+        F.col("s").alias("source"), F.col("t").alias("target"), F.array("s").alias("path"), F.lit(0).alias("length"))]
+    left = pairs.where(F.col("s") != F.col("t"))
+    ends = {"s": [left.select(F.col("s").alias("root"), F.col("s").alias("node")).distinct()],
+            "t": [left.select(F.col("t").alias("root"), F.col("t").alias("node")).distinct()]}
+    for hops in range(1, max_hops + 1):
+        side = "s" if len(ends["s"]) <= len(ends["t"]) else "t"
+        layers = ends[side]
+        roots = left.select(F.col(side).alias("root")).distinct()  # roots that still have someone to meet
+        new = layers[-1].join(roots, "root", "left_semi").join(e, F.col("node") == F.col("src")).select("root", F.col("dst").alias("node")).distinct()
+        for old in layers[-2:]:
+            new = new.join(old, ["root", "node"], "left_anti")
+        new = _cut(new, 1, 1)
+        layers.append(new)
+        near = ends["s"][-1].select(F.col("root").alias("s"), "node")
+        far = ends["t"][-1].select(F.col("root").alias("t"), "node")
+        between = left.join(near, "s").join(far, ["t", "node"]).select("s", "t", "node")
+        if between.limit(1).count():
+            between = _cut(between, 1, 1)
+            found.append(_rebuilt(e, between, ends["s"], ends["t"]))
+            left = left.join(between, ["s", "t"], "left_anti")
+            if not left.limit(1).count():
+                break
+        elif not new.limit(1).count():
             break
-        # keep expanding only sources that still have a target to reach
-        frontier = nxt.join(open_pairs.select("s").distinct(), "s", "left_semi")
-        visited = _cut(visited.unionByName(nxt.select("s", "node")), depth, checkpoint_every)
-    return found
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def _rebuilt(e: DataFrame, between: DataFrame, near: list[DataFrame], far: list[DataFrame]) -> DataFrame:
+    """Paths of the pairs whose sides met: ``between`` (s, t, node) holds the vertices of both newest layers."""
+    a, length = len(near) - 1, len(near) + len(far) - 2
+    on_path = {a: between}  # by distance from the source
+    for step in [*range(a - 1, 0, -1), *range(a + 1, length)]:
+        beside = on_path[step + 1] if step < a else on_path[step - 1]
+        reached = beside.join(e, F.col("node") == F.col("src")).select("s", "t", F.col("dst").alias("node")).distinct()
+        layer, root = (near[step], "s") if step < a else (far[length - step], "t")
+        on_path[step] = _cut(reached.join(layer.withColumnRenamed("root", root), [root, "node"], "left_semi").select("s", "t", "node"), 1, 1)
+    walk = between.select("s", "t", F.col("s").alias("p0")).distinct()
+    for step in range(1, length):
+        nxt = on_path[step].withColumnRenamed("node", "dst")
+        best = walk.join(e, F.col(f"p{step - 1}") == F.col("src")).join(nxt, ["s", "t", "dst"]).groupBy("s", "t").agg(F.min("dst").alias(f"p{step}"))
+        walk = walk.join(best, ["s", "t"])
+    path = F.array(*[F.col(f"p{i}") for i in range(length)], F.col("t"))
+    return _cut(walk.select(F.col("s").alias("source"), F.col("t").alias("target"), path.alias("path"), F.lit(length).alias("length")), 1, 1)
 
 
 def hop_path(edges: DataFrame, source: str, target: str, max_hops: int = 6) -> DataFrame:
@@ -233,36 +257,68 @@ def hop_path(edges: DataFrame, source: str, target: str, max_hops: int = 6) -> D
 
 
 def weighted_path(edges: DataFrame, source, target, src: str = "u1", dst: str = "u2",
-                  cost: str = "distance", checkpoint_every: int = 1) -> DataFrame:
-    """Cheapest path in an undirected graph with non-negative edge costs.
-
-    Relaxation rounds (distributed Bellman-Ford): every vertex improved in the
-    last round offers ``cost + edge`` to its neighbours, each vertex keeps its
-    best (cost, hops, path); offers dearer than the best cost already known at
-    the target are pruned. Runs until no vertex improves, however long the path
-    is. Returns (sourceNode,
-    targetNode, totalCost, nodeIds, hops, costs)."""
-    spark = edges.sparkSession
-    e = undirected(edges, src, dst, cost).persist(StorageLevel.MEMORY_AND_DISK)
-    key_t = e.schema["src"].dataType.simpleString()
-    best = spark.createDataFrame([(source, 0.0, [source], [0.0], True)],
-                                 f"v {key_t}, d double, path array<{key_t}>, costs array<double>, moved boolean")
-    rnd = 0
+                  cost: str = "distance", width: float | None = None) -> DataFrame:
+    """Cheapest path in an undirected graph with non-negative edge costs; of equally cheap ones that of fewest edges, then
+    the smallest vertex before each vertex, from the target on.
+
+    Vertices are held as (vertex, cost, hops, vertex before). Costs fall into buckets of ``width`` (the mean edge cost by
+    default). A round joins the edges with the vertices of the cheapest open bucket that improved in the last round. When none
+    is left the bucket is settled: later offers cannot improve it, and later rounds only use it to turn
+    offers away. It ends when the target's bucket is settled, however long the path is. The path is read off
+    afterwards by pointer doubling over the vertices before. Returns (sourceNode, targetNode, totalCost,
+    nodeIds, hops, costs), or no row.
+    """
+    e = _cut(undirected(edges, src, dst, cost), 1, 1)
+    kind = e.schema["src"].dataType.simpleString()
+    if source is None or target is None:
+        return _path_rows(edges.sparkSession.createDataFrame([], f"v {kind}, d double, at int"), source, target, kind)
+    if width is None:
+        width = e.agg(F.avg("w")).collect()[0][0] or 1.0
+    width = width if width > 0 else 1.0
+    first = edges.sparkSession.createDataFrame([(source, 0.0, 0, None, True)], f"v {kind}, d double, h int, before {kind}, fresh boolean")
+    unsettled, settled = first, first.limit(0).drop("fresh")
+    end, rnd = width, 0
     while True:
         rnd += 1
-        at_t = best.where(F.col("v") == F.lit(target)).agg(F.min("d")).collect()[0][0]
-        offers = best.where("moved").join(e, F.col("v") == e.src).select(
-            F.col("dst").alias("v"), (F.col("d") + F.col("w")).alias("d"),
-            F.concat("path", F.array("dst")).alias("path"),
-            F.concat("costs", F.array(F.col("d") + F.col("w"))).alias("costs"))
-        if at_t is not None:
-            offers = offers.where(F.col("d") < F.lit(at_t))
-        # a kept row sorts before an equal offer, so only real improvements are marked as moved
-        allc = best.select("v", "d", "path", "costs", F.lit(False).alias("moved")).unionByName(offers.withColumn("moved", F.lit(True)))
-        pick = F.min(F.struct("d", F.size("path").alias("h"), "path", "costs", "moved"))
-        best = _cut(allc.groupBy("v").agg(pick.alias("b")).select("v", "b.d", "b.path", "b.costs", "b.moved"), rnd, checkpoint_every)
-        if not best.where("moved").limit(1).count():
+        active = unsettled.where(F.col("fresh") & (F.col("d") < end))
+        offers = active.join(e, F.col("v") == F.col("src")).select(
+            F.col("dst").alias("v"), (F.col("d") + F.col("w")).alias("d"), (F.col("h") + 1).alias("h"), F.col("src").alias("before"), F.lit(True).alias("fresh"))
+        offers = offers.join(settled.select("v"), "v", "left_anti")
+        kept = unsettled.withColumn("fresh", F.col("fresh") & (F.col("d") >= end))
+        # false sorts before true: an equal offer changes nothing
+        best = kept.unionByName(offers).groupBy("v").agg(F.min(F.struct("d", "h", "before", "fresh")).alias("b")).select("v", "b.*")
+        unsettled = _cut(best, 1, 1)
+        seen = unsettled.agg(F.count_if(F.col("fresh") & (F.col("d") < end)).alias("again"), F.min(F.when(F.col("d") >= end, F.col("d"))).alias("next"),
+                             F.min(F.when(F.col("v") == F.lit(target), F.col("d"))).alias("there")).collect()[0]
+        if seen["again"]:
+            continue
+        if seen["next"] is None or (seen["there"] is not None and seen["there"] < end):
             break
-    return best.where(F.col("v") == F.lit(target)).select(
-        F.lit(source).alias("sourceNode"), F.col("v").alias("targetNode"), F.col("d").alias("totalCost"),
-        F.col("path").alias("nodeIds"), (F.size("path") - 1).alias("hops"), "costs")
+        settled = _cut(settled.unionByName(unsettled.where(F.col("d") < end).drop("fresh")), 1, 1)
+        unsettled = _cut(unsettled.where(F.col("d") >= end), 1, 1)
+        end = (seen["next"] // width + 1) * width
+        end = end if end > seen["next"] else seen["next"] + width
+    known = settled.unionByName(unsettled.drop("fresh"))
+    return _path_rows(_walk_back(known, target, kind), source, target, kind)
+
+
+def _walk_back(known: DataFrame, target, kind: str) -> DataFrame:
+    """(v, d, at) of the vertices from the source to ``target``, ``at`` counted from the source."""
+    last = known.where(F.col("v") == F.lit(target)).select("v", F.col("h").alias("at"))
+    hops = last.agg(F.max("at")).collect()[0][0]
+    path, jump, k = last, known.where(F.col("before").isNotNull()).select("v", F.col("before").alias("to")), 0
+    while hops is not None and 2 ** k <= hops:
+        path = _cut(path.unionByName(path.join(jump, "v").select(F.col("to").alias("v"), (F.col("at") - 2 ** k).cast("int").alias("at"))), 1, 1)
+        k += 1
+        if 2 ** k <= hops:
+            further = jump.select(F.col("v").alias("to"), F.col("to").alias("beyond"))
+            jump = _cut(jump.join(further, "to").select("v", F.col("beyond").alias("to")), 1, 1)
+    return path.join(known.select("v", "d"), "v").select("v", "d", "at")
+
+
+def _path_rows(path: DataFrame, source, target, kind: str) -> DataFrame:
+    steps = F.sort_array(F.collect_list(F.struct("at", "v", "d")))
+    one = path.agg(steps.alias("s")).where(F.size("s") > 0)
+    return one.select(F.lit(source).cast(kind).alias("sourceNode"), F.lit(target).cast(kind).alias("targetNode"),
+                      F.element_at("s", -1)["d"].alias("totalCost"), F.transform("s", lambda x: x["v"]).alias("nodeIds"),
+                      (F.size("s") - 1).alias("hops"), F.transform("s", lambda x: x["d"]).alias("costs"))

@@ -139,12 +139,9 @@ def q_path_report(spark, sf_dir):
     return per_pair.withColumn("meanLength", F.round(mean, 6))
 
 
-def q_weighted_path(spark, sf_dir):
-    g = graph(spark, sf_dir)
-    e = DV.similar_edges(g, 4, ACTIVE_MIN, ACTIVE_K)
-    s, t = DV.strongest_pair(e).select("u1", "u2").collect()[0]
-    p = A.weighted_path(e, s, t, "u1", "u2", "distance")
-    return p.select(F.col("sourceNode").alias("sourceUser"), F.col("targetNode").alias("targetUser"),
+def _path_columns(p):
+    """The whole path as text; running costs in billionths."""
+    return p.select(F.col("sourceNode").cast("long").alias("sourceUser"), F.col("targetNode").cast("long").alias("targetUser"),
                     F.round("totalCost", 9).alias("totalCost"),
                     F.array_join(F.transform("nodeIds", lambda x: x.cast("string")), ",").alias("userPath"),
                     "hops",
@@ -152,16 +149,22 @@ def q_weighted_path(spark, sf_dir):
                     .alias("costs_nano"))
 
 
+def q_weighted_path(spark, sf_dir):
+    """Cheapest path between the ends of the strongest similarity edge."""
+    g = graph(spark, sf_dir)
+    e = DV.similar_edges(g, 4, ACTIVE_MIN, ACTIVE_K)
+    s, t = DV.strongest_pair(e).select("u1", "u2").collect()[0]
+    return _path_columns(A.weighted_path(e, s, t, "u1", "u2", "distance"))
+
+
 def q_weighted_path_far(spark, sf_dir):
     """Cheapest path between two users without an edge of their own: the two largest ids outside the active users."""
     g = graph(spark, sf_dir)
-    e = DV.similar_edges(g, 4, ACTIVE_MIN, ACTIVE_K).persist()
+    e = DV.similar_edges(g, 4, ACTIVE_MIN, ACTIVE_K)
     act = DV.active_users(g, ACTIVE_MIN, ACTIVE_K).select(F.col("user_id").alias("u2"))
     ends = [r[0] for r in e.select("u2").join(act, "u2", "left_anti").distinct().orderBy(F.desc("u2")).limit(2).collect()]
     s, t = ends if len(ends) == 2 else (None, None)  # no such pair: no path
-    p = A.weighted_path(e.where(F.lit(s is not None)), s, t, "u1", "u2", "distance")
-    return p.select(F.col("sourceNode").cast("long").alias("sourceUser"), F.col("targetNode").cast("long").alias("targetUser"),
-                    F.round("totalCost", 9).alias("totalCost"), (F.col("hops") > 1).alias("multi_hop"))
+    return _path_columns(A.weighted_path(e, s, t, "u1", "u2", "distance"))
 
 
 QUERIES = {
@@ -222,18 +225,26 @@ def _pagerank_sql(n_iter: int = PR_ITER) -> str:
     ] + steps) + f",\npr AS (SELECT id, r AS score FROM pr{n_iter})"
 
 
-def _relax_sql(rounds: int = 12) -> str:
-    """Rounds of relaxation from ``wp_ends.s`` over both directions of the similarity edges; ``wp<i>(v, d)``."""
-    parts = [
-        "wp_e AS (SELECT u1 AS a, u2 AS b, distance AS w FROM sim_edges UNION ALL SELECT u2, u1, distance FROM sim_edges)",
-        "wp_far AS (SELECT DISTINCT u2 AS v FROM sim_edges WHERE u2 NOT IN (SELECT user_id FROM active) ORDER BY v DESC LIMIT 2)",
-        "wp_ends AS (SELECT max(v) AS s, min(v) AS t FROM wp_far HAVING count(*) = 2)",
-        "wp0 AS (SELECT s AS v, CAST(0 AS DOUBLE) AS d FROM wp_ends)",
-    ]
-    for i in range(1, rounds + 1):
-        parts.append(f"wp{i} AS MATERIALIZED (SELECT v, min(d) AS d FROM (SELECT * FROM wp{i - 1} UNION ALL "
-                     f"SELECT e.b, x.d + e.w FROM wp{i - 1} x JOIN wp_e e ON e.a = x.v) GROUP BY v)")
-    return ",\n".join(parts)
+def _cheapest_sql(ends: str) -> str:
+    """The cheapest path between ``ends`` (s, t), relaxed until nothing improves: one kept row a vertex, then the walk back."""
+    return f"""
+WITH RECURSIVE wp_e AS (
+  SELECT u1 AS a, u2 AS b, distance AS w FROM sim_edges UNION ALL SELECT u2, u1, distance FROM sim_edges
+), wp_ends AS ({ends}), wp(v, c) USING KEY (v) AS (
+  SELECT s, {{'d': CAST(0 AS DOUBLE), 'h': 0, 'p': CAST(-1 AS BIGINT)}} FROM wp_ends
+  UNION
+  SELECT n.b, n.c
+  FROM (SELECT e.b, min({{'d': x.c.d + e.w, 'h': x.c.h + 1, 'p': CAST(x.v AS BIGINT)}}) AS c FROM wp x JOIN wp_e e ON e.a = x.v GROUP BY e.b) n
+  LEFT JOIN recurring.wp r ON r.v = n.b WHERE r.v IS NULL OR n.c < r.c
+), back AS (
+  SELECT wp.v, wp.c FROM wp JOIN wp_ends ON wp.v = t
+  UNION ALL
+  SELECT wp.v, wp.c FROM back JOIN wp ON wp.v = back.c.p
+)
+SELECT CAST(s AS BIGINT) AS sourceUser, CAST(t AS BIGINT) AS targetUser, round(max(back.c.d), 9) AS totalCost,
+       string_agg(CAST(back.v AS VARCHAR), ',' ORDER BY back.c.h) AS userPath, max(back.c.h) AS hops,
+       string_agg(CAST(CAST(round(back.c.d * 1e9) AS BIGINT) AS VARCHAR), ',' ORDER BY back.c.h) AS costs_nano
+FROM back, wp_ends GROUP BY s, t"""
 
 
 def _bfs_sql(pairs_sql: str, max_hops: int = 6) -> str:
@@ -306,14 +317,9 @@ WITH {_bfs_sql(f"SELECT DISTINCT * FROM (SELECT 'u:{PAIRS[0][0]}' AS s, 'u:' ||
 SELECT CAST(substr(s, 3) AS BIGINT) AS u1, CAST(substr(t, 3) AS BIGINT) AS u2, CAST(length AS INTEGER) AS pathLength,
        round(avg(length) OVER (), 6) AS meanLength
 FROM bfs_hits""", "rated", "active"),
-    "weighted_path": with_views("""
-SELECT u1 AS sourceUser, u2 AS targetUser, round(distance, 9) AS totalCost,
-       CAST(u1 AS VARCHAR) || ',' || CAST(u2 AS VARCHAR) AS userPath, 1 AS hops,
-       '0,' || CAST(CAST(round(distance * 1e9) AS BIGINT) AS VARCHAR) AS costs_nano
-FROM sim_edges ORDER BY weight DESC, u1, u2 LIMIT 1""", "sim_edges"),
-    "weighted_path_far": with_views(f"""
-WITH {_relax_sql()}
-SELECT n.s AS sourceUser, n.t AS targetUser, round(x.d, 9) AS totalCost,
-       NOT EXISTS (SELECT 1 FROM wp1 WHERE wp1.v = n.t AND wp1.d = x.d) AS multi_hop
-FROM wp_ends n JOIN wp12 x ON x.v = n.t""", "sim_edges", "active"),
+    "weighted_path": with_views(_cheapest_sql("SELECT u1 AS s, u2 AS t FROM sim_edges ORDER BY weight DESC, u1, u2 LIMIT 1"), "sim_edges"),
+    "weighted_path_far": with_views(_cheapest_sql("""
+  SELECT max(v) AS s, min(v) AS t
+  FROM (SELECT DISTINCT u2 AS v FROM sim_edges WHERE u2 NOT IN (SELECT user_id FROM active) ORDER BY v DESC LIMIT 2) HAVING count(*) = 2"""),
+                                     "sim_edges", "active"),
 }

@@ -128,6 +128,8 @@ def with_views(body: str, *names: str, extra: list[tuple[str, str]] | None = Non
     body = body.strip()
     if not ctes:
         return body
+    if body[:15].upper() == "WITH RECURSIVE ":
+        return "WITH RECURSIVE " + ",\n".join(ctes) + ",\n" + body[15:]
     if body[:5].upper() == "WITH ":  # the body's own CTEs follow the views
         return "WITH " + ",\n".join(ctes) + ",\n" + body[5:]
     return "WITH " + ",\n".join(ctes) + "\n" + body
