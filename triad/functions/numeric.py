@@ -32,8 +32,8 @@ def lenient_int(col, type_name: str = "int") -> Column:
 
 
 def to_integer(col, type_name: str = "int") -> Column:
-    """Cypher ``toInteger``: bad text gives null."""
-    return _c(col).try_cast(type_name)
+    """Graph-query ``toInteger``: a fraction is cut off ('12.7' gives 12), bad text gives null."""
+    return F.coalesce(_c(col).try_cast(type_name), _c(col).try_cast("double").try_cast(type_name))
 
 
 def lenient_bool(col, null_as: bool = True) -> Column:

@@ -13,9 +13,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from triad.functions.numeric import round_half_up
+from triad.functions.numeric import round_half_up, to_integer
 from triad.functions.text import strip_ws
 from triad.operators.sinks import last_write_wins
+from triad.sources.files import rows_with_keys
 
 
 @dataclass
@@ -29,12 +30,23 @@ class PropertyGraph:
 
 # ------------------------------------------------------------- load
 
+def _in_order(rows: DataFrame, order: list[str] | None) -> tuple[DataFrame, list[str]]:
+    """``rows`` with order columns: the given ones, else those of the source (``_order``), else numbers in read order."""
+    if order:
+        return rows, order
+    if "_order" in rows.columns:
+        return rows, ["_order"]
+    return rows.withColumn("_order", F.monotonically_increasing_id()), ["_order"]
+
+
 def merge_nodes(rows: DataFrame, key: str, set_cols: list[str], order: list[str] | None = None) -> DataFrame:
-    """One vertex per non-null key; the last row (by ``order``, else in the order the source is read) sets the properties."""
-    if not order:
-        rows, order = rows.withColumn("_read", F.monotonically_increasing_id()), ["_read"]
-    rows = rows.where(F.col(key).isNotNull())
-    return last_write_wins(rows, [key], order, set_cols)
+    """One vertex per non-null key; the last row sets the properties.
+
+    Last is by ``order``, else by the source's ``_order`` column (``sources.files.in_file_order``), else in the
+    order the rows are read, which is the source's only if nothing shuffled them before.
+    """
+    rows, order = _in_order(rows, order)
+    return last_write_wins(rows_with_keys(rows, key), [key], order, set_cols)
 
 
 def genre_names(movie_rows: DataFrame, sep: str = "|") -> DataFrame:
@@ -47,9 +59,9 @@ def genre_names(movie_rows: DataFrame, sep: str = "|") -> DataFrame:
 
 def merge_edges(rows: DataFrame, src_key: str, src_nodes: DataFrame, dst_key: str,
                 dst_nodes: DataFrame, set_cols: list[str], order: list[str] | None = None) -> DataFrame:
-    """One edge per (src, dst) whose both end vertices exist; last row sets the properties."""
-    rows = rows.where(F.col(src_key).isNotNull() & F.col(dst_key).isNotNull())
-    deduped = last_write_wins(rows, [src_key, dst_key], order or [], set_cols)
+    """One edge per (src, dst) whose both end vertices exist; the last row sets the properties, as in ``merge_nodes``."""
+    rows, order = _in_order(rows, order)
+    deduped = last_write_wins(rows_with_keys(rows, src_key, dst_key), [src_key, dst_key], order, set_cols)
     # Dedupe first (partial aggregation shrinks the data before the joins);
     # the existence checks are semi-joins, broadcast by AQE when measured small.
     deduped = deduped.join(src_nodes.select(src_key), src_key, "left_semi")
@@ -69,6 +81,28 @@ def build_graph(user_rows: DataFrame, movie_rows: DataFrame, rating_rows: DataFr
                          has_genre)
 
 
+def load_graph(users: DataFrame, movies: DataFrame, ratings: DataFrame) -> PropertyGraph:
+    """Graph from rows of text fields, as ``sources.files.read_csv_rows`` gives them: users (userId, gender, age, occupation),
+    movies (movieId, title, genres), ratings (userId, movieId, rating, timestamp).
+
+    Rows without a key field are skipped; a key that is no whole number is no key. Other bad numbers become null.
+    Repeated keys, also over several files, keep the last row's properties. Ratings of unknown users or movies
+    make no edge. A movie without genres is a vertex without genre edges.
+    """
+    keep = lambda df: ["_order"] if "_order" in df.columns else []
+    user_rows = rows_with_keys(users, "userId").select(
+        to_integer("userId", "long").alias("user_id"), "gender", to_integer("age").alias("age"), to_integer("occupation").alias("occupation"), *keep(users))
+    movie_rows = rows_with_keys(movies, "movieId").select(to_integer("movieId", "long").alias("movie_id"), "title", "genres", *keep(movies))
+    rating_rows = rows_with_keys(ratings, "userId", "movieId").select(
+        to_integer("userId", "long").alias("user_id"), to_integer("movieId", "long").alias("movie_id"),
+        to_integer("rating").alias("rating"), to_integer("timestamp", "long").alias("timestamp"), *keep(ratings))
+    g = build_graph(user_rows, movie_rows, rating_rows)
+    # genres are vertices whether or not their movie has a key
+    named = genre_names(movies.where(F.col("genres").isNotNull()).select(F.lit(0).alias("movie_id"), "genres"))
+    g.genres = named.select(F.col("genre").alias("name")).distinct()
+    return g
+
+
 # ------------------------------------------------------------- checks
 
 def graph_counts(g: PropertyGraph) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from triad.operators import graph as G
 from triad.plans.views_sql import _view, with_views
@@ -25,7 +26,27 @@ def graph(spark: SparkSession, sf_dir: str) -> G.PropertyGraph:
                          V.ratings_raw(spark, sf_dir), V.RATING_ORDER)
 
 
+def q_load_text_rows(spark: SparkSession, sf_dir: str):
+    """The load from rows of text: counts and sums over what it made."""
+    g = G.load_graph(*V.text_rows(spark, sf_dir))
+    parts = [("users", g.users, F.sum(F.coalesce("age", F.lit(0)) + F.coalesce(F.col("occupation"), F.lit(-1)))),
+             ("movies", g.movies, F.sum(F.length("title"))), ("genres", g.genres, F.sum(F.length("name"))),
+             ("ratings", g.rated, F.sum(F.col("rating") + F.col("timestamp") % 1000)), ("has_genre", g.has_genre, F.sum("movie_id"))]
+    out = None
+    for name, df, total in parts:
+        one = df.agg(F.count(F.lit(1)).alias("n"), total.cast("long").alias("total")).select(F.lit(name).alias("item"), "n", "total")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def q_merge_nodes_repeat(spark: SparkSession, sf_dir: str):
+    """Repeated keys: a customer's last order, by date and key, sets the properties."""
+    return G.merge_nodes(V.user_history(spark, sf_dir), "user_id", ["last_order", "price"], ["o_orderdate", "o_orderkey"])
+
+
 QUERIES = {
+    "load_text_rows": q_load_text_rows,
+    "merge_nodes_repeat": q_merge_nodes_repeat,
     "graph_counts": lambda s, d: G.graph_counts(graph(s, d)),
     "edge_types": lambda s, d: G.edge_types(graph(s, d)),
     "key_violations": lambda s, d: G.key_violations(V.ratings_raw(s, d), ["user_id", "movie_id"]),
@@ -63,6 +84,25 @@ def _r2(x: str) -> str:
 
 
 ORACLE = {
+    "load_text_rows": with_views("""
+WITH t_users AS (
+  SELECT CAST(user_id AS BIGINT) AS user_id, age, CASE WHEN user_id % 7 = 0 THEN -1 ELSE occupation END AS occupation
+  FROM users WHERE user_id % 97 <> 0 AND user_id % 89 <> 0
+), t_movies AS (
+  SELECT movie_id, title FROM movies WHERE movie_id % 83 <> 0
+), t_genres AS (
+  SELECT movie_id, genre FROM genres_of WHERE movie_id % 11 <> 0
+), t_rated AS (
+  SELECT rating + "timestamp" % 1000 AS x FROM ratings WHERE user_id IN (SELECT user_id FROM t_users) AND movie_id IN (SELECT movie_id FROM t_movies)
+)
+SELECT 'users' AS item, count(*) AS n, CAST(sum(age + occupation) AS BIGINT) AS total FROM t_users UNION ALL
+SELECT 'movies', count(*), CAST(sum(length(title)) AS BIGINT) FROM t_movies UNION ALL
+SELECT 'genres', count(*), CAST(sum(length(genre)) AS BIGINT) FROM (SELECT DISTINCT genre FROM t_genres) UNION ALL
+SELECT 'ratings', count(*), CAST(sum(x) AS BIGINT) FROM t_rated UNION ALL
+SELECT 'has_genre', count(*), CAST(sum(movie_id) AS BIGINT) FROM t_genres JOIN t_movies USING (movie_id)""", "users", "movies", "genres_of", "ratings"),
+    "merge_nodes_repeat": """
+SELECT o_custkey AS user_id, o_orderkey AS last_order, CAST(floor(o_totalprice) AS BIGINT) AS price FROM orders
+QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1""",
     "graph_counts": with_views("""
 SELECT 'users' AS item, count(*) AS n FROM g_users UNION ALL
 SELECT 'movies', count(*) FROM g_movies UNION ALL

@@ -106,8 +106,10 @@ def q_method_top1(spark, sf_dir):
 
 
 def _vector_records(spark, sf_dir):
-    """Vector records: id 'paper_<id>', values, metadata with length caps."""
-    c = VE.check_vectors(V.search_corpus(spark, sf_dir), "values", DIM)
+    """Vector records of all papers: id 'paper_<id>', values (null where a paper has no vector), metadata with length caps."""
+    c = V.whole_corpus(spark, sf_dir)
+    have = VE.check_vectors(c.where(F.col("values").isNotNull()), "values", DIM)
+    c = have.unionByName(c.where(F.col("values").isNull()))
     return c.select(
         F.concat(F.lit("paper_"), F.col("id").cast("string")).alias("id"),
         F.col("values"),
@@ -128,7 +130,9 @@ def q_upsert_vectors(spark, sf_dir):
     up = K.upsert_by_key(base, updates, ["id"], ["values", "metadata"])
     # the id parsed back from the record key
     up = up.withColumn("paper_id", F.regexp_extract("id", r"^paper_(\d+)$", 1).cast("long"))
-    return flatten(up.select("id", "paper_id", F.size("values").alias("dim"), "metadata"))
+    # papers without a vector are reported, not dropped
+    return flatten(up.select("id", "paper_id", F.col("values").isNotNull().alias("has_vector"),
+                             F.when(F.col("values").isNotNull(), F.size("values")).alias("dim"), "metadata"))
 
 
 def q_vector_stats(spark, sf_dir):
@@ -402,11 +406,11 @@ SELECT s.query_id,
 FROM (SELECT DISTINCT query_id FROM search_queries) s""", "papers", "corpus", "q_terms", "search_queries"),
 
     "upsert_vectors": _q(f"""
-SELECT 'paper_' || CAST(c.id AS VARCHAR) AS id, c.id AS paper_id, len(c."values") AS dim,
+SELECT 'paper_' || CAST(c.id AS VARCHAR) AS id, c.id AS paper_id, v."values" IS NOT NULL AS has_vector, len(v."values") AS dim,
        CAST(c.id AS VARCHAR) AS arxiv_id, substr(c.title, 1, 300) AS title, substr(c.abstract, 1, 500) AS abstract,
        substr(c.authors, 1, 200) AS authors, CAST(c."year" AS INTEGER) AS "year",
        CASE WHEN c.id IN (SELECT doc_id FROM labels WHERE quality = 1) THEN 'reviewed' ELSE c.category END AS category
-FROM corpus c""", "corpus"),
+FROM papers c LEFT JOIN vectors v ON v.id = c.id""", "papers", "vectors"),
 
     "vector_stats": """
 SELECT 'label_' || CAST(label AS VARCHAR) AS namespace, count(*) AS vector_count, max(len(embedding)) AS dimension

@@ -66,3 +66,20 @@ def rows_with_keys(df: DataFrame, *keys: str) -> DataFrame:
         c = F.col(k).isNotNull()
         cond = c if cond is None else cond & c
     return df.where(cond) if cond is not None else df
+
+
+def in_file_order(df: DataFrame, column: str = "_order") -> DataFrame:
+    """Rows as read from files, with their place in the source: (path, block start, number inside the block).
+
+    Must be called on the read itself: a scan task reads blocks of files one after the other, so its running row number
+    rises inside each block, and path and block start order the blocks, whichever tasks read them. The
+    column is a struct to be carried along and compared by ``max`` or ``orderBy``. Files are ordered by path.
+    """
+    meta = F.col("_metadata")
+    return df.select("*", F.struct(meta["file_path"].alias("path"), meta["file_block_start"].alias("block"),
+                                   F.monotonically_increasing_id().alias("row")).alias(column))
+
+
+def read_csv_rows(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+    """Headered CSV rows as text in file order (``_order``); an empty field is null, as in a row source with headers."""
+    return in_file_order(read_csv_text(spark, path, columns))

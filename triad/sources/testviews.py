@@ -117,6 +117,30 @@ def ratings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 RATING_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber"]
 
 
+def text_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Users, movies and ratings as rows of text with their place in the source, as a file load sees them: some keys are missing
+    or no numbers, some numbers have fractions or are words, some movies name no genre."""
+    u, m, r = users(spark, sf_dir), movies(spark, sf_dir), ratings_raw(spark, sf_dir)
+    text = lambda c: F.col(c).cast("string")
+    user_rows = u.select(
+        F.when(F.col("user_id") % 97 == 0, None).when(F.col("user_id") % 89 == 0, F.concat(F.lit("u"), text("user_id"))).otherwise(text("user_id")).alias("userId"),
+        "gender", F.concat(text("age"), F.when(F.col("user_id") % 5 == 0, ".7").otherwise("")).alias("age"),
+        F.when(F.col("user_id") % 7 == 0, "none").otherwise(text("occupation")).alias("occupation"), F.col("user_id").alias("_order"))
+    movie_rows = m.select(F.when(F.col("movie_id") % 83 == 0, None).otherwise(text("movie_id")).alias("movieId"), "title",
+                          F.when(F.col("movie_id") % 11 != 0, F.col("genres")).alias("genres"), F.col("movie_id").alias("_order"))
+    rating_rows = r.select(text("user_id").alias("userId"), text("movie_id").alias("movieId"),
+                           F.when(F.col("l_orderkey") % 13 == 0, F.concat(text("rating"), F.lit(".5"))).otherwise(text("rating")).alias("rating"),
+                           text("timestamp").alias("timestamp"), F.struct(*RATING_ORDER).alias("_order"))
+    return user_rows, movie_rows, rating_rows
+
+
+def user_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per order as an update of its customer: repeated keys, in date order."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    return o.select(F.col("o_custkey").alias("user_id"), F.col("o_orderkey").alias("last_order"), F.floor("o_totalprice").cast("long").alias("price"),
+                    "o_orderdate", "o_orderkey")
+
+
 # ---------------------------------------------------------------- papers
 
 def papers_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

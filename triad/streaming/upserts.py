@@ -13,7 +13,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triad.operators.sinks import last_write_wins, upsert_by_key
+from triad.operators.sinks import upsert_by_key
 
 
 def read_latest(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
@@ -35,10 +35,7 @@ def apply_batch(batch: DataFrame, epoch_id: int, path: str, keys: list[str], pay
     spark = batch.sparkSession
     base = read_latest(spark, path, before=epoch_id)  # a retried batch never reads its own folder
     stored = payload + [c for c in (order or []) if c not in payload]
-    if base is None:
-        merged = last_write_wins(batch, keys, order or [], stored)
-    else:
-        merged = upsert_by_key(base, batch, keys, stored, order)
+    merged = upsert_by_key(batch.limit(0) if base is None else base, batch, keys, stored, order)
     merged.write.mode("overwrite").parquet(f"{path}/version={epoch_id:012d}")
 
 
