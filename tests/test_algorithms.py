@@ -213,3 +213,19 @@ def test_hop_paths_of_every_length_are_the_smallest(spark):
         want = {(s, t): smallest(s, t, most) for s, t in pairs}
         assert got == {k: (p, len(p) - 1) for k, p in want.items() if p}
     assert max(n for _, n in got.values()) == 3
+
+
+def test_louvain_finds_planted_communities(spark):
+    rng = random.Random(12)
+    group = {i: i % 4 for i in range(64)}
+    edges = [(a, b, 1.0 + rng.random()) for a in range(64) for b in range(a + 1, 64) if rng.random() < (0.55 if group[a] == group[b] else 0.06)]
+    e = spark.createDataFrame([Row(src=a, dst=b, weight=w) for a, b, w in edges])
+    v = spark.createDataFrame([Row(id=i) for i in range(70)])
+    labels = A.louvain(e, v)
+    planted = spark.createDataFrame([Row(id=i, community=group.get(i, i)) for i in range(70)])
+    assert A.modularity(e, labels) >= 0.99 * A.modularity(e, planted)
+    got = {r.id: r.community for r in labels.collect()}
+    assert len(got) == 70 and all(got[i] == i for i in range(64, 70)) and all(got[c] == c for c in got.values())
+    genres = A.community_top_genres(labels, spark.createDataFrame([Row(user_id=i, movie_id=group[i], rating=5) for i in range(64)]),
+                                    spark.createDataFrame([Row(movie_id=m, genre=f"g{m}") for m in range(4)])).collect()
+    assert len(genres) >= 4

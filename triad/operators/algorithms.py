@@ -92,85 +92,81 @@ def modularity(edges: DataFrame, labels: DataFrame, src: str = "src", dst: str =
 
 
 def louvain(edges: DataFrame, vertices: DataFrame, src: str = "src", dst: str = "dst",
-            weight: str | None = "weight", vertex_id: str = "id",
-            min_gain: float = 1e-12, checkpoint_every: int = 1) -> DataFrame:
+            weight: str | None = "weight", vertex_id: str = "id", min_gain: float = 1e-12) -> DataFrame:
     """Louvain communities (id, community) of an undirected weighted graph.
 
-    Per level: rounds of local moves (every vertex picks the neighbouring
-    community with the best modularity gain and moves if the gain is
-    positive and the community's label is smaller than its own; all vertices
-    move at once), until no vertex moves; then communities are contracted
-    into vertices (edge weights summed, self-loops kept) and the next level
-    starts. Labels only fall and levels only shrink, so both loops run until
-    nothing moves. Vertices without edges stay alone. Final labels are the smallest member id.
+    Per level: rounds of local moves, then communities are contracted into vertices (edge weights summed, self-loops
+    kept) and the next level starts. In a round half of the vertices, by a hash that changes with every pair of
+    rounds, may move to the neighbouring community of the best modularity gain (equal gains: the smaller label); the other half may in
+    the next one, so two vertices that would only swap places seldom move at once. A level ends when nobody of either half moves, or
+    when two pairs of rounds in a row did not raise the modularity, whose best labelling is kept. Each level that moves
+    anything raises the modularity, so levels end too. Vertices without edges stay alone. Final
+    labels are the smallest member id. One job a round: moves and modularity are observed while the round is written.
     """
     e0 = undirected(edges, src, dst, weight).where(F.col("src") != F.col("dst"))
-    two_m = e0.agg(F.sum("w")).collect()[0][0] or 0.0
-    members = vertices.select(F.col(vertex_id).alias("id")).distinct() \
-        .select("id", F.col("id").alias("node")).persist(StorageLevel.MEMORY_AND_DISK)
+    g = _cut(e0.groupBy(F.col("src").alias("a"), F.col("dst").alias("b")).agg(F.sum("w").alias("w")), 1, 1)
+    two_m = g.agg(F.sum("w")).collect()[0][0] or 0.0
+    members = _cut(vertices.select(F.col(vertex_id).alias("id")).distinct().select("id", F.col("id").alias("node")), 1, 1)
     if two_m == 0:
         return members.select("id", F.col("id").alias("community"))
-    m = two_m / 2.0
-    # level graph: node-to-node weights, including self-loops after contraction
-    g = e0.select(F.col("src").alias("a"), F.col("dst").alias("b"), "w")
-    rnd_total = 0
-    for _level in itertools.count():
-        g = g.groupBy("a", "b").agg(F.sum("w").alias("w")).persist(StorageLevel.MEMORY_AND_DISK)
+    for level in itertools.count():
         k = g.groupBy("a").agg(F.sum("w").alias("k"))
-        nodes = members.select(F.col("node").alias("a")).distinct().join(k, "a", "left") \
-            .select("a", F.coalesce("k", F.lit(0.0)).alias("k"))
-        comm = nodes.select("a", F.col("a").alias("c"), "k").persist(StorageLevel.MEMORY_AND_DISK)
-        moved_any = False
+        # vertices without edges have nothing to gain; they are left out of the rounds
+        comm = _cut(k.select("a", F.col("a").alias("c"), "k"), 1, 1)
+        best, best_q, first_q, dull = comm, None, None, 0
         for r in itertools.count():
-            rnd_total += 1
-            # kin(a, C): weight from a to community C; a "stay" row makes
-            # sure a's own community is a candidate even without neighbours in it
-            nb = g.where(F.col("a") != F.col("b")).join(
-                comm.select(F.col("a").alias("b"), F.col("c").alias("cb")), "b").select("a", "cb", "w")
-            stay = comm.select("a", F.col("c").alias("cb"), F.lit(0.0).alias("w"))
-            kin = nb.unionByName(stay).groupBy("a", "cb").agg(F.sum("w").alias("kin"))
-            tot = comm.groupBy("c").agg(F.sum("k").alias("tot"))
-            cand = kin.join(comm.select("a", F.col("c").alias("cur"), "k"), "a") \
-                .join(tot.withColumnRenamed("c", "cb"), "cb")
-            # modularity gain of joining C, up to a common factor 1/m and a
-            # term shared by all C: kin_C - k_a * tot_C(without a) / 2m
-            score = F.col("kin") - F.col("k") * (
-                F.col("tot") - F.when(F.col("cb") == F.col("cur"), F.col("k")).otherwise(F.lit(0.0))) / F.lit(two_m)
-            best = cand.withColumn("score", score).groupBy("a").agg(
-                F.max(F.struct(F.col("score"), (-F.col("cb")).alias("neg_cb"))).alias("best"),
-                F.max(F.when(F.col("cb") == F.col("cur"), F.col("score"))).alias("stay"),
-                F.first("cur").alias("cur_c"))
-            # a vertex only moves to a community with a smaller label: labels
-            # fall monotonically, so simultaneous moves cannot swap back and
-            # forth and every level ends
-            moves = best.where(((F.col("best.score") - F.col("stay")) / F.lit(m) > F.lit(min_gain))
-                               & (-F.col("best.neg_cb") < F.col("cur_c"))) \
-                .select("a", (-F.col("best.neg_cb")).alias("new_c"))
-            new = comm.join(moves, "a", "left").select(
-                "a", F.coalesce("new_c", "c").alias("c"), "k", F.col("new_c").isNotNull().alias("moved"))
-            new = _cut(new, rnd_total, checkpoint_every)
-            n_moves = new.where("moved").count()
+            new, seen = _louvain_round(g, comm, two_m, min_gain, r)
+            q = (seen["inside"] or 0.0) - (seen["squares"] or 0.0) / two_m  # of ``comm``, up to what a level holds constant
+            if best_q is None:
+                best_q = first_q = q
+                moved_before = True
+            elif r % 2 == 0:  # after both halves
+                if q > best_q + 1e-9 * two_m:
+                    best, best_q, dull = comm, q, 0
+                else:
+                    dull += 1
             if _DEBUG:
-                print("louvain level", _level, "round", r, "moves", n_moves, flush=True)
-            comm.unpersist()
-            comm = new.select("a", "c", "k")
-            moved_any = moved_any or n_moves > 0
-            if n_moves == 0:
+                print("louvain level", level, "round", r, "moves", seen["moves"], "q", q / two_m, flush=True)
+            if dull == 2 or not (seen["moves"] or moved_before):
+                if q > best_q:
+                    best, best_q = comm, q
                 break
-        # relabel members to their node's community
-        members = members.join(comm.select(F.col("a").alias("node"), "c"), "node") \
-            .select("id", F.col("c").alias("node"))
-        members = _cut(members, rnd_total, 1)
-        if not moved_any:
+            moved_before = seen["moves"] > 0
+            comm = new
+        if best_q <= first_q + 1e-9 * two_m:
             break
-        lab = comm.select("a", "c")
-        g = g.join(lab, "a").select(F.col("c").alias("a"), "b", "w") \
-            .join(lab.withColumnRenamed("a", "b").withColumnRenamed("c", "cb"), "b") \
-            .select("a", F.col("cb").alias("b"), "w")
+        # relabel members to their node's community, contract the communities
+        lab = best.select("a", "c")
+        members = _cut(members.join(lab.withColumnRenamed("a", "node"), "node", "left").select("id", F.coalesce("c", "node").alias("node")), 1, 1)
+        g = _cut(g.join(lab, "a").select(F.col("c").alias("a"), "b", "w").join(lab.select(F.col("a").alias("b"), F.col("c").alias("cb")), "b")
+                 .groupBy("a", F.col("cb").alias("b")).agg(F.sum("w").alias("w")), 1, 1)
     smallest = members.groupBy("node").agg(F.min("id").alias("community"))
     return members.join(smallest, "node").select("id", "community")
 
 
+def _louvain_round(g: DataFrame, comm: DataFrame, two_m: float, min_gain: float, r: int):
+    """The labelling after one round, and what was seen of the one before it: moves, weight inside, squared totals."""
+    # kin(a, C): weight from a to community C; a "stay" row makes a's own community a candidate even without neighbours in it
+    nb = g.where(F.col("a") != F.col("b")).join(comm.select(F.col("a").alias("b"), F.col("c").alias("cb")), "b").select("a", "cb", "w")
+    stay = comm.select("a", F.col("c").alias("cb"), F.lit(0.0).alias("w"))
+    kin = nb.unionByName(stay).groupBy("a", "cb").agg(F.sum("w").alias("kin"))
+    tot = comm.groupBy(F.col("c").alias("cb")).agg(F.sum("k").alias("tot"))
+    cand = kin.join(comm.select("a", F.col("c").alias("cur"), "k"), "a").join(tot, "cb")
+    # modularity gain of joining C, up to a common factor 1/m and a term shared by all C:
+    # kin_C - k_a * tot_C(without a) / 2m
+    own = F.col("cb") == F.col("cur")
+    score = F.col("kin") - F.col("k") * (F.col("tot") - F.when(own, F.col("k")).otherwise(F.lit(0.0))) / F.lit(two_m)
+    best = cand.withColumn("score", score).groupBy("a", "cur", "k").agg(
+        F.max(F.struct(F.col("score"), (-F.col("cb")).alias("neg"))).alias("best"), F.max(F.when(own, F.col("score"))).alias("stay"),
+        F.max(F.when(own, F.col("kin"))).alias("inside"), F.max(F.when(own, F.col("tot"))).alias("tot"))
+    half = F.pmod(F.xxhash64("a", F.lit(r // 2)) + F.lit(r), F.lit(2)) == 0
+    moves = half & ((F.col("best.score") - F.col("stay")) * F.lit(2.0 / two_m) > F.lit(min_gain))
+    seen = Observation()
+    new = best.observe(seen, F.count_if(moves).alias("moves"), F.sum("inside").alias("inside"), F.sum(F.col("k") * F.col("tot")).alias("squares"))
+    new = _cut(new.select("a", F.when(moves, -F.col("best.neg")).otherwise(F.col("cur")).alias("c"), "k"), 1, 1)
+    return new, seen.get
+
+
 def community_sizes(labels: DataFrame, k: int = 10) -> DataFrame:
     return labels.groupBy("community").agg(F.count(F.lit(1)).alias("clusterSize")) \
         .orderBy(F.desc("clusterSize"), "community").limit(k)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from triad.operators.text import bm25
 from triad.operators.vectors import knn
+from triad.session import checkpoint_dir
 
 
 def rrf(ranked: DataFrame, k: int = 60, top: int = 5, legs: tuple[str, ...] = ("bm25", "vector")) -> DataFrame:
@@ -66,7 +67,8 @@ def hybrid_search(corpus: DataFrame, queries: DataFrame, k: int = 10, top: int =
 def method_top1(corpus: DataFrame, queries: DataFrame, k: int = 10, top: int = 5, rrf_k: int = 60,
                 exclude_self: bool = True) -> DataFrame:
     """Best hit per query and method: (query_id, bm25, vector, hybrid) doc ids."""
-    legs = ranked_legs(corpus, queries, k, exclude_self)
+    checkpoint_dir(corpus.sparkSession)
+    legs = ranked_legs(corpus, queries, k, exclude_self).checkpoint()  # 2k rows a query, read twice below
     fused = rrf(legs, rrf_k, top)
     firsts = legs.where(F.col("rank") == 1).select("query_id", "source", "doc_id").unionByName(
         fused.where(F.col("rank") == 1).select("query_id", F.lit("hybrid").alias("source"), "doc_id"))

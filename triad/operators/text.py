@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from triad.functions.text import (replace_escaped_newline, split_sentences, split_ws, strip_ws,
                                   word_count)
+from triad.session import scratch_path
 
 # JSON Lines schema of a raw paper record.
 PAPER_SCHEMA = T.StructType([
@@ -149,24 +150,30 @@ def fixed_chunk_array(words, size: int = 200, overlap: int = 30):
     return F.when(w == 0, F.array().cast("array<string>")).otherwise(chunks)
 
 
-def sentence_chunk_array(text, max_words: int = 200):
-    """Greedy packing of whole sentences into chunks of at most ``max_words``
-    words; a sentence longer than the limit stands alone."""
-    sents = split_sentences(F.coalesce(text, F.lit("")))
-    state_t = "array<struct<t:string,n:int>>"
+def sentence_chunk_array(sentences, max_words: int = 200):
+    """Greedy packing of whole sentences into chunks of at most ``max_words`` words; a sentence longer than the limit
+    stands alone.
 
-    def step(acc, s):
-        n = F.size(F.split(s, " "))
-        last = F.get(acc, F.size(acc) - 1)  # null (not an error) when empty
-        start_new = (F.size(acc) == 0) | (last["n"] + n > max_words)
-        appended = F.concat(acc, F.array(F.struct(s.alias("t"), n.alias("n"))))
-        merged = F.concat(F.slice(acc, 1, F.size(acc) - 1),
-                          F.array(F.struct(F.concat_ws(" ", last["t"], s).alias("t"),
-                                           (last["n"] + n).alias("n"))))
-        return F.when(start_new, appended).otherwise(merged)
+    ``sentences`` must be a column of an earlier projection (see ``sentence_chunks``): it is read inside the lambdas.
+    The fold keeps the open chunk's word count and the places where chunks begin; only those grow, once a chunk. Each
+    chunk is then one slice, so a text of n sentences costs n steps and not n copies of what was packed before.
+    """
+    sents = F.col(sentences) if isinstance(sentences, str) else sentences
+    sizes = F.transform(sents, lambda s, i: F.struct(i.alias("i"), F.size(F.split(s, " ")).alias("n")))
+    start = F.struct(F.lit(0).alias("n"), F.array().cast("array<int>").alias("cuts"))
+
+    def step(acc, x):
+        new = (F.size(acc["cuts"]) == 0) | (acc["n"] + x["n"] > max_words)
+        return F.when(new, F.struct(x["n"].alias("n"), F.array_append(acc["cuts"], x["i"]).alias("cuts"))).otherwise(
+            F.struct((acc["n"] + x["n"]).alias("n"), acc["cuts"].alias("cuts")))
 
-    packed = F.aggregate(sents, F.array().cast(state_t), step)
-    return F.transform(packed, lambda x: strip_ws(x["t"]))
+    def chunk(ends):
+        return F.transform(F.arrays_zip(F.slice(ends, 1, F.size(ends) - 1).alias("a"), F.slice(ends, 2, F.size(ends) - 1).alias("b")),
+                           lambda x: strip_ws(F.array_join(F.slice(sents, x["a"] + 1, x["b"] - x["a"]), " ")))
+
+    # the fold's result is bound by a one-element transform, so that it runs once
+    packed = F.transform(F.array(F.aggregate(sizes, start, step, lambda acc: F.array_append(acc["cuts"], F.size(sents)))), chunk)
+    return F.when(F.size(sents) == 0, F.array().cast("array<string>")).otherwise(F.get(packed, 0))
 
 
 def explode_chunks(df: DataFrame, chunks_col, keep: list[str]) -> DataFrame:
@@ -184,8 +191,12 @@ def fixed_chunks(papers: DataFrame, text_col: str = "abstract", size: int = 200,
     return explode_chunks(w, fixed_chunk_array("_words", size, overlap), keep)
 
 
+def _with_sentences(df: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
+    return df.select(*keep, split_sentences(F.coalesce(F.col(text_col), F.lit(""))).alias("_sentences"))
+
+
 def sentence_chunks(papers: DataFrame, text_col: str = "abstract", max_words: int = 200) -> DataFrame:
-    return explode_chunks(papers, sentence_chunk_array(F.col(text_col), max_words), ["id"])
+    return explode_chunks(_with_sentences(papers, text_col, ["id"]), sentence_chunk_array("_sentences", max_words), ["id"])
 
 
 def chunk_records(papers: DataFrame, strategy: str = "fixed", size: int = 200, overlap: int = 30,
@@ -198,7 +209,8 @@ def chunk_records(papers: DataFrame, strategy: str = "fixed", size: int = 200, o
         src = _with_words(src, "abstract", keep)
         arr = fixed_chunk_array("_words", size, overlap)
     else:
-        arr = sentence_chunk_array(F.col("abstract"), max_words)
+        src = _with_sentences(src, "abstract", keep)
+        arr = sentence_chunk_array("_sentences", max_words)
     ch = src.select(*keep, F.posexplode(arr).alias("chunk_id", "chunk"))
     return ch.select(
         F.concat_ws("_", F.lit(strategy), F.col("id").cast("string"), F.col("chunk_id").cast("string")).alias("id"),
@@ -214,10 +226,41 @@ def chunk_records(papers: DataFrame, strategy: str = "fixed", size: int = 200, o
 
 # ------------------------------------------------------------- BM25 (V7)
 
+def postings(docs: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:
+    """Term postings (term, doc_id, tf, dl) of lower-cased whitespace words, and one row with a null term for each document
+    (its ``dl`` is the document's length), so that corpus statistics come from the same table.
+
+    The raw texts are exchanged once, by id; each document's words are then counted where it lies, without a further
+    exchange. Postings are several times larger than the text, so this is the cheaper side to move. Ids are unique.
+    """
+    toks = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text")).repartition(F.col("doc_id")) \
+        .select("doc_id", split_ws(F.lower("_text")).alias("_toks"))
+    marked = toks.select("doc_id", F.size("_toks").alias("dl"), F.explode(F.concat("_toks", F.array(F.lit(None).cast("string")))).alias("term"))
+    return marked.groupBy("doc_id", "term", "dl").agg(F.count(F.lit(1)).alias("tf")).select("term", "doc_id", "tf", "dl")
+
+
+def write_postings(docs: DataFrame, path: str, id_col: str = "id", text_col: str = "text") -> DataFrame:
+    """An index for many searches: postings ordered by term and written, so that a search reads only the row groups of its
+    terms. Returns the table as read back."""
+    postings(docs, id_col, text_col).repartitionByRange("term").sortWithinPartitions("term", "doc_id").write.mode("errorifexists").parquet(path)
+    return docs.sparkSession.read.parquet(path)
+
+
 def bm25(docs: DataFrame, queries: DataFrame, k: int = 10, k1: float = 1.5, b: float = 0.75,
          epsilon: float = 0.25, id_col: str = "id", text_col: str = "text",
          query_id: str = "query_id", query_text: str = "query_text") -> DataFrame:
-    """Okapi BM25 top ``k`` per query: (query_id, doc_id, rank, score).
+    """Okapi BM25 top ``k`` per query: (query_id, doc_id, rank, score). See ``bm25_search``.
+
+    The texts are read and tokenised once: their postings are written to the shared folder and all steps read those.
+    """
+    path, index = scratch_path(docs.sparkSession, "postings"), postings(docs, id_col, text_col)
+    index.write.parquet(path)
+    return bm25_search(docs.sparkSession.read.schema(index.schema).parquet(path), queries, k, k1, b, epsilon, query_id, query_text)
+
+
+def bm25_search(index: DataFrame, queries: DataFrame, k: int = 10, k1: float = 1.5, b: float = 0.75, epsilon: float = 0.25,
+                query_id: str = "query_id", query_text: str = "query_text") -> DataFrame:
+    """Okapi BM25 top ``k`` per query from ``postings``: (query_id, doc_id, rank, score).
 
     Tokens are lowercased whitespace words. ``idf = ln(N-df+0.5) - ln(df+0.5)``;
     a negative idf becomes ``epsilon`` times the mean idf of the vocabulary.
@@ -225,26 +268,16 @@ def bm25(docs: DataFrame, queries: DataFrame, k: int = 10, k1: float = 1.5, b: f
     id asc) over the whole corpus, so a query matching fewer than ``k``
     documents is filled with zero-score documents in id order.
 
-    Work: N, the mean length and the mean idf are scalar subqueries (run
-    once, no join); document frequencies are one aggregate over distinct
-    (doc, term) pairs with map-side combining; term frequencies are counted
-    only for query terms (semi-join with the small query vocabulary); the
-    zero-score candidates are the k smallest ids; the top k per query is a
-    window with a group limit, so only k rows per query and partition cross
-    the final shuffle.
+    Work: document frequencies are one aggregate over (term) with map-side combining; N and the mean length one over the
+    documents' own rows; postings are read for query terms only (semi-join with the small query vocabulary, whose
+    bounds reach a scan ordered by term); the zero-score candidates are the k smallest ids; the top k per query is
+    a window with a group limit, so only k rows per query and partition cross the final shuffle.
     """
-    toks = docs.select(F.col(id_col).alias("doc_id"), split_ws(F.lower(F.col(text_col))).alias("toks"))
-    # One aggregate gives df per term and, in an extra group keyed by a null
-    # term (one marker row per document), N and the total length.
-    marked = toks.select(F.explode(F.concat(F.array_distinct("toks"), F.array(F.lit(None).cast("string"))))
-                         .alias("term"), F.size("toks").alias("dl"))
-    df_all = marked.groupBy("term").agg(
-        F.count(F.lit(1)).alias("df"),
-        F.sum(F.when(F.col("term").isNull(), F.col("dl")).otherwise(F.lit(0))).alias("total"))
-    stats = df_all.where(F.col("term").isNull()).select(F.struct("df", "total")).scalar()
-    n_docs = stats.getField("df")
+    own = index.where(F.col("term").isNull())
+    stats = own.agg(F.struct(F.count(F.lit(1)).alias("n"), F.sum("dl").alias("total"))).scalar()
+    n_docs = stats.getField("n")
     avgdl = stats.getField("total") / n_docs
-    df_t = df_all.where(F.col("term").isNotNull()).select("term", "df")
+    df_t = index.where(F.col("term").isNotNull()).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf_raw = F.log(n_docs - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)
     mean_idf = df_t.agg(F.avg(idf_raw)).scalar()
 
@@ -252,19 +285,15 @@ def bm25(docs: DataFrame, queries: DataFrame, k: int = 10, k1: float = 1.5, b: f
                              F.explode(split_ws(F.lower(F.col(query_text)))).alias("term")) \
         .groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qn"))
     vocab = q_terms.select("term").distinct()
-    q_idf = df_t.join(vocab, "term", "left_semi").select(
+    asked = index.where(F.col("term").isNotNull()).join(vocab, "term", "left_semi")
+    q_idf = asked.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select(
         "term", F.when(idf_raw < 0, F.lit(epsilon) * mean_idf).otherwise(idf_raw).alias("idf"))
-
-    tf = toks.select("doc_id", F.size("toks").alias("dl"), F.explode("toks").alias("term")) \
-        .join(vocab, "term", "left_semi") \
-        .groupBy("doc_id", "term", "dl").agg(F.count(F.lit(1)).alias("tf"))
-    per_term = tf.join(q_idf, "term").select(
+    per_term = asked.join(q_idf, "term").select(
         "doc_id", "term",
         (F.col("idf") * F.col("tf") * F.lit(k1 + 1)
          / (F.col("tf") + F.lit(k1) * (F.lit(1 - b) + F.lit(b) * F.col("dl") / avgdl))).alias("s"))
     matched = per_term.join(q_terms, "term").select("query_id", "doc_id", (F.col("s") * F.col("qn")).alias("s"))
-    first_ids = docs.select(F.col(id_col).alias("doc_id")).orderBy("doc_id").limit(k) \
-        .agg(F.collect_list("doc_id")).scalar()
+    first_ids = own.select("doc_id").orderBy("doc_id").limit(k).agg(F.collect_list("doc_id")).scalar()
     zeros = queries.select(F.col(query_id).alias("query_id"), F.explode(first_ids).alias("doc_id"),
                            F.lit(0.0).alias("s"))
     # scores are ranked at 1e-9: sums that are equal in exact arithmetic tie

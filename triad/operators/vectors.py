@@ -6,7 +6,7 @@
   partition of the corpus scores its rows tile by tile with numpy matrix
   products and keeps a running top-k per query, and a window with a
   group limit merges the local lists. No pair table is ever materialised.
-* ``ann_knn``: approximate top-k with random-projection LSH (bucket equi-join).
+* ``ann_knn``: approximate top-k by sign projections (an equi-join per band of bits, exact scores).
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from triad.functions.vectors import cosine
+
 METRICS = ("cosine", "dot", "l2")
 
 
@@ -166,22 +168,56 @@ def knn(corpus: DataFrame, queries: DataFrame, k: int = 5, metric: str = "cosine
     return local.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def ann_knn(corpus: DataFrame, queries: DataFrame, k: int = 5, bucket_length: float = 0.5,
-            num_tables: int = 4, threshold: float = 1.5, id_col: str = "id", vec_col: str = "values",
-            query_id: str = "query_id", query_vec: str = "query_vec", seed: int = 7) -> DataFrame:
-    """Approximate cosine top-k with random-projection LSH on unit vectors
-    (L2 order equals cosine order there): candidates share a hash bucket."""
-    from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.functions import array_to_vector
+def sign_matrix(dim: int, count: int, seed: int = 0) -> np.ndarray:
+    """(dim, count) of +1 and -1: a projection's entry is the first bit of md5('seed:projection:dimension')."""
+    import hashlib
+
+    return np.array([[1.0 if hashlib.md5(f"{seed}:{j}:{i}".encode()).digest()[0] >= 128 else -1.0 for j in range(count)] for i in range(dim)])
+
+
+def sign_codes(df: DataFrame, id_col: str, vec_col: str, dim: int, bits: int, bands: int, seed: int = 0) -> DataFrame:
+    """(id, band, code): the signs of ``bits`` projections of a vector, for each of ``bands`` bands. Vectors of another
+    width, null or zero ones have none."""
+    signs = sign_matrix(dim, bits * bands, seed)
+    kind = df.schema[id_col].dataType
+
+    def codes(frames):
+        for pdf in frames:
+            pdf = pdf[[v is not None and len(v) == dim for v in pdf["v"]]]
+            if len(pdf):
+                v = np.stack([np.asarray(x, np.float64) for x in pdf["v"]])
+                some = np.abs(v).sum(axis=1) > 0
+                positive = (v[some] @ signs > 0).reshape(-1, bands, bits)
+                got = (positive * (1 << np.arange(bits))).sum(axis=2).astype(np.int32)
+                yield pd.DataFrame({"id": pdf["id"][some], "codes": list(got)})
 
-    from triad.functions.vectors import normalize
+    schema = T.StructType([T.StructField("id", kind), T.StructField("codes", T.ArrayType(T.IntegerType()))])
+    return df.select(F.col(id_col).alias("id"), F.col(vec_col).alias("v")).mapInPandas(codes, schema) \
+        .select("id", F.posexplode("codes").alias("band", "code"))
 
-    a = corpus.select(F.col(id_col).alias("id"), array_to_vector(normalize(vec_col)).alias("v"))
-    b = queries.select(F.col(query_id).alias("query_id"), array_to_vector(normalize(query_vec)).alias("v"))
-    model = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", bucketLength=bucket_length,
-                                        numHashTables=num_tables, seed=seed).fit(a)
-    pairs = model.approxSimilarityJoin(a, b, threshold, distCol="dist").select(
-        F.col("datasetA.id").alias("id"), F.col("datasetB.query_id").alias("query_id"), "dist")
-    scored = pairs.select("query_id", "id", (F.lit(1.0) - F.col("dist") * F.col("dist") / 2).alias("score"))
+
+def ann_candidates(corpus: DataFrame, queries: DataFrame, dim: int, bits: int = 9, bands: int = 64, id_col: str = "id",
+                   vec_col: str = "values", query_id: str = "query_id", query_vec: str = "query_vec", exclude_self: bool = True,
+                   seed: int = 0) -> DataFrame:
+    """Distinct (query_id, id) that agree on all bits of some band."""
+    a = sign_codes(corpus, id_col, vec_col, dim, bits, bands, seed)
+    b = sign_codes(queries, query_id, query_vec, dim, bits, bands, seed).withColumnRenamed("id", "query_id")
+    pairs = a.join(b, ["band", "code"]).select("query_id", "id")
+    return (pairs.where(F.col("query_id") != F.col("id")) if exclude_self else pairs).distinct()
+
+
+def ann_knn(corpus: DataFrame, queries: DataFrame, dim: int, k: int = 5, bits: int = 9, bands: int = 64, id_col: str = "id",
+            vec_col: str = "values", query_id: str = "query_id", query_vec: str = "query_vec", exclude_self: bool = True,
+            seed: int = 0) -> DataFrame:
+    """Approximate cosine top-k: (query_id, id, rank, score), ties by id.
+
+    Signatures are the signs of random projections. All bits of a band must agree and one band is enough, so candidates
+    come from an equi-join per band; only codes travel in it. Candidates are scored exactly on the vectors, a query's own
+    row left out. A pair at angle t agrees on a bit with probability 1 - t/pi: the defaults leave about 12 % of unrelated rows
+    as candidates, find 0.9 of neighbours at a cosine of 0.57 and nearly all at 0.7; more bands find farther ones.
+    """
+    pairs = ann_candidates(corpus, queries, dim, bits, bands, id_col, vec_col, query_id, query_vec, exclude_self, seed)
+    v, q = corpus.select(F.col(id_col).alias("id"), F.col(vec_col).alias("v")), queries.select(F.col(query_id).alias("query_id"), F.col(query_vec).alias("q"))
+    scored = pairs.join(v, "id").join(q, "query_id").select("query_id", "id", F.round(cosine("v", "q"), 9).alias("score"))
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("id"))
-    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "id", "rank", "score")

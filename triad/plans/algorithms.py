@@ -81,6 +81,26 @@ def q_communities(spark, sf_dir):
     return A.louvain(e, users, "u1", "u2", "weight", "user_id")
 
 
+def q_louvain_sizes(spark, sf_dir):
+    return A.community_sizes(q_communities(spark, sf_dir))
+
+
+def q_louvain_top_genres(spark, sf_dir):
+    g = graph(spark, sf_dir)
+    e, users = _users_graph(g)
+    return A.community_top_genres(A.louvain(e, users, "u1", "u2", "weight", "user_id"), g.rated, g.has_genre)
+
+
+def q_louvain_quality(spark, sf_dir):
+    """Communities with more than one member, and the modularity of the labelling."""
+    g = graph(spark, sf_dir)
+    e, users = _users_graph(g)
+    labels = A._cut(A.louvain(e, users, "u1", "u2", "weight", "user_id"), 1, 1)
+    q = A.modularity(e, labels, "u1", "u2", "weight")
+    large = labels.groupBy("community").count().where("count > 1")
+    return large.agg(F.count(F.lit(1)).alias("communities"), F.sum("count").alias("members")).withColumn("modularity", F.round(F.lit(q), 6))
+
+
 def _segments(g):
     """A given labelling for the SQL-checked community queries: the user's segment."""
     return g.users.select(F.col("user_id").alias("id"), F.col("gender").alias("community"))
@@ -177,6 +197,9 @@ QUERIES = {
     "pagerank": q_pagerank,
     "vertices_with_scores": q_vertices_with_scores,
     "communities": q_communities,
+    "louvain_sizes": q_louvain_sizes,
+    "louvain_top_genres": q_louvain_top_genres,
+    "louvain_quality": q_louvain_quality,
     "community_sizes": q_community_sizes,
     "community_top_genres": q_community_top_genres,
     "hop_path": q_hop_path,

@@ -17,6 +17,7 @@ FILTER_YEAR_MIN = 2021
 FILTER_CATEGORY = "en"
 FILTER_YEAR_MAX = 2015     # filter B: up to a year, any category
 DIM = 64
+ANN_BITS, ANN_BANDS = 9, 64
 
 
 # ------------------------------------------------------------- Spark plans
@@ -172,7 +173,7 @@ def q_chunk_search(spark, sf_dir):
 
 
 def q_ann_knn(spark, sf_dir):
-    return round_doubles(VE.ann_knn(V.vectors(spark, sf_dir), V.search_queries(spark, sf_dir), k=5))
+    return round_doubles(VE.ann_knn(V.vectors(spark, sf_dir), V.search_queries(spark, sf_dir), DIM, k=5, bits=ANN_BITS, bands=ANN_BANDS))
 
 
 QUERIES = {
@@ -405,6 +406,21 @@ SELECT s.query_id,
        (SELECT doc_id FROM top h WHERE h.query_id = s.query_id AND h.rank = 1) AS hybrid
 FROM (SELECT DISTINCT query_id FROM search_queries) s""", "papers", "corpus", "q_terms", "search_queries"),
 
+    "ann_knn": _q(f"""
+WITH signs AS (
+  SELECT CAST(j AS INTEGER) AS j, CAST(i AS INTEGER) AS i, CASE WHEN substr(md5('0:' || j || ':' || i), 1, 1) >= '8' THEN 1.0 ELSE -1.0 END AS s
+  FROM (SELECT unnest(range({ANN_BITS * ANN_BANDS})) AS j), (SELECT unnest(range({DIM})) AS i)
+), spread AS (
+  SELECT id, unnest(CAST("values" AS DOUBLE[])) AS x, unnest(range({DIM})) AS i FROM vectors
+), codes AS (
+  SELECT id, j // {ANN_BITS} AS band, sum(CASE WHEN p > 0 THEN 1 << (j % {ANN_BITS}) ELSE 0 END) AS code
+  FROM (SELECT id, j, sum(x * s) AS p FROM spread JOIN signs USING (i) GROUP BY id, j) GROUP BY ALL
+), pairs AS (
+  SELECT DISTINCT q.query_id, c.id FROM search_queries q JOIN codes o ON o.id = q.query_id JOIN codes c ON c.band = o.band AND c.code = o.code AND c.id <> o.id
+), {_knn_sql('SELECT id, "values" FROM vectors', 1000000000).strip()}
+SELECT query_id, id, round(score, 6) AS score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS INTEGER) AS rank
+FROM knn_s JOIN pairs USING (query_id, id) QUALIFY rank <= 5""", "vectors", "search_queries"),
+
     "upsert_vectors": _q(f"""
 SELECT 'paper_' || CAST(c.id AS VARCHAR) AS id, c.id AS paper_id, v."values" IS NOT NULL AS has_vector, len(v."values") AS dim,
        CAST(c.id AS VARCHAR) AS arxiv_id, substr(c.title, 1, 300) AS title, substr(c.abstract, 1, 500) AS abstract,

@@ -61,15 +61,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="triad-ckpt-"))
     return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for written intermediate tables, under the checkpoint folder."""
+    """A fresh path for a written intermediate table, under the checkpoint folder; deleted when the session's JVM ends."""
     import uuid
 
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/triad-{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/triad-{name}-{uuid.uuid4().hex[:12]}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return path
