@@ -4,6 +4,7 @@ import hashlib
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -237,3 +238,19 @@ def test_stars_keep_the_components():
                 root[i] = root[j] = min(root[i], root[j])
         x, y = stars(a, b)
         assert sorted(zip(x.tolist(), y.tolist())) == sorted((r, i) for i, r in root.items() if r != i)
+
+
+def test_messages_merge_in_levels(spark):
+    from triad.llm import exchange as X
+
+    def send(frames):
+        ids = [int(i) for pdf in frames for i in pdf["id"]]
+        yield pd.DataFrame({"block": [0, 1], "payload": [X.pack(np.array([sum(ids)])), X.pack(np.array([len(ids)]))]})
+
+    def add(pdf):
+        return pd.DataFrame({"block": pdf["block"].iloc[:1], "payload": [X.pack(sum(X.unpack(p)[0] for p in pdf["payload"]))]})
+
+    messages = spark.range(0, 5000, 1, 50).mapInPandas(send, "block int, payload binary")
+    for fan in (2, 7, 64):
+        got = {r.block: int(X.unpack(r.payload)[0][0]) for r in X.merged(messages, add, fan).collect()}
+        assert got == {0: 5000 * 4999 // 2, 1: 5000}

@@ -31,7 +31,8 @@ def shared_folder(spark: SparkSession) -> str:
         found = read()
         if found:
             return found.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     import tempfile  # one machine, as in tests: a folder of its own
 
@@ -40,21 +41,46 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write to the shared folder and read back."""
+    """Cut the lineage: write to the shared folder and read back. What nobody drops goes when the session's JVM ends."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex[:12]}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_written(df: DataFrame) -> None:
-    """Delete what ``written`` wrote, once nothing reads it any more."""
+    """Delete the tables that ``written`` wrote and ``df`` reads, once nothing reads them any more."""
     spark = df.sparkSession
-    root = shared_folder(spark)
-    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if "/llm-" in path and root.rsplit("/", 1)[-1] in path:
-            p = spark._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    for i in range(leaves.size()):  # a table's root path, however many files it has
+        if leaves.apply(i).getClass().getSimpleName() == "LogicalRelation":
+            roots = leaves.apply(i).relation().location().rootPaths()
+            for j in range(roots.size()):
+                if "/llm-" in roots.apply(j).toString():
+                    roots.apply(j).getFileSystem(spark._jsc.hadoopConfiguration()).delete(roots.apply(j), True)
+
+
+#: Messages of one block that a task merges.
+FAN = 64
+
+
+def merged(messages: DataFrame, add, fan: int = FAN) -> DataFrame:
+    """Merge the (block, payload) messages that every partition sends to the same few blocks, in levels: no task gets more than
+    about ``fan`` messages of a block, however many partitions sent one. ``add`` merges a frame of one block's messages to one."""
+    schema = "block int, payload binary"
+    senders = messages.rdd.getNumPartitions()
+    if senders > fan:
+        messages = messages.withColumn("deal", F.spark_partition_id())
+    while senders > fan:
+        senders = -(-senders // fan)
+
+        def level(key, pdf):
+            return add(pdf).assign(deal=key[1])
+
+        messages = messages.groupBy("block", (F.col("deal") % senders).alias("deal")).applyInPandas(level, f"{schema}, deal int")
+    return messages.groupBy("block").applyInPandas(add, schema)
 
 
 class Chunks:

@@ -149,7 +149,7 @@ def fit_views(table: DataFrame, rounds: int = ROUNDS) -> tuple[np.ndarray, np.nd
             def add(pdf):
                 return pd.DataFrame({"block": [0], "payload": [X.pack(*[sum(s) for s in zip(*(X.unpack(p) for p in pdf["payload"]))])]})
 
-            got = table.where("NOT calib").mapInPandas(gather, "block int, payload binary").groupBy("block").applyInPandas(add, "block int, payload binary").first()
+            got = X.merged(table.where("NOT calib").mapInPandas(gather, "block int, payload binary"), add).first()
             state.unpersist()
             if got is None:
                 return wt, wm

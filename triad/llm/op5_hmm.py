@@ -264,8 +264,8 @@ def train(table: DataFrame, s: dict, states: int = STATES, rounds: int = ROUNDS)
             summed = [sum(x) for x in zip(*(X.unpack(p) for p in pdf["payload"]))]
             return pd.DataFrame({"block": pdf["block"].iloc[:1], "payload": [X.pack(*summed)]})
 
-        got = {r["block"]: X.unpack(r["payload"]) for r in table.where("NOT held_out").select("classes").mapInPandas(expect, "block int, payload binary")
-               .groupBy("block").applyInPandas(add, "block int, payload binary").collect()}
+        sent = table.where("NOT held_out").select("classes").mapInPandas(expect, "block int, payload binary")
+        got = {r["block"]: X.unpack(r["payload"]) for r in X.merged(sent, add).collect()}
         now.unpersist()
         if not got:
             break

@@ -64,7 +64,7 @@ def rarity_ranks(docs: DataFrame) -> np.ndarray:
         total = sum(X.unpack(p)[0].astype(np.int64) for p in pdf["payload"])
         return pd.DataFrame({"block": pdf["block"].iloc[:1], "payload": [X.pack(total)]})
 
-    got = docs.select(F.col("text").cast("string").alias("text")).mapInPandas(count, STEP).groupBy("block").applyInPandas(add, STEP).collect()
+    got = X.merged(docs.select(F.col("text").cast("string").alias("text")).mapInPandas(count, STEP), add).collect()
     total = np.zeros(size, np.int64)
     for r in got:
         part = X.unpack(r["payload"])[0]

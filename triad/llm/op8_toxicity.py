@@ -118,7 +118,7 @@ def frequencies(table: DataFrame, terms: int, part: int = 1 << 16) -> tuple[int,
         return pd.DataFrame({"block": pdf["block"].iloc[:1], "payload": [X.pack(total)]})
 
     df = np.zeros(terms + 1, np.int64)
-    for r in table.select("terms").mapInPandas(count, STEP).groupBy("block").applyInPandas(add, STEP).collect():
+    for r in X.merged(table.select("terms").mapInPandas(count, STEP), add).collect():
         df[r["block"] * part:(r["block"] + 1) * part] = X.unpack(r["payload"])[0]
     return int(df[-1]), df[:-1]
 
@@ -187,9 +187,16 @@ class BlockMaxIndex:
         q = np.zeros((m, dense.shape[1]), np.float32)
         q[row[at >= 0], at[at >= 0]] = w[at >= 0]
         # rare terms: summed over their postings; each block's bound adds its largest weights of the common ones
-        size = np.where(at < 0, start[t + 1] - start[t], 0)
-        pick = np.repeat(start[t] - np.cumsum(size) + size, size) + np.arange(size.sum())
-        sums = np.bincount(np.repeat(row, size) * n + owner[pick], np.repeat(w, size) * weight[pick], minlength=m * n).astype(np.float32).reshape(m, n)
+        rare = (at < 0) & (start[t + 1] > start[t])
+        cuts = np.searchsorted(row[rare], np.arange(m + 1))
+        lows, highs, heavy = start[t[rare]], start[t[rare] + 1], w[rare]
+        sums = np.zeros((m, n), np.float32)
+        for i in range(m):
+            lo, hi = lows[cuts[i]:cuts[i + 1]], highs[cuts[i]:cuts[i + 1]]
+            if len(lo):  # a term's postings lie together: whole slices, no gather
+                lists = list(map(slice, lo.tolist(), hi.tolist()))
+                whose = np.concatenate([owner[x] for x in lists], dtype=np.int64)
+                sums[i] = np.bincount(whose, np.concatenate([weight[x] for x in lists]) * np.repeat(heavy[cuts[i]:cuts[i + 1]], hi - lo), minlength=n)
         for i, x in enumerate(without or ()):
             if x is not None:
                 sums[i, self.ids == x] = -4
@@ -211,7 +218,7 @@ class BlockMaxIndex:
                 todo = ~done & (bound > 0) & (bound >= least[:, None] - ROOM)
         out = []
         for i, (t, w) in enumerate(texts):
-            near = np.flatnonzero((sums[i] > 0) & (sums[i] >= least[i] - ROOM))
+            near = np.flatnonzero(sums[i] >= max(least[i] - ROOM, 1e-12))
             if len(near) > k:
                 s = sums[i, near]
                 near = near[s >= np.partition(s, len(s) - k)[len(s) - k] - ROOM]
