@@ -1,5 +1,7 @@
 """kNN, embedding, fusion and upserts against brute-force numpy on small fixtures."""
 
+import hashlib
+
 import numpy as np
 import pytest
 from pyspark.sql import Row
@@ -102,10 +104,40 @@ def test_check_vectors_rejects_wrong_width(spark):
 
 def test_embed_unit_norm(spark):
     df = spark.createDataFrame([Row(id=i, text=t) for i, t in enumerate(["a b c", "", "a a a", None])])
-    rows = VE.embed(df, "text", VE.HashingEncoder(16), batch_size=2).collect()
-    for r in rows:
-        n = float(np.linalg.norm(np.array(r.embedding)))
-        assert len(r.embedding) == 16 and (n == pytest.approx(1.0, abs=1e-5) or n == 0.0)
+    rows = {r.id: np.array(r.embedding) for r in VE.embed(df, "text", dim=16).collect()}
+    assert all(len(v) == 16 for v in rows.values())
+    assert [round(float(np.linalg.norm(rows[i])), 5) for i in range(4)] == [1.0, 0.0, 1.0, 0.0]
+
+    def plain(text):
+        out = np.zeros(16)
+        for w in text.lower().split():
+            m = hashlib.md5(w.encode()).hexdigest()
+            out[int(m[:4], 16) % 16] += 1 if m[4] >= "8" else -1
+        return out / (np.linalg.norm(out) or 1)
+
+    assert np.allclose(rows[0], plain("a b c"), atol=1e-6) and np.allclose(rows[2], plain("a a a"), atol=1e-6)
+
+
+class _Lengths:
+    """An encoder whose loads are counted by the files they leave."""
+
+    def __init__(self, folder):
+        import os
+        import uuid
+
+        open(os.path.join(folder, f"{os.getpid()}-{uuid.uuid4().hex}"), "w").close()
+
+    def encode(self, texts):
+        return np.array([[len(t), t.count(" ")] for t in texts], np.float32)
+
+
+def test_an_encoder_is_loaded_once_in_a_worker(spark, tmp_path):
+    folder = str(tmp_path)
+    df = spark.createDataFrame([Row(id=i, text=None if i == 5 else "a " * i) for i in range(200)]).repartition(2)
+    got = {r.id: list(r.embedding) for r in VE.embed(df, "text", lambda: _Lengths(folder), batch_size=8).collect()}
+    assert got == {i: [0.0, 0.0] if i == 5 else [2.0 * i, float(i)] for i in range(200)}
+    loads = [p.name.split("-")[0] for p in tmp_path.iterdir()]
+    assert 1 <= len(loads) <= 4  # a load for a task's stream at most, never one for a batch
 
 
 def test_sign_bands_find_near_neighbours(spark):

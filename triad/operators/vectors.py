@@ -1,7 +1,7 @@
 """Embedding and nearest-neighbour search over ``array<float>`` columns.
 
-* ``embed``: batch inference in an iterator pandas UDF (one encoder per Python
-  worker, Arrow batches in and out).
+* ``embed``: batch inference with one encoder per Python worker, or a hashed bag
+  of words in built-in expressions.
 * ``knn``: exact top-k. Queries are broadcast in blocks of bounded size, every
   partition of the corpus scores its rows tile by tile with numpy matrix
   products and keeps a running top-k per query, and a window with a
@@ -11,59 +11,42 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
+from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from triad.functions.vectors import cosine
+from triad.functions.text import split_ws
+from triad.functions.vectors import cosine, slot_sums, word_slot
 
 METRICS = ("cosine", "dot", "l2")
 
 
-class HashingEncoder:
-    """Offline encoder: signed hashed bag of lowercase words, unit length.
+def embed(df: DataFrame, text_col, encoder_factory=None, batch_size: int = 64,
+          out_col: str = "embedding", dim: int = 64) -> DataFrame:
+    """Add ``out_col`` = the text's vector as array<float>; a missing text counts as empty.
 
-    Stands in for a sentence-embedding model; any object with
-    ``encode(list[str]) -> ndarray[n, dim]`` can be passed instead.
+    ``encoder_factory()`` must return an object with ``encode(list[str]) -> ndarray[n, width]``. It is called once in each Python
+    worker, where the model is then kept, and gets batches of ``batch_size`` texts. Without a factory the vector is a
+    signed hashed bag of lower-cased words of unit length (``dim`` wide, zero for a text without words), stated in
+    built-in expressions: no model, no Python.
     """
-
-    def __init__(self, dim: int = 64, seed: int = 0):
-        self.dim = dim
-        self.seed = seed
-
-    def encode(self, texts: list[str]) -> np.ndarray:
-        import xxhash
-
-        out = np.zeros((len(texts), self.dim), dtype=np.float64)
-        for i, t in enumerate(texts):
-            for w in (t or "").lower().split():
-                h = xxhash.xxh64_intdigest(w, seed=self.seed)
-                out[i, h % self.dim] += 1.0 if (h >> 63) & 1 else -1.0
-        n = np.linalg.norm(out, axis=1, keepdims=True)
-        n[n == 0] = 1.0
-        return (out / n).astype(np.float32)
-
-
-def embed(df: DataFrame, text_col, encoder=None, batch_size: int = 64,
-          out_col: str = "embedding") -> DataFrame:
-    """Add ``out_col`` = encoder(text) as array<float>, in batches of ``batch_size``."""
-    enc = encoder or HashingEncoder()
-
-    @F.pandas_udf(T.ArrayType(T.FloatType()))
-    def _encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model = enc
-        for s in batches:
-            texts = s.fillna("").tolist()
-            parts = [model.encode(texts[i:i + batch_size]) for i in range(0, len(texts), batch_size)]
-            mat = np.concatenate(parts) if parts else np.zeros((0, 0), dtype=np.float32)
-            yield pd.Series(list(mat))
-
-    col = F.col(text_col) if isinstance(text_col, str) else text_col
-    return df.withColumn(out_col, _encode(col))
+    text = F.coalesce(F.col(text_col) if isinstance(text_col, str) else text_col, F.lit(""))
+    if encoder_factory is not None:
+        def load():
+            model = encoder_factory()
+            return lambda texts: np.asarray(model.encode([str(t) for t in texts]), np.float32)
+
+        return df.withColumn(out_col, predict_batch_udf(load, return_type=T.ArrayType(T.FloatType()), batch_size=batch_size)(text))
+    cols = [F.col(f"`{c}`") for c in df.columns if c != out_col]
+    # one projection a step: each is read more than once by the next
+    slots = df.select(*cols, F.transform(split_ws(F.lower(text)), lambda w: word_slot(w, dim)).alias("_slots"))
+    sums = slots.select(*cols, slot_sums("_slots", dim).alias("_sums"))
+    length = sums.select(*cols, "_sums", F.sqrt(F.aggregate("_sums", F.lit(0.0), lambda acc, x: acc + x * x)).alias("_length"))
+    value = lambda x: F.when(F.col("_length") == 0, F.lit(0.0)).otherwise(x / F.col("_length")).cast("float")
+    return length.select(*cols, F.transform("_sums", value).alias(out_col))
 
 
 def check_vectors(df: DataFrame, vec_col: str, dim: int) -> DataFrame:

@@ -154,19 +154,18 @@ def q_embed_docs(spark, sf_dir):
     from triad.functions.vectors import norm
 
     p = V.papers(spark, sf_dir)
-    e = VE.embed(p.select("id", X.embed_text().alias("text")), "text", VE.HashingEncoder(DIM))
-    return e.select("id", F.size("embedding").alias("dim"), F.round(norm("embedding"), 4).alias("norm"))
+    e = VE.embed(p.select("id", X.embed_text().alias("text")), "text", dim=DIM)
+    weighted = F.aggregate(F.transform("embedding", lambda x, i: x.cast("double") * (i + 1)), F.lit(0.0), lambda acc, x: acc + x)
+    return e.select("id", F.size("embedding").alias("dim"), F.round(norm("embedding"), 4).alias("norm"), F.round(weighted, 4).alias("weighted"))
 
 
 def q_chunk_search(spark, sf_dir):
-    enc = VE.HashingEncoder(DIM)
     p = V.papers(spark, sf_dir)
-    qs = VE.embed(V.search_queries(spark, sf_dir).select("query_id", "query_text"), "query_text", enc,
-                  out_col="query_vec")
+    qs = VE.embed(V.search_queries(spark, sf_dir).select("query_id", "query_text"), "query_text", out_col="query_vec", dim=DIM)
     out = None
     for strategy in ("fixed", "semantic"):
-        ch = X.chunk_records(p, strategy, top_n=None)
-        ch = VE.embed(ch, "text", enc, batch_size=32, out_col="values")
+        ch = X.chunk_records(p, strategy, top_n=None).select("id", "text")
+        ch = VE.embed(ch, "text", out_col="values", dim=DIM)
         hits = VE.knn(ch, qs, k=5).withColumn("strategy", F.lit(strategy))
         out = hits if out is None else out.unionByName(hits)
     return round_doubles(out)
@@ -321,6 +320,25 @@ top AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY
                doc_id, rrf_score, sources FROM fused QUALIFY rank <= 5)
 """
 
+_CHUNKS = f"""
+ch AS (
+  SELECT 'fixed' AS strategy, id AS pid, title, "year", category,
+         unnest(generate_series(0, len(c) - 1)) AS j, unnest(c) AS chunk
+  FROM (SELECT *, {_fixed('abstract')} AS c FROM papers)
+  UNION ALL
+  SELECT 'semantic', id, title, "year", category, unnest(generate_series(0, len(c) - 1)), unnest(c)
+  FROM (SELECT *, {_packed('abstract')} AS c FROM papers))"""
+
+
+def _embedded_sql(name: str, source: str) -> str:
+    """CTEs over ``source(key, text)`` that end in ``<name>(key, i, x)``: the non-zero components of the hashed bags of words."""
+    digit = "(instr('0123456789abcdef', substr(m, {}, 1)) - 1)"
+    slot = " + ".join(f"{16 ** (4 - d)} * {digit.format(d)}" for d in range(1, 5))
+    return f"""{name}_words AS (SELECT key, md5(unnest({_words('lower(text)')})) AS m FROM ({source})),
+{name}_sums AS (SELECT key, ({slot}) % {DIM} AS i, sum(CASE WHEN substr(m, 5, 1) >= '8' THEN 1 ELSE -1 END) AS n FROM {name}_words GROUP BY ALL),
+{name} AS (SELECT key, i, CAST(CAST(n / sqrt(sum(n * n) OVER (PARTITION BY key)) AS FLOAT) AS DOUBLE) AS x FROM {name}_sums WHERE n <> 0)"""
+
+
 ORACLE = {
     "paper_year": """
 SELECT CAST(event_id AS VARCHAR) AS id,
@@ -357,13 +375,7 @@ SELECT id, CAST(unnest(generate_series(0, len(c) - 1)) AS INTEGER) AS chunk_id,
 FROM (SELECT id, {_packed('abstract')} AS c FROM papers)""", "papers"),
 
     "chunk_records": _q(f"""
-WITH ch AS (
-  SELECT 'fixed' AS strategy, id AS pid, title, "year", category,
-         unnest(generate_series(0, len(c) - 1)) AS j, unnest(c) AS chunk
-  FROM (SELECT *, {_fixed('abstract')} AS c FROM papers)
-  UNION ALL
-  SELECT 'semantic', id, title, "year", category, unnest(generate_series(0, len(c) - 1)), unnest(c)
-  FROM (SELECT *, {_packed('abstract')} AS c FROM papers))
+WITH {_CHUNKS.strip()}
 SELECT strategy || '_' || CAST(pid AS VARCHAR) || '_' || CAST(j AS VARCHAR) AS id, strategy,
        title || ' [SEP] ' || chunk AS text, CAST(pid AS VARCHAR) AS arxiv_id, substr(title, 1, 300) AS title,
        substr(chunk, 1, 1000) AS chunk_text, CAST(j AS INTEGER) AS chunk_id, CAST("year" AS INTEGER) AS "year",
@@ -406,6 +418,26 @@ SELECT s.query_id,
        (SELECT doc_id FROM top h WHERE h.query_id = s.query_id AND h.rank = 1) AS hybrid
 FROM (SELECT DISTINCT query_id FROM search_queries) s""", "papers", "corpus", "q_terms", "search_queries"),
 
+    "embed_docs": _q(f"""
+WITH {_embedded_sql("e", "SELECT id AS key, coalesce(title, '') || ' [SEP] ' || coalesce(abstract, '') AS text FROM papers")}
+SELECT p.id, {DIM} AS dim, round(sqrt(coalesce(sum(e.x * e.x), 0)), 4) AS norm, round(coalesce(sum(e.x * (e.i + 1)), 0), 4) AS weighted
+FROM papers p LEFT JOIN e ON e.key = p.id GROUP BY p.id""", "papers"),
+
+    "chunk_search": _q(f"""
+WITH {_CHUNKS.strip()},
+{_embedded_sql("c", "SELECT strategy || '_' || CAST(pid AS VARCHAR) || '_' || CAST(j AS VARCHAR) AS key, title || ' [SEP] ' || chunk AS text FROM ch")},
+{_embedded_sql("q", "SELECT query_id AS key, query_text AS text FROM search_queries")},
+lengths AS (SELECT key, sqrt(sum(x * x)) AS l FROM c GROUP BY key),
+scored AS (
+  SELECT q.key AS query_id, c.key AS id, sum(q.x * c.x) / any_value(l) / (SELECT sqrt(sum(o.x * o.x)) FROM q o WHERE o.key = q.key) AS s
+  FROM q JOIN c USING (i) JOIN lengths n ON n.key = c.key GROUP BY q.key, c.key),
+every AS (
+  SELECT o.query_id, n.strategy || '_' || CAST(n.pid AS VARCHAR) || '_' || CAST(n.j AS VARCHAR) AS id, n.strategy FROM ch n, (SELECT DISTINCT query_id FROM search_queries) o)
+SELECT query_id, id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank, strategy
+FROM (SELECT query_id, id, strategy, score, row_number() OVER (PARTITION BY query_id, strategy ORDER BY score DESC, id) AS rank
+      FROM (SELECT e.query_id, e.id, e.strategy, round(coalesce(s.s, 0), 9) AS score FROM every e LEFT JOIN scored s USING (query_id, id)))
+WHERE rank <= 5""", "papers", "search_queries"),
+
     "ann_knn": _q(f"""
 WITH signs AS (
   SELECT CAST(j AS INTEGER) AS j, CAST(i AS INTEGER) AS i, CASE WHEN substr(md5('0:' || j || ':' || i), 1, 1) >= '8' THEN 1.0 ELSE -1.0 END AS s
