@@ -35,6 +35,9 @@ HEAVY_LINES, HEAVY_LEAST = 10_000, 1_000
 COUNTERS_LOG2 = 22
 TILE = 2_000
 
+#: Documents whose lines make one round of messages.
+ROWS_AT_ONCE = 2_500
+
 STEP = "block int, payload binary"
 FOUND = "a long, b long, doc_id long, rid long, line int"
 
@@ -204,33 +207,37 @@ def lines_and_candidates(docs: DataFrame, ranks, blocks: int, least_words: int =
     def send(frames):
         for pdf in frames:
             seen: set = set()
-            prefix, lines = [], []
-            raw = encoded(pdf["text"])
-            ids, rids = pdf["doc_id"].astype("Int64"), pdf["rid"].to_numpy()
-            null = ids.isna().to_numpy()
-            ids = ids.fillna(0).to_numpy(np.int64)
-            for lo, hi in batches(raw):
-                s = LineSets(raw[lo:hi], ranks.value, least_words)
-                if not len(s.n):
-                    continue
-                doc = s.doc + lo
-                lines.append((s.fp, ids[doc], null[doc].astype(np.uint8), rids[doc], s.line.astype(np.int32)))
-                fresh = np.array([f not in seen and not seen.add(f) for f in s.fp.tolist()], bool)
-                alone = 100 * s.n < percent * (s.n + 1)  # no other set, not even one word larger, is similar enough
-                p = np.where(fresh & ~alone, s.n - -(-percent * s.n // 100) + 1, 0)
-                pick = np.repeat(np.arange(len(p)), p)
-                pos = np.arange(len(pick)) - np.repeat(np.cumsum(p) - p, p)
-                a, b = s.signatures(np.arange(len(s.n)))
-                prefix.append((s.tokens[s.first[pick] + pos], s.fp[pick], s.n[pick].astype(np.int32), pos.astype(np.int32), a[pick], b[pick]))
-            rows = []
-            for kind, parts in ((0, prefix), (1, lines)):
-                if parts:
-                    cols = [np.concatenate([p[i] for p in parts]) for i in range(len(parts[0]))]
-                    # lines are only unpacked: dealt by document, so that a frequent line is no hot block
-                    deal = cols[3].view(np.uint64) if kind else cols[0]
-                    for block, *got in X.split_blocks(cols[0], (mix(deal) % np.uint64(blocks)).astype(np.int64) * 2 + kind, *cols[1:]):
-                        rows.append((block, X.pack(*got)))
-            yield pd.DataFrame(rows, columns=["block", "payload"])
+            for at in range(0, len(pdf), ROWS_AT_ONCE):  # a few megabytes of text, so that their arrays stay small
+                yield messages(pdf.iloc[at:at + ROWS_AT_ONCE], seen)
+
+    def messages(pdf, seen):
+        prefix, lines = [], []
+        raw = encoded(pdf["text"])
+        ids, rids = pdf["doc_id"].astype("Int64"), pdf["rid"].to_numpy()
+        null = ids.isna().to_numpy()
+        ids = ids.fillna(0).to_numpy(np.int64)
+        for lo, hi in batches(raw):
+            s = LineSets(raw[lo:hi], ranks.value, least_words)
+            if not len(s.n):
+                continue
+            doc = s.doc + lo
+            lines.append((s.fp, ids[doc], null[doc].astype(np.uint8), rids[doc], s.line.astype(np.int32)))
+            fresh = np.array([f not in seen and not seen.add(f) for f in s.fp.tolist()], bool)
+            alone = 100 * s.n < percent * (s.n + 1)  # no other set, not even one word larger, is similar enough
+            p = np.where(fresh & ~alone, s.n - -(-percent * s.n // 100) + 1, 0)
+            pick = np.repeat(np.arange(len(p)), p)
+            pos = np.arange(len(pick)) - np.repeat(np.cumsum(p) - p, p)
+            a, b = s.signatures(np.arange(len(s.n)))
+            prefix.append((s.tokens[s.first[pick] + pos], s.fp[pick], s.n[pick].astype(np.int32), pos.astype(np.int32), a[pick], b[pick]))
+        rows = []
+        for kind, parts in ((0, prefix), (1, lines)):
+            if parts:
+                cols = [np.concatenate([p[i] for p in parts]) for i in range(len(parts[0]))]
+                # lines are only unpacked: dealt by document, so that a frequent line is no hot block
+                deal = cols[3].view(np.uint64) if kind else cols[0]
+                for block, *got in X.split_blocks(cols[0], (mix(deal) % np.uint64(blocks)).astype(np.int64) * 2 + kind, *cols[1:]):
+                    rows.append((block, X.pack(*got)))
+        return pd.DataFrame(rows, columns=["block", "payload"])
 
     def match(key, pdf):
         got = [X.unpack(p) for p in pdf["payload"]]
@@ -331,7 +338,7 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT, least_words: int = LEAS
     slim = whole.select("doc_id", F.col("__rid").alias("rid"), "text")
     bytes_ = docs.agg(F.coalesce(F.sum(F.octet_length(F.col("text").cast("string"))), F.lit(0)).alias("b")).first()["b"]
     ranks = spark.sparkContext.broadcast(rarity_ranks(docs))
-    blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(bytes_ * 0.03) // X.BLOCK_KEYS + 1)
+    blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(bytes_ * 0.05) // X.BLOCK_KEYS + 1)
     found = X.written(lines_and_candidates(slim, ranks, blocks, least_words, percent), "lines")
     release(spark)
     lines = found.where("b IS NULL").drop("b")
