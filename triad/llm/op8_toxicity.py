@@ -5,7 +5,7 @@ Terms are words (A-Z lower-cased, ASCII punctuation as blanks; scripts written w
 are in no vector. Document frequencies run over all documents. The examples lie in blocks: rare terms as postings,
 common ones as a dense matrix with each block's largest weight per term; a block's best possible score lets it be
 skipped without changing the exact nearest ones. The neighbours' votes, weighted by similarity, are calibrated by a logistic
-fit on the examples themselves (each without its own vote) together with the vector's length and the text's term
+fit on up to ``CALIBRATION`` of the examples themselves (each without its own vote) together with the vector's length and the text's term
 most tied to toxic examples. ``evidence`` names the neighbours.
 
 Fitting uses a bounded sample of labelled rows (``EXAMPLES``, smallest hash of doc_id; equal texts count once, before
@@ -31,6 +31,8 @@ from triad.llm.text import LOWER_TO_BLANK, Words, batches, encoded
 
 EXAMPLES = 20_000
 NEIGHBOURS = 15
+#: Examples whose own neighbours the calibration is fitted on, at most (three weights and an intercept).
+CALIBRATION = 6_000
 BLOCK = 128
 #: Terms in the dense part of the index at most (the rest are postings), and texts searched together.
 COMMON = 1_024
@@ -202,20 +204,24 @@ class BlockMaxIndex:
                 sums[i, self.ids == x] = -4
         bound = q @ best.T + np.maximum.reduceat(sums, starts, axis=1)
         seeds = min(self.blocks, 2 * k // self.block + 2)
-        todo = np.zeros(bound.shape, bool)
-        np.put_along_axis(todo, np.argpartition(-bound, seeds - 1, axis=1)[:, :seeds], True, axis=1)
-        done, least = np.zeros(bound.shape, bool), np.full(m, -np.inf)
-        for last in (False, True):
-            for b in np.flatnonzero(todo.any(axis=0)):
-                i, lo = np.flatnonzero(todo[:, b]), b * self.block
-                sums[i, lo:lo + self.block] += q[i] @ dense[lo:lo + self.block].T
-            done |= todo
-            if not last:
-                for i in range(m):
-                    have = np.concatenate([sums[i, b * self.block:(b + 1) * self.block] for b in np.flatnonzero(todo[i])])
-                    if len(have) >= k:
-                        least[i] = np.partition(have, len(have) - k)[len(have) - k]
-                todo = ~done & (bound > 0) & (bound >= least[:, None] - ROOM)
+        # the most promising blocks of each text give a first bound of its k-th similarity
+        first, least = np.argpartition(-bound, seeds - 1, axis=1)[:, :seeds], np.full(m, -np.inf)
+        have: list[list] = [[] for _ in range(m)]
+        for b in np.unique(first):
+            i, lo = np.flatnonzero((first == b).any(axis=1)), b * self.block
+            for j, s in zip(i, sums[i, lo:lo + self.block] + q[i] @ dense[lo:lo + self.block].T):
+                have[j].append(s)
+        for i, s in enumerate(map(np.concatenate, have)):
+            if len(s) >= k:
+                least[i] = np.partition(s, len(s) - k)[len(s) - k]
+        # every block that can still hold one of the k nearest; where most texts need a block, all get their sums there
+        todo = (bound > 0) & (bound >= least[:, None] - ROOM)
+        for b in np.flatnonzero(todo.any(axis=0)):
+            i, lo = np.flatnonzero(todo[:, b]), b * self.block
+            i = slice(None) if 2 * len(i) >= m else i
+            sums[i, lo:lo + self.block] += q[i] @ dense[lo:lo + self.block].T
+        if self.blocks >= k:  # k blocks that each hold such a similarity: a closer bound
+            least = np.maximum(least, np.partition(np.where(todo, np.maximum.reduceat(sums, starts, axis=1), -np.inf), self.blocks - k, axis=1)[:, self.blocks - k])
         out = []
         for i, (t, w) in enumerate(texts):
             near = np.flatnonzero(sums[i] >= max(least[i] - ROOM, 1e-12))
@@ -298,7 +304,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, k: in
     floor = (sum(bare) + 0.01) / (len(bare) + 1)
     entries = [m for m in made if len(m[2])]
     shared = spark.sparkContext.broadcast((BlockMaxIndex(entries, size), TermTies(entries, size), {m[0]: m[4] for m in entries}, idf))
-    shares = spark.range(0, len(entries), 1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # places in the index follow the texts' heaviest terms; a stride takes from all over it
+    stride = max(1, -(-len(entries) // CALIBRATION))
+    shares = spark.range(0, len(entries), stride, int(spark.conf.get("spark.sql.shuffle.partitions")))
     del made, entries
 
     def features(vs, leave=None):
