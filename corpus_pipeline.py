@@ -48,11 +48,10 @@ def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     members = labels.join(several, "group").select("__row", "group")
     ids = rows.select("__row", "doc_id").join(members, "__row")
     first = ids.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__row")).alias("first")).select("group", F.col("first.__row").alias("stays"))
-    later = members.join(first, "group").where("__row <> stays").select("__row")
-    left = rows.join(later, "__row", "left_anti")
-    equal = labels.where("n > 1").select("__row")
-    once = left.join(equal, "__row", "left_semi").dropDuplicates(["__row"])
-    return left.join(equal, "__row", "left_anti").unionByName(once).select(*docs.columns)
+    judged = labels.join(first, "group", "left").select("__row", F.coalesce(F.col("stays") != F.col("__row"), F.lit(False)).alias("__goes"), (F.col("n") > 1).alias("__equal"))
+    left = rows.join(judged.where("__goes OR __equal"), "__row", "left").where("NOT coalesce(__goes, false)")
+    once = left.where("__equal").dropDuplicates(["__row"])
+    return left.where("NOT coalesce(__equal, false)").unionByName(once).select(*docs.columns)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
