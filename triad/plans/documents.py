@@ -58,6 +58,15 @@ def q_tempo_outliers(spark, sf_dir):
     return flatten(D.tempo_outliers(tracks(spark, sf_dir)))
 
 
+def q_tempo_outlier_docs(spark, sf_dir):
+    """The document form: one row per genre, its outliers in an array (here joined to text)."""
+    docs = D.tempo_outliers(tracks(spark, sf_dir), nested=True)
+    return docs.select("genre", "avg_tempo", "outlier_threshold", F.size("outlier_tracks").alias("n_outliers"),
+                       F.array_join(F.transform("outlier_tracks", lambda t: F.concat_ws(
+                           ":", t["_id"].cast("string"), t["track_name"], t["popularity"].cast("string"), F.array_join(t["artists"], "|"),
+                           F.floor(t["audio_features"]["tempo"]).cast("string"))), ";").alias("outliers"))
+
+
 def q_top_artists(spark, sf_dir):
     return D.top_artists(tracks(spark, sf_dir))
 
@@ -95,6 +104,7 @@ QUERIES = {
     "genre_popular": q_genre_popular,
     "popular_artists": q_popular_artists,
     "tempo_outliers": q_tempo_outliers,
+    "tempo_outlier_docs": q_tempo_outlier_docs,
     "top_artists": q_top_artists,
     "mood_distribution": q_mood_distribution,
     "danceable_genres": q_danceable_genres,
@@ -163,6 +173,16 @@ FROM tracks t JOIN (
     FROM tracks GROUP BY track_genre) s ON t.track_genre = s.track_genre
 WHERE t.tempo > s.threshold""", "tracks"),
 
+    "tempo_outlier_docs": with_views("""
+SELECT t.track_genre AS genre, round_even(s.avg_tempo, 1) AS avg_tempo, round_even(s.threshold, 1) AS outlier_threshold,
+       CAST(count(*) AS INTEGER) AS n_outliers,
+       string_agg(concat_ws(':', CAST(t.track_id AS VARCHAR), t.track_name, CAST(t.popularity AS VARCHAR), array_to_string(t.artists, '|'),
+                            CAST(CAST(floor(t.tempo) AS BIGINT) AS VARCHAR)), ';' ORDER BY t.track_id, t.track_name) AS outliers
+FROM tracks t JOIN (
+    SELECT track_genre, avg(tempo) AS avg_tempo, avg(tempo) + 2.0 * stddev_pop(tempo) AS threshold
+    FROM tracks GROUP BY track_genre) s ON t.track_genre = s.track_genre
+WHERE t.tempo > s.threshold GROUP BY ALL""", "tracks"),
+
     "top_artists": with_views("""
 SELECT artist, count(*) AS track_count, round_even(avg(popularity), 1) AS avg_popularity
 FROM (SELECT unnest(artists) AS artist, popularity FROM tracks)
