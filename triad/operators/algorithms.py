@@ -99,7 +99,7 @@ def louvain(edges: DataFrame, vertices: DataFrame, src: str = "src", dst: str =
     kept) and the next level starts. In a round half of the vertices, by a hash that changes with every pair of
     rounds, may move to the neighbouring community of the best modularity gain (equal gains: the smaller label); the other half may in
     the next one, so two vertices that would only swap places seldom move at once. A level ends when nobody of either half moves, or
-    when two pairs of rounds in a row did not raise the modularity, whose best labelling is kept. Each level that moves
+    when a pair of rounds did not raise the modularity, whose best labelling is kept. Each level that moves
     anything raises the modularity, so levels end too. Vertices without edges stay alone. Final
     labels are the smallest member id. One job a round: moves and modularity are observed while the round is written.
     """
@@ -113,7 +113,7 @@ def louvain(edges: DataFrame, vertices: DataFrame, src: str = "src", dst: str =
         k = g.groupBy("a").agg(F.sum("w").alias("k"))
         # vertices without edges have nothing to gain; they are left out of the rounds
         comm = _cut(k.select("a", F.col("a").alias("c"), "k"), 1, 1)
-        best, best_q, first_q, dull = comm, None, None, 0
+        best, best_q, first_q, dull = comm, None, None, False
         for r in itertools.count():
             new, seen = _louvain_round(g, comm, two_m, min_gain, r)
             q = (seen["inside"] or 0.0) - (seen["squares"] or 0.0) / two_m  # of ``comm``, up to what a level holds constant
@@ -122,12 +122,12 @@ def louvain(edges: DataFrame, vertices: DataFrame, src: str = "src", dst: str =
                 moved_before = True
             elif r % 2 == 0:  # after both halves
                 if q > best_q + 1e-9 * two_m:
-                    best, best_q, dull = comm, q, 0
+                    best, best_q = comm, q
                 else:
-                    dull += 1
+                    dull = True
             if _DEBUG:
                 print("louvain level", level, "round", r, "moves", seen["moves"], "q", q / two_m, flush=True)
-            if dull == 2 or not (seen["moves"] or moved_before):
+            if dull or not (seen["moves"] or moved_before):
                 if q > best_q:
                     best, best_q = comm, q
                 break

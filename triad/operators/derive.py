@@ -143,7 +143,7 @@ def similar_edges(g: PropertyGraph, min_rating: int = 4, min_ratings: int = 20,
     """
     seeds = active_users(g, min_ratings, k).select(F.col("user_id").alias("u1"))
     likes = g.rated.where(F.col("rating") >= min_rating).select("user_id", "movie_id")
-    mine = likes.join(F.broadcast(seeds), likes.user_id == seeds.u1).select("u1", "movie_id")
+    mine = likes.join(seeds, likes.user_id == seeds.u1).select("u1", "movie_id")
     theirs = likes.select(F.col("user_id").alias("u2"), "movie_id")
     pairs = mine.join(theirs, "movie_id").where(
         (F.col("u1") != F.col("u2")) if symmetric else (F.col("u1") < F.col("u2")))
