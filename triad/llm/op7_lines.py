@@ -345,6 +345,7 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT, least_words: int = LEAS
     place = F.struct("doc_id", "rid", "line")
     firsts = lines.groupBy("a").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
     clusters = components(found.where("b IS NOT NULL").select("a", "b"))
+    release(spark)  # before the texts are joined, the largest exchange that is left
     wanted = firsts.join(clusters.withColumnRenamed("id", "a"), "a").select("a", "component", "first.*")
     asked = wanted.groupBy("rid").agg(F.collect_list(F.struct("a", "component", "doc_id", "line")).alias("asked"))
     texts = slim.select("rid", "text").join(asked, "rid")
