@@ -9,7 +9,7 @@ from triad.sources.testviews import TABLES
 
 from .conftest import SMALL
 
-ROWS_ONLY = {"embed_docs", "chunk_search", "ann_knn", "communities"}
+ROWS_ONLY = {"communities", "louvain_sizes", "louvain_top_genres", "louvain_quality"}
 
 
 def test_entry_runs(spark):
@@ -42,7 +42,7 @@ def _norm(v):
 
 
 @pytest.mark.parametrize("name", ["top_artists", "tempo_outliers", "recommend", "supernodes",
-                                  "sentence_chunks", "bm25", "hybrid_search", "co_rated_edges", "weighted_path_far"])
+                                  "sentence_chunks", "bm25", "hybrid_search", "co_rated_edges", "weighted_path_far", "ann_knn", "chunk_search", "load_text_rows"])
 def test_oracle_agrees_on_smallest_tables(spark, duck, name):
     df = E.queries()[name](spark, SMALL)
     cols = sorted(df.columns)
