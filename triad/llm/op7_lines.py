@@ -371,6 +371,7 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT, least_words: int = LEAS
     # only sets with a later line or an earlier match take anything away
     bound = X.written(firsts.join(other, "a", "left").where((F.col("n") > 1) | F.col("match").isNotNull()).select(
         "a", "n", F.least("first", F.coalesce("match", "first")).alias("least")), "bound")
+    release(spark)
     most = max(HEAVY_LEAST, (bound.agg(F.sum("n").alias("n")).first()["n"] or 0) // HEAVY_LINES)
     heavy = F.broadcast(bound.where(F.col("n") > most).drop("n"))  # fewer than HEAVY_LINES rows
     cuts = lines.join(heavy, "a").unionByName(lines.join(heavy, "a", "left_anti").join(bound.where(F.col("n") <= most).drop("n"), "a"))
