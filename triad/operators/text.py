@@ -230,13 +230,21 @@ def postings(docs: DataFrame, id_col: str = "id", text_col: str = "text") -> Dat
     """Term postings (term, doc_id, tf, dl) of lower-cased whitespace words, and one row with a null term for each document
     (its ``dl`` is the document's length), so that corpus statistics come from the same table.
 
-    The raw texts are exchanged once, by id; each document's words are then counted where it lies, without a further
-    exchange. Postings are several times larger than the text, so this is the cheaper side to move. Ids are unique.
+    The raw texts are exchanged once, by id. A document's words are then counted in its own row: sorted, and cut where the word
+    changes. So a task holds no postings but those of one document; an aggregate over all words would hold those of its whole
+    share. Ids should be unique; documents that share an id and a length count as one. Missing texts have no postings.
     """
-    toks = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text")).repartition(F.col("doc_id")) \
-        .select("doc_id", split_ws(F.lower("_text")).alias("_toks"))
-    marked = toks.select("doc_id", F.size("_toks").alias("dl"), F.explode(F.concat("_toks", F.array(F.lit(None).cast("string")))).alias("term"))
-    return marked.groupBy("doc_id", "term", "dl").agg(F.count(F.lit(1)).alias("tf")).select("term", "doc_id", "tf", "dl")
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.lower(F.col(text_col)).alias("_text")).where(F.col("_text").isNotNull()) \
+        .repartition(F.col("doc_id"))
+    once = texts.groupBy("doc_id", F.size(split_ws(F.col("_text"))).alias("dl")).agg(F.collect_list("_text").alias("_texts"))
+    words = once.select("doc_id", "dl", F.size("_texts").alias("_n"), F.array_sort(split_ws(F.array_join("_texts", " "))).alias("_words"))
+    end = F.size("_words")
+    changes = F.filter(F.sequence(F.lit(0), end), lambda i: (i == 0) | (i == end) | (F.get("_words", i) != F.get("_words", i - 1)))
+    cut = words.select("*", changes.alias("_cuts"))
+    # the cut at the end stands for the document's own row
+    each = F.transform("_cuts", lambda at, i: F.struct(
+        F.get("_words", at).alias("term"), F.when(at == end, F.col("_n")).otherwise(F.get("_cuts", i + 1) - at).cast("long").alias("tf")))
+    return cut.select("doc_id", "dl", F.inline(each)).select("term", "doc_id", "tf", "dl")
 
 
 def write_postings(docs: DataFrame, path: str, id_col: str = "id", text_col: str = "text") -> DataFrame:
