@@ -148,3 +148,14 @@ def test_csv_quotes_and_backslashes(spark, tmp_path):
     p.write_text('id,name,n\n1,"""Heroes"" - 2017 Remaster",3\n2,"Say ""Hi"", now",4\n3,"C\\",5\n4,plain,6\n')
     assert [tuple(r) for r in read_csv_text(spark, str(p)).orderBy("id").collect()] == [
         ("1", '"Heroes" - 2017 Remaster', "3"), ("2", 'Say "Hi", now', "4"), ("3", "C\\", "5"), ("4", "plain", "6")]
+
+
+def test_clustered_layout_has_more_tasks_for_more_rows(spark, tmp_path, monkeypatch):
+    from triad.operators import layout
+
+    monkeypatch.setattr(layout, "ROWS_PER_TASK", 10, raising=False)
+    t = spark.range(200).select((F.col("id") % 3).alias("g"), "id")
+    path = layout.write_clustered(t, str(tmp_path / "c"), ["g"], ["id"])
+    back = layout.read_clustered(spark, path)
+    files = [r["count"] for r in back.groupBy(F.input_file_name()).count().collect()]
+    assert len(files) >= 16 and max(files) <= 40 and back.count() == 200

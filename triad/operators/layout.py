@@ -13,12 +13,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Rows that one task sorts and writes.
+ROWS_PER_TASK = 1_000_000
+
 
 def write_clustered(df: DataFrame, path: str, equality: list[str], sort: list | None = None,
                     range_cols: list[str] | None = None, num_partitions: int | None = None,
                     mode: str = "overwrite", row_group_bytes: int | None = None) -> str:
-    """Write ``df`` laid out for ``WHERE equality = ? AND range ... ORDER BY sort``."""
-    n = num_partitions or df.sparkSession.sparkContext.defaultParallelism
+    """Write ``df`` laid out for ``WHERE equality = ? AND range ... ORDER BY sort``.
+
+    Unless ``num_partitions`` is given, their number follows the number of rows, so that a writing task's share does not
+    grow with the table.
+    """
+    n = num_partitions or max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // ROWS_PER_TASK))
     sort = sort or []
     range_cols = range_cols or []
     keys = [F.col(c) if isinstance(c, str) else c for c in equality]
