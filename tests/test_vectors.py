@@ -193,3 +193,35 @@ def test_write_table_refuses_own_input(spark, tmp_path):
         K.write_table(df, path)
     K.write_table(df, str(tmp_path / "u"))
     assert spark.read.parquet(str(tmp_path / "u")).count() == 3
+
+
+def test_hashed_bags_follow_their_definition(spark):
+    import hashlib
+
+    texts = ["The the cat  sat", "", None, "\u00e9t\u00e9 \u2028x", "a " * 500 + "b", "lone"] + [f"w{i} w{i % 7} W{i % 3}" for i in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string").repartition(3)
+    out = VE.embed(df, "text", dim=16)
+    for r in out.collect():
+        want = np.zeros(16)
+        for w in (r.text or "").lower().split():
+            m = hashlib.md5(w.encode()).hexdigest()
+            want[int(m[:4], 16) % 16] += 1 if m[4] >= "8" else -1
+        n = np.sqrt((want * want).sum())
+        assert r.embedding == [float(x) for x in (want / (n or 1.0)).astype(np.float32)]
+    assert "ArrowEvalPython" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_records_join_their_vectors_once_with_short_texts(spark):
+    from triad.plans import search
+
+    records = search._vector_records(spark, "/root/testdata/sf0.001")
+    plan = records._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    at = [i for i, line in enumerate(plan) if "Join " in line]
+    assert len(at) == 1 and "substring" not in "".join(plan[:at[0]]) and "substring" in "".join(plan[at[0]:])
+
+
+def test_check_vectors_with_missing_ones(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0]), (2, None)], "id int, values array<double>")
+    assert VE.check_vectors(df, "values", 2, missing=True).where("values IS NULL").count() == 1
+    with pytest.raises(Exception):
+        VE.check_vectors(df, "values", 3, missing=True).collect()

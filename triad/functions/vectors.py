@@ -34,17 +34,3 @@ def l2_distance(a, b) -> Column:
 def normalize(a) -> Column:
     n = norm(a)
     return F.transform(_c(a), lambda x: (x.cast("double") / n).cast("float"))
-
-
-def word_slot(word: Column, dim: int) -> Column:
-    """A word's slot by its md5: dimension (first four hex digits, modulo ``dim``), plus ``dim`` when the fifth digit is below 8."""
-    m = F.md5(word.cast("binary"))
-    at = (F.conv(F.substring(m, 1, 4), 16, 10).cast("int") % dim).cast("int")
-    return at + F.when(F.substring(m, 5, 1) >= "8", F.lit(0)).otherwise(F.lit(dim))
-
-
-def slot_sums(slots, dim: int) -> Column:
-    """Per dimension, words of positive slots minus words of negative ones. ``slots`` must be a column of an earlier
-    projection. Counting is two array passes a dimension, without a lambda call a word."""
-    s = _c(slots)
-    return F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda d: F.size(F.array_remove(s, d + dim)) - F.size(F.array_remove(s, d)))

@@ -1,7 +1,7 @@
 """Embedding and nearest-neighbour search over ``array<float>`` columns.
 
 * ``embed``: batch inference with one encoder per Python worker, or a hashed bag
-  of words in built-in expressions.
+  of words, counted by arrays a batch at a time.
 * ``knn``: exact top-k. Queries are broadcast in blocks of bounded size, every
   partition of the corpus scores its rows tile by tile with numpy matrix
   products and keeps a running top-k per query, and a window with a
@@ -11,15 +11,17 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from triad.functions.text import split_ws
-from triad.functions.vectors import cosine, slot_sums, word_slot
+from triad.functions.vectors import cosine
 
 METRICS = ("cosine", "dot", "l2")
 
@@ -30,8 +32,7 @@ def embed(df: DataFrame, text_col, encoder_factory=None, batch_size: int = 64,
 
     ``encoder_factory()`` must return an object with ``encode(list[str]) -> ndarray[n, width]``. It is called once in each Python
     worker, where the model is then kept, and gets batches of ``batch_size`` texts. Without a factory the vector is a
-    signed hashed bag of lower-cased words of unit length (``dim`` wide, zero for a text without words), stated in
-    built-in expressions: no model, no Python.
+    signed hashed bag of lower-cased words of unit length (``dim`` wide, zero for a text without words): no model.
     """
     text = F.coalesce(F.col(text_col) if isinstance(text_col, str) else text_col, F.lit(""))
     if encoder_factory is not None:
@@ -40,20 +41,43 @@ def embed(df: DataFrame, text_col, encoder_factory=None, batch_size: int = 64,
             return lambda texts: np.asarray(model.encode([str(t) for t in texts]), np.float32)
 
         return df.withColumn(out_col, predict_batch_udf(load, return_type=T.ArrayType(T.FloatType()), batch_size=batch_size)(text))
-    cols = [F.col(f"`{c}`") for c in df.columns if c != out_col]
-    # one projection a step: each is read more than once by the next
-    slots = df.select(*cols, F.transform(split_ws(F.lower(text)), lambda w: word_slot(w, dim)).alias("_slots"))
-    sums = slots.select(*cols, slot_sums("_slots", dim).alias("_sums"))
-    length = sums.select(*cols, "_sums", F.sqrt(F.aggregate("_sums", F.lit(0.0), lambda acc, x: acc + x * x)).alias("_length"))
-    value = lambda x: F.when(F.col("_length") == 0, F.lit(0.0)).otherwise(x / F.col("_length")).cast("float")
-    return length.select(*cols, F.transform("_sums", value).alias(out_col))
-
-
-def check_vectors(df: DataFrame, vec_col: str, dim: int) -> DataFrame:
-    """Fail the job on the first vector whose width is not ``dim``."""
-    return df.withColumn(vec_col, F.when(
-        F.assert_true(F.size(vec_col) == dim, F.lit(f"vector width is not {dim}")).isNull(),
-        F.col(vec_col)))
+    return df.withColumn(out_col, hashed_bag(dim)(F.lower(text).cast("binary")))
+
+
+class _Slots(dict):
+    """A word's slot by its md5: dimension (first four hex digits, modulo ``dim``), plus ``dim`` when the fifth digit is below 8."""
+
+    def __init__(self, dim: int):
+        self.dim = dim
+
+    def __missing__(self, word: str) -> int:
+        m = hashlib.md5(word.encode("utf-8", "surrogateescape")).hexdigest()
+        self[word] = slot = int(m[:4], 16) % self.dim + (0 if m[4] >= "8" else self.dim)
+        return slot
+
+
+def hashed_bag(dim: int):
+    """A function of texts: per dimension, words of positive slots minus words of negative ones, as unit vectors of floats. Each
+    distinct word of a batch is hashed once."""
+    def bags(texts: pa.Array) -> pa.Array:
+        slots, sums = _Slots(dim), np.zeros((len(texts), dim))
+        for i, text in enumerate(texts.to_pylist()):
+            words = text.decode("utf-8", "surrogateescape").split()
+            n = np.bincount(np.fromiter(map(slots.__getitem__, words), np.int64, len(words)), minlength=2 * dim)
+            sums[i] = n[:dim] - n[dim:]
+        length = np.sqrt((sums * sums).sum(axis=1, keepdims=True))
+        values = (sums / np.where(length == 0, 1.0, length)).astype(np.float32)
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * dim), pa.array(values.ravel()))
+
+    bags.__annotations__ = {"texts": pa.Array, "return": pa.Array}
+    return F.arrow_udf(bags, T.ArrayType(T.FloatType()))
+
+
+def check_vectors(df: DataFrame, vec_col: str, dim: int, missing: bool = False) -> DataFrame:
+    """Fail the job on the first vector whose width is not ``dim``; with ``missing``, rows without a vector pass."""
+    right = F.size(vec_col) == dim
+    right = F.col(vec_col).isNull() | right if missing else right
+    return df.withColumn(vec_col, F.when(F.assert_true(right, F.lit(f"vector width is not {dim}")).isNull(), F.col(vec_col)))
 
 
 #: Bytes of query vectors broadcast at once, and queries scored at once against a batch of rows.
