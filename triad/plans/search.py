@@ -107,19 +107,18 @@ def q_method_top1(spark, sf_dir):
 
 
 def _vector_records(spark, sf_dir):
-    """Vector records of all papers: id 'paper_<id>', values (null where a paper has no vector), metadata with length caps."""
-    c = V.whole_corpus(spark, sf_dir)
-    have = VE.check_vectors(c.where(F.col("values").isNotNull()), "values", DIM)
-    c = have.unionByName(c.where(F.col("values").isNull()))
-    return c.select(
-        F.concat(F.lit("paper_"), F.col("id").cast("string")).alias("id"),
-        F.col("values"),
-        F.struct(F.col("id").cast("string").alias("arxiv_id"),
-                 F.substring("title", 1, 300).alias("title"),
-                 F.substring("abstract", 1, 500).alias("abstract"),
-                 F.substring("authors", 1, 200).alias("authors"),
-                 F.col("year").cast("int").alias("year"),
-                 F.col("category").cast("string").alias("category")).alias("metadata"))
+    """Vector records of all papers: id 'paper_<id>', values (null where a paper has no vector), metadata with length caps.
+    Texts are cut to their caps before the vectors are joined."""
+    short = V.papers(spark, sf_dir).select("id", F.struct(
+        F.col("id").cast("string").alias("arxiv_id"),
+        F.substring("title", 1, 300).alias("title"),
+        F.substring("abstract", 1, 500).alias("abstract"),
+        F.substring("authors", 1, 200).alias("authors"),
+        F.col("year").cast("int").alias("year"),
+        F.col("category").cast("string").alias("category")).alias("metadata"))
+    c = short.join(V.vectors(spark, sf_dir).select("id", "values"), "id", "left")
+    return VE.check_vectors(c, "values", DIM, missing=True).select(
+        F.concat(F.lit("paper_"), F.col("id").cast("string")).alias("id"), "values", "metadata")
 
 
 def q_upsert_vectors(spark, sf_dir):
