@@ -17,7 +17,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from triad.session import checkpoint_dir
+from triad.session import checkpoint_dir, scratch_path
 
 _DEBUG = bool(os.environ.get("TRIAD_DEBUG"))  # print per-round progress of the loops
 
@@ -30,6 +30,22 @@ def _cut(df: DataFrame, rnd: int, every: int) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: for what many steps read, much smaller than a checkpoint of its rows."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Rows of (root, vertex) that a join with the edges may broadcast.
+LIGHT_ROWS = 200_000
+
+
+def _light(df: DataFrame) -> DataFrame:
+    """A checkpointed ``df``, to be broadcast if it has few rows, so that the edges stay where they are."""
+    return F.broadcast(df) if df.limit(LIGHT_ROWS + 1).count() <= LIGHT_ROWS else df
+
+
 def undirected(edges: DataFrame, src: str = "src", dst: str = "dst", weight: str | None = "weight") -> DataFrame:
     """Both directions of every edge as (src, dst, w)."""
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
@@ -194,19 +210,28 @@ def hop_paths(edges: DataFrame, pairs: DataFrame, max_hops: int = 6) -> DataFram
     kept out of a new one. Sides of a + b levels meet in their newest layers exactly if the distance is a + b. The paths
     of the pairs that met are rebuilt by joins: vertices between both sides, then the smallest next vertex of each
     step. Returns (source, target, path, length); pairs without a path within ``max_hops`` give no row.
+
+    The edges are exchanged once, each in one direction only, to be told apart. They are written in both, and every new layer
+    reads them once; layers of few rows are broadcast to them, and only larger ones exchange the edges again. The edges that
+    a layer grew along are kept, and paths are rebuilt from those.
     """
-    e = _cut(undirected(edges, "src", "dst", None).select("src", "dst").distinct(), 1, 1)
+    once = edges.where(F.col("src").isNotNull() & F.col("dst").isNotNull()).select(
+        F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
+    e = stored(undirected(once, "src", "dst", None).select("src", "dst"), "edges")
     pairs = _cut(pairs.select(F.col("source").cast("string").alias("s"), F.col("target").cast("string").alias("t")).distinct(), 1, 1)
     found = [pairs.where(F.col("s") == F.col("t")).select(
         F.col("s").alias("source"), F.col("t").alias("target"), F.array("s").alias("path"), F.lit(0).alias("length"))]
     left = pairs.where(F.col("s") != F.col("t"))
     ends = {"s": [left.select(F.col("s").alias("root"), F.col("s").alias("node")).distinct()],
             "t": [left.select(F.col("t").alias("root"), F.col("t").alias("node")).distinct()]}
+    links = {"s": [None], "t": [None]}  # edges (root, src, dst) from a layer's predecessor on
     for hops in range(1, max_hops + 1):
         side = "s" if len(ends["s"]) <= len(ends["t"]) else "t"
         layers = ends[side]
         roots = left.select(F.col(side).alias("root")).distinct()  # roots that still have someone to meet
-        new = layers[-1].join(roots, "root", "left_semi").join(e, F.col("node") == F.col("src")).select("root", F.col("dst").alias("node")).distinct()
+        front = _light(_cut(layers[-1].join(roots, "root", "left_semi"), 1, 1))
+        links[side].append(stored(e.join(front, F.col("node") == F.col("src")).select("root", "src", "dst"), "links"))
+        new = links[side][-1].select("root", F.col("dst").alias("node")).distinct()
         for old in layers[-2:]:
             new = new.join(old, ["root", "node"], "left_anti")
         new = _cut(new, 1, 1)
@@ -216,8 +241,8 @@ def hop_paths(edges: DataFrame, pairs: DataFrame, max_hops: int = 6) -> DataFram
         between = left.join(near, "s").join(far, ["t", "node"]).select("s", "t", "node")
         if between.limit(1).count():
             between = _cut(between, 1, 1)
-            found.append(_rebuilt(e, between, ends["s"], ends["t"]))
-            left = left.join(between, ["s", "t"], "left_anti")
+            found.append(_rebuilt(between, links["s"], links["t"]))
+            left = _cut(left.join(between, ["s", "t"], "left_anti"), 1, 1)
             if not left.limit(1).count():
                 break
         elif not new.limit(1).count():
@@ -228,20 +253,24 @@ def hop_paths(edges: DataFrame, pairs: DataFrame, max_hops: int = 6) -> DataFram
     return out
 
 
-def _rebuilt(e: DataFrame, between: DataFrame, near: list[DataFrame], far: list[DataFrame]) -> DataFrame:
-    """Paths of the pairs whose sides met: ``between`` (s, t, node) holds the vertices of both newest layers."""
+def _rebuilt(between: DataFrame, near: list[DataFrame], far: list[DataFrame]) -> DataFrame:
+    """Paths of the pairs whose sides met: ``between`` (s, t, node) holds the vertices of both newest layers. Only the edges
+    that the layers grew along are read."""
     a, length = len(near) - 1, len(near) + len(far) - 2
     on_path = {a: between}  # by distance from the source
     for step in [*range(a - 1, 0, -1), *range(a + 1, length)]:
-        beside = on_path[step + 1] if step < a else on_path[step - 1]
-        reached = beside.join(e, F.col("node") == F.col("src")).select("s", "t", F.col("dst").alias("node")).distinct()
-        layer, root = (near[step], "s") if step < a else (far[length - step], "t")
-        on_path[step] = _cut(reached.join(layer.withColumnRenamed("root", root), [root, "node"], "left_semi").select("s", "t", "node"), 1, 1)
+        beside, grown, root = (on_path[step + 1], near[step + 1], "s") if step < a else (on_path[step - 1], far[length - step + 1], "t")
+        back = grown.select(F.col("root").alias(root), F.col("dst").alias("node"), "src")
+        on_path[step] = _cut(beside.join(back, [root, "node"]).select("s", "t", F.col("src").alias("node")).distinct(), 1, 1)
     walk = between.select("s", "t", F.col("s").alias("p0")).distinct()
     for step in range(1, length):
-        nxt = on_path[step].withColumnRenamed("node", "dst")
-        best = walk.join(e, F.col(f"p{step - 1}") == F.col("src")).join(nxt, ["s", "t", "dst"]).groupBy("s", "t").agg(F.min("dst").alias(f"p{step}"))
-        walk = walk.join(best, ["s", "t"])
+        if step <= a:
+            on = near[step].select(F.col("root").alias("s"), F.col("src").alias(f"p{step - 1}"), F.col("dst").alias("node"))
+        else:
+            on = far[length - step + 1].select(F.col("root").alias("t"), F.col("dst").alias(f"p{step - 1}"), F.col("src").alias("node"))
+        best = walk.join(on, ["s" if step <= a else "t", f"p{step - 1}"]).join(on_path[step], ["s", "t", "node"]) \
+            .groupBy("s", "t").agg(F.min("node").alias(f"p{step}"))
+        walk = _cut(walk.join(best, ["s", "t"]), 1, 1)
     path = F.array(*[F.col(f"p{i}") for i in range(length)], F.col("t"))
     return _cut(walk.select(F.col("s").alias("source"), F.col("t").alias("target"), path.alias("path"), F.lit(length).alias("length")), 1, 1)
 
