@@ -229,3 +229,21 @@ def test_louvain_finds_planted_communities(spark):
     genres = A.community_top_genres(labels, spark.createDataFrame([Row(user_id=i, movie_id=group[i], rating=5) for i in range(64)]),
                                     spark.createDataFrame([Row(movie_id=m, genre=f"g{m}") for m in range(4)])).collect()
     assert len(genres) >= 4
+
+
+def test_hop_paths_with_layers_too_large_to_broadcast(spark, monkeypatch):
+    rows = [("a", "b"), ("b", "a"), ("b", "c"), ("c", "c"), ("c", "d"), ("a", "x"), ("x", "c"), ("d", "e"), (None, "e"), ("a", None), ("a", "b")]
+    e = spark.createDataFrame(rows, "src string, dst string")
+    pairs = spark.createDataFrame([("a", "e"), ("a", "d"), ("e", "x"), ("b", "b"), ("a", None), ("a", "nowhere")], "source string, target string")
+    want = {("a", "e"): ["a", "b", "c", "d", "e"], ("a", "d"): ["a", "b", "c", "d"], ("e", "x"): ["e", "d", "c", "x"], ("b", "b"): ["b"]}
+    for rows_at_most in (A.LIGHT_ROWS, 0):
+        monkeypatch.setattr(A, "LIGHT_ROWS", rows_at_most)
+        assert {(r.source, r.target): r.path for r in A.hop_paths(e, pairs).collect()} == want
+
+
+def test_ratings_are_written_once_for_queries_that_repeat_them(spark):
+    from triad.plans import algorithms as P
+
+    g = P._stored_graph(spark, "/root/testdata/sf0.001")
+    assert "Exchange" not in g.rated._jdf.queryExecution().executedPlan().toString()
+    assert g.rated.count() == P.graph(spark, "/root/testdata/sf0.001").rated.count()
