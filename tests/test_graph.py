@@ -116,3 +116,29 @@ def test_merge_nodes_without_order_keeps_the_last_row_read(spark):
     rows = spark.createDataFrame([(1, "M", 50), (2, "F", 30), (1, "F", 18)], "user_id long, gender string, age int").coalesce(1)
     got = {r.user_id: (r.gender, r.age) for r in merge_nodes(rows, "user_id", ["gender", "age"]).collect()}
     assert got == {1: ("F", 18), 2: ("F", 30)}
+
+
+def test_ratings_of_a_genre_are_enough_for_its_result(spark):
+    movies = spark.createDataFrame([(1, "a", "X| Y"), (2, "b", "Y"), (3, "c", None), (None, "d", "X"), (1, "a", "X")], "movie_id long, title string, genres string")
+    rows = spark.createDataFrame([(1, 1, 5, 1), (1, 1, 4, 2), (2, 1, 5, 1), (1, 2, 5, 1), (2, 3, 5, 1), (1, None, 5, 1), (9, 1, 1, 1)],
+                                 "user_id long, movie_id long, rating int, timestamp long")
+    users = spark.createDataFrame([(1, "f", 1, 1), (2, "m", 1, 1)], "user_id long, gender string, age int, occupation int")
+    few = rows.join(G.movies_of_genre(movies, "X"), "movie_id", "left_semi")
+    assert few.count() == 4
+    want = G.genre_top_rated(G.build_graph(users, movies, rows, ["timestamp"]), "X", 1.0).collect()
+    assert G.genre_top_rated(G.build_graph(users, movies, few, ["timestamp"]), "X", 1.0).collect() == want and len(want) == 1
+
+
+def test_genre_query_joins_only_its_ratings_with_orders(spark):
+    from triad.plans import graph as P
+    from triad.sources import testviews as V
+
+    small = "/root/testdata/sf0.001"
+    movies = G.movies_of_genre(V.movies(spark, small), P.GENRE)
+    whole = V.ratings_raw(spark, small).join(movies, "movie_id", "left_semi")
+    few = V.ratings_raw(spark, small, movies)
+    assert sorted(map(str, few.collect())) == sorted(map(str, whole.select(few.columns).collect()))
+    plan = P.q_genre_top_rated(spark, small)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    orders = next(i for i, line in enumerate(plan) if "l_orderkey" in line and "Join Inner" in line)
+    assert any("Join LeftSemi, (l_partkey" in line and depth(line) > depth(plan[orders]) for line in plan[orders:])

@@ -145,6 +145,12 @@ def genre_top_rated(g: PropertyGraph, genre: str = "Thriller", min_avg: float =
         .orderBy(F.desc("avgRating"), F.desc("ratingsCount"), "title", "movieId")
 
 
+def movies_of_genre(movie_rows: DataFrame, genre: str) -> DataFrame:
+    """Keys (movie_id) of one genre's movies: where a graph is only asked for those, a source need not join or merge the ratings
+    of others."""
+    return genre_names(movie_rows).where(F.col("genre") == genre).select("movie_id").distinct()
+
+
 def heavy_fivestar_users(g: PropertyGraph, rating: int = 5, min_count: int = 50) -> DataFrame:
     c = g.rated.where(F.col("rating") == rating).groupBy("user_id") \
         .agg(F.count(F.lit(1)).alias("fiveStarCount")).where(F.col("fiveStarCount") > min_count)

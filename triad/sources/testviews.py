@@ -100,9 +100,12 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def ratings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ratings_raw(spark: SparkSession, sf_dir: str, movies: DataFrame | None = None) -> DataFrame:
+    """Rating rows; with ``movies`` (movie_id) only those of these movies, taken before the orders are joined."""
     l = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber",
                                                 "l_quantity", "l_shipdate")
+    if movies is not None:
+        l = l.join(movies, l.l_partkey == movies.movie_id, "left_semi")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     j = l.join(o, l.l_orderkey == o.o_orderkey, "inner")
     return j.select(
