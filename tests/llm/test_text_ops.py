@@ -254,3 +254,16 @@ def test_messages_merge_in_levels(spark):
     for fan in (2, 7, 64):
         got = {r.block: int(X.unpack(r.payload)[0][0]) for r in X.merged(messages, add, fan).collect()}
         assert got == {0: 5000 * 4999 // 2, 1: 5000}
+
+
+def test_dedup_lines_leaves_no_tables_but_what_its_result_reads(spark):
+    import glob
+
+    from triad.llm.exchange import shared_folder
+
+    docs = spark.createDataFrame([(i, f"one two three four five six{i % 3}\nalone{i} in here") for i in range(12)], "doc_id long, text string")
+    here = lambda: set(glob.glob(shared_folder(spark).removeprefix("file:") + "/llm-*"))
+    before = here()
+    out = dedup_lines(docs)
+    left = {p.rsplit("/", 1)[1].split("-")[1] for p in here() - before}
+    assert left == {"gone"} and out.agg({"n_removed": "sum"}).first()[0] == 9

@@ -376,6 +376,8 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT, least_words: int = LEAS
     heavy = F.broadcast(bound.where(F.col("n") > most).drop("n"))  # fewer than HEAVY_LINES rows
     cuts = lines.join(heavy, "a").unionByName(lines.join(heavy, "a", "left_anti").join(bound.where(F.col("n") <= most).drop("n"), "a"))
     gone = X.written(cuts.where(F.col("least") < place).groupBy("rid").agg(F.collect_set("line").alias("gone")), "gone")
+    for done in (found, clusters, members, bound):  # nothing reads them any more; the texts' exchange needs their room
+        X.drop_written(done)
     release(spark)
     none = F.array().cast("array<int>")
     cut = F.split("text", "\n", -1)
